@@ -1,29 +1,32 @@
 """Neighbouring rows inside a key, when one key may hold a third of all rows.
 
-``lag`` and ``lead`` over a whole key put that key into one task. Here a hot
-key is cut into slices of its time axis first:
-
-1. Count rows per key (partial aggregation). Keys above a limit are hot. The
-   limit is relative to the row total, so there are at most ``MAX_HOT_KEYS``
-   of them whatever the data size, and the table of hot keys is small enough
-   to broadcast by construction.
-2. A hash sample of each hot key's times gives its cut points.
-3. The window runs over (key, slice). What has to cross a slice edge is
-   aggregated to one row per slice and handed to the neighbouring slice.
-
-Keys below the limit have a null slice and behave as in a plain window. The
-results do not depend on where the cuts are, only the balance does.
+``lag`` and ``lead`` over a whole key put that key into one task. So the key
+sizes are looked at first (one narrow aggregate, one row back to the driver):
+
+* No key above the limit: a plain window over the key is all it takes.
+* Otherwise the hot keys are cut into slices of their time axis. The limit is
+  relative to the row total, so there are at most ``MAX_HOT_KEYS`` hot keys
+  and twice as many slices, whatever the data size: their cut points fit a
+  broadcast by construction. The window runs over (key, slice), and what has
+  to cross a slice edge is aggregated to one row per slice and handed to the
+  neighbouring slices.
+
+Results do not depend on where the cuts are; only the balance does. The cut
+points are fixed before the query runs, so a task that is repeated after a
+lost executor cuts the same way.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE = "_slice"
-MAX_HOT_KEYS = 2_000
+MAX_HOT_KEYS = 20_000
 ROWS_PER_SLICE = 1_000_000
 SAMPLES_PER_SLICE = 64
 
@@ -35,109 +38,173 @@ class Slicing:
     rows_per_slice: int = ROWS_PER_SLICE
 
 
-def _hot_keys(df: DataFrame, key: str, at: str, slicing: Slicing) -> DataFrame:
-    """(key, cuts) for every hot key; ``cuts`` is an ascending array of times."""
-    counts = df.where(F.col(at).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
-    limit = counts.agg(
-        F.greatest(
-            F.lit(slicing.rows_per_slice).cast("double"),
-            F.coalesce(F.sum("_rows") / F.lit(MAX_HOT_KEYS), F.lit(0.0)),
-        )
-    ).scalar()
-    hot = (
-        counts.withColumn("_limit", limit)
-        .where(F.col("_rows") > F.col("_limit"))
-        .select(
-            key,
-            F.ceil(F.col("_rows") / F.col("_limit")).cast("int").alias("_slices"),
-            F.greatest(
-                F.lit(1),
-                F.floor(F.col("_limit") / F.lit(SAMPLES_PER_SLICE)),
-            ).cast("bigint").alias("_every"),
-        )
+@dataclass(frozen=True)
+class KeySizes:
+    """Rows per key of one or more frames, and the limit of a hot key."""
+
+    counts: DataFrame
+    limit: float
+    largest: int
+
+    @property
+    def any_hot(self) -> bool:
+        return self.largest > self.limit
+
+
+def key_sizes(key: str, *frames: DataFrame, slicing: Slicing = Slicing()) -> KeySizes:
+    """Measure the keys. Only the total and the largest size reach the driver."""
+    per_frame = [df.groupBy(key).agg(F.count("*").alias("_rows")) for df in frames]
+    counts = reduce(DataFrame.unionByName, per_frame)
+    if len(per_frame) > 1:
+        counts = counts.groupBy(key).agg(F.sum("_rows").alias("_rows"))
+    counts = counts.where(F.col(key).isNotNull())
+    total, largest = counts.agg(F.sum("_rows"), F.max("_rows")).first()
+    limit = max(float(slicing.rows_per_slice), (total or 0) / MAX_HOT_KEYS)
+    return KeySizes(counts, limit, largest or 0)
+
+
+def _cut_points(df: DataFrame, key: str, at: str, sizes: KeySizes) -> DataFrame:
+    """(key, cuts) of the hot keys, from a hash sample of their times."""
+    spark = df.sparkSession
+    hot = sizes.counts.where(F.col("_rows") > sizes.limit).select(
+        key, F.ceil(F.col("_rows") / F.lit(sizes.limit)).cast("int").alias("_slices")
     )
-    # About SAMPLES_PER_SLICE distinct times per slice; equal times are merged
-    # by collect_set before the shuffle, so this array stays small.
+    # At most MAX_HOT_KEYS rows: that many keys can be above the limit.
+    hot = spark.createDataFrame(hot.collect(), hot.schema)
+    every = max(1, int(sizes.limit // SAMPLES_PER_SLICE))
     sample = (
         df.select(key, at)
         .where(F.col(at).isNotNull())
         .join(F.broadcast(hot), key)
-        .where(F.pmod(F.xxhash64(at), F.col("_every")) == 0)
+        .where(F.pmod(F.xxhash64(at), F.lit(every)) == 0)
         .groupBy(key, "_slices")
+        # Equal times merge before the shuffle, so an array holds about
+        # SAMPLES_PER_SLICE times per slice.
         .agg(F.sort_array(F.collect_set(at)).alias("_times"))
     )
-    step = F.expr(
-        "transform(sequence(1, _slices - 1), i -> "
-        "_times[cast(size(_times) * i / _slices as int)])"
+    cuts = F.expr(
+        "array_distinct(transform(sequence(1, _slices - 1), "
+        "i -> _times[cast(size(_times) * i / _slices as int)]))"
     )
-    return sample.where("_slices > 1").select(key, F.array_distinct(step).alias("_cuts"))
-
-
-def slice_hot_keys(
-    df: DataFrame, key: str, at: str, slicing: Slicing = Slicing()
-) -> DataFrame:
-    """Add ``_slice``: null for ordinary keys, 0..n along time for hot ones."""
-    hot = F.broadcast(_hot_keys(df, key, at, slicing))
-    position = F.expr(f"size(filter(_cuts, c -> c <= {at}))")
-    return df.join(hot, key, "left").withColumn(SLICE, position_or_null(position)).drop("_cuts")
-
+    points = sample.select(key, cuts.alias("_cuts"))
+    # At most twice MAX_HOT_KEYS cut points.
+    return spark.createDataFrame(points.collect(), points.schema)
 
-def position_or_null(position: Column) -> Column:
-    return F.when(F.col("_cuts").isNotNull(), position)
 
+def _with_slice(df: DataFrame, key: str, at: str, cuts: DataFrame) -> DataFrame:
+    """Add the slice number: null for ordinary keys, 0..n along time for hot ones.
 
-def _edges(df: DataFrame, key: str, edge: Column, over: Column) -> DataFrame:
-    """One row per slice of a hot key: what its neighbour slice needs."""
-    per_slice = (
-        df.where(F.col(SLICE).isNotNull()).groupBy(key, SLICE).agg(edge.alias("_own"))
+    Cuts are searched in two steps (every k-th cut, then k cuts), so a key with
+    thousands of slices costs a few dozen comparisons per row.
+    """
+    stepped = cuts.withColumn("_k", F.expr("cast(ceil(sqrt(size(_cuts))) as int)")).withColumn(
+        "_coarse", F.expr("filter(_cuts, (c, i) -> i % _k = 0)")
+    )
+    before = F.expr(f"size(filter(_coarse, c -> c <= {at}))")
+    inner = F.expr(f"size(filter(slice(_cuts, (_block - 1) * _k + 1, _k), c -> c <= {at}))")
+    return (
+        df.join(F.broadcast(stepped), key, "left")
+        .withColumn("_block", before)
+        .withColumn(
+            SLICE,
+            F.when(F.col("_cuts").isNull(), F.lit(None).cast("int"))
+            .when(F.col("_block") == 0, 0)
+            .otherwise((F.col("_block") - 1) * F.col("_k") + inner),
+        )
+        .drop("_cuts", "_k", "_coarse", "_block")
     )
-    return F.broadcast(per_slice.select(key, SLICE, over.alias("_edge")))
-
-
-def _across(key: str) -> Window:
-    return Window.partitionBy(key).orderBy(SLICE)
-
-
-def _inside(key: str, at: str) -> Window:
-    return Window.partitionBy(key, SLICE).orderBy(at)
-
 
-def with_previous(df: DataFrame, key: str, at: str, value: Column, name: str) -> DataFrame:
-    """Add the value of the row before, as a one-field struct; null on the first row.
 
-    ``at`` must be unique inside a key.
-    """
-    boxed = F.struct(value.alias("v"))
-    edges = _edges(df, key, F.max_by(boxed, at), F.lag("_own").over(_across(key)))
-    inside = df.withColumn(name, F.lag(boxed).over(_inside(key, at)))
-    return _join_edges(inside, edges, key, name)
+@dataclass(frozen=True)
+class Timeline:
+    """Rows of each key in time order. ``at`` must be unique inside a key."""
+
+    rows: DataFrame
+    key: str
+    at: str
+    sliced: bool
+
+    def then(self, step: Callable[[DataFrame], DataFrame]) -> Timeline:
+        """Apply a row-wise step; it must keep key, time and slice columns."""
+        return replace(self, rows=step(self.rows))
+
+    @property
+    def keys(self) -> list[str]:
+        """What a window or an aggregate of this timeline partitions by."""
+        return [self.key, SLICE] if self.sliced else [self.key]
+
+    def done(self) -> DataFrame:
+        return self.rows.drop(SLICE) if self.sliced else self.rows
+
+    def with_previous(self, value: Column, name: str) -> Timeline:
+        """Value of the row before as a one-field struct; null on the first row."""
+        boxed = F.struct(value.alias("v"))
+        return self._window(
+            name,
+            F.lag(boxed).over(self._inside()),
+            F.max_by(boxed, self.at),
+            lambda: F.lag("_own").over(self._across()),
+        )
 
+    def with_next(self, value: Column, name: str) -> Timeline:
+        """Value of the row after as a one-field struct; null on the last row."""
+        boxed = F.struct(value.alias("v"))
+        return self._window(
+            name,
+            F.lead(boxed).over(self._inside()),
+            F.min_by(boxed, self.at),
+            lambda: F.lead("_own").over(self._across()),
+        )
 
-def with_next(df: DataFrame, key: str, at: str, value: Column, name: str) -> DataFrame:
-    """Add the value of the row after, as a one-field struct; null on the last row.
+    def carry_forward(self, value: str) -> Timeline:
+        """Fill nulls of ``value`` with the last value at or before each row."""
+        start = Window.unboundedPreceding
+        here = self._inside().rowsBetween(start, Window.currentRow)
+        return self._window(
+            value,
+            F.last(value, ignorenulls=True).over(here),
+            F.max_by(value, F.when(F.col(value).isNotNull(), F.col(self.at))),
+            lambda: F.last("_own", ignorenulls=True).over(self._across().rowsBetween(start, -1)),
+        )
 
-    ``at`` must be unique inside a key.
-    """
-    boxed = F.struct(value.alias("v"))
-    edges = _edges(df, key, F.min_by(boxed, at), F.lead("_own").over(_across(key)))
-    inside = df.withColumn(name, F.lead(boxed).over(_inside(key, at)))
-    return _join_edges(inside, edges, key, name)
+    def _inside(self):
+        return Window.partitionBy(*self.keys).orderBy(self.at)
+
+    def _across(self):
+        return Window.partitionBy(self.key).orderBy(SLICE)
+
+    def _window(
+        self, name: str, inside: Column, edge: Column, across: Callable[[], Column]
+    ) -> Timeline:
+        filled = self.rows.withColumn(name, inside)
+        if not self.sliced:
+            return replace(self, rows=filled)
+        # One row per slice of a hot key, so at most twice MAX_HOT_KEYS rows.
+        per_slice = (
+            self.rows.where(F.col(SLICE).isNotNull())
+            .groupBy(self.key, SLICE)
+            .agg(edge.alias("_own"))
+        )
+        edges = F.broadcast(per_slice.select(self.key, SLICE, across().alias("_edge")))
+        joined = filled.join(edges, [self.key, SLICE], "left")
+        return replace(
+            self, rows=joined.withColumn(name, F.coalesce(F.col(name), F.col("_edge"))).drop("_edge")
+        )
 
 
-def carry_forward(df: DataFrame, key: str, at: str, value: str) -> DataFrame:
-    """Fill nulls of ``value`` with the last value at or before each row's time.
+def timeline(
+    df: DataFrame,
+    key: str,
+    at: str,
+    slicing: Slicing = Slicing(),
+    sizes: KeySizes | None = None,
+) -> Timeline:
+    """Order the rows of each key by ``at``, cutting hot keys into slices.
 
-    ``at`` must be unique inside a key.
+    ``sizes`` saves the measuring pass when the caller has measured already.
     """
-    filled = F.last(value, ignorenulls=True)
-    back = _across(key).rowsBetween(Window.unboundedPreceding, -1)
-    up_to_here = _inside(key, at).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    latest = F.max_by(value, F.when(F.col(value).isNotNull(), F.col(at)))
-    edges = _edges(df, key, latest, F.last("_own", ignorenulls=True).over(back))
-    inside = df.withColumn(value, filled.over(up_to_here))
-    return _join_edges(inside, edges, key, value)
-
-
-def _join_edges(inside: DataFrame, edges: DataFrame, key: str, name: str) -> DataFrame:
-    joined = inside.join(edges, [key, SLICE], "left")
-    return joined.withColumn(name, F.coalesce(F.col(name), F.col("_edge"))).drop("_edge")
+    sizes = sizes or key_sizes(key, df, slicing=slicing)
+    if not sizes.any_hot:
+        return Timeline(df, key, at, sliced=False)
+    cuts = _cut_points(df, key, at, sizes)
+    return Timeline(_with_slice(df, key, at, cuts), key, at, sliced=True)

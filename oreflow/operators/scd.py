@@ -4,17 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from oreflow.operators.ordered import (
-    SLICE,
-    Slicing,
-    carry_forward,
-    slice_hot_keys,
-    with_next,
-    with_previous,
-)
+from oreflow.operators.ordered import Slicing, Timeline, key_sizes, timeline
 
 
 def scd2(
@@ -30,24 +23,20 @@ def scd2(
     that leaves every tracked column as it was opens no interval. A delete
     closes the interval and opens none.
     """
-    sliced = slice_hot_keys(
-        history.select(key, *tracked, "op", "changed_at", "kafka_offset", "kafka_partition"),
-        key, "changed_at", slicing,
-    )
+    changes = timeline(history, key, "changed_at", slicing)
     # Partial aggregation: many changes at one instant collapse before the shuffle.
     state = F.struct((F.col("op") == "d").alias("gone"), *tracked)
-    settled = sliced.groupBy(key, SLICE, "changed_at").agg(
-        F.max_by(state, F.struct("kafka_offset", "kafka_partition")).alias("state")
-    )
+    last = F.max_by(state, F.struct("kafka_offset", "kafka_partition")).alias("state")
     # A deleted key has one state, whatever its last image said.
     alive = F.when(~F.col("state.gone"), F.struct(*[F.col(f"state.{c}") for c in tracked]))
-    settled = settled.select(key, SLICE, "changed_at", alive.alias("state"))
-
-    compared = with_previous(settled, key, "changed_at", F.col("state"), "before")
-    changed = compared.where(
-        F.col("before").isNull() | ~F.col("before.v").eqNullSafe(F.col("state"))
-    ).drop("before")
-    closed = with_next(changed, key, "changed_at", F.col("changed_at"), "after")
+    settled = changes.then(
+        lambda rows: rows.groupBy(*changes.keys, "changed_at").agg(last).withColumn("state", alive)
+    )
+    differs = F.col("before").isNull() | ~F.col("before.v").eqNullSafe(F.col("state"))
+    changed = settled.with_previous(F.col("state"), "before").then(
+        lambda rows: rows.where(differs).drop("before")
+    )
+    closed = changed.with_next(F.col("changed_at"), "after").done()
     return closed.where(F.col("state").isNotNull()).select(
         F.xxhash64(key, "changed_at").alias(surrogate),
         key,
@@ -65,36 +54,71 @@ def asof_join(
     at: str,
     columns: Sequence[str],
     slicing: Slicing = Slicing(),
+    measure: Sequence[DataFrame] | None = None,
 ) -> DataFrame:
     """Add the dimension columns that were valid at each fact's own time.
 
-    Facts outside every interval get nulls. The version is looked up once per
-    distinct (key, time) by carrying versions forward in time order, so the
-    work is linear in facts plus versions: no fact meets all versions of its
-    key. The lookup then joins back on both columns, where AQE can split a hot
-    pair.
+    Facts outside every interval get nulls. Facts and version starts are put in
+    time order and versions are carried forward, so the work is linear: no fact
+    meets all versions of its key. ``measure`` names cheaper frames whose rows
+    per key are at least those of facts and versions; key sizes are then taken
+    from them.
     """
-    no_version = F.lit(None)
     starts = versions.select(
-        key, F.col("valid_from").alias(at),
-        F.struct("valid_to", *columns).alias("version"),
+        key, F.col("valid_from").alias(at), F.struct("valid_to", *columns).alias("version")
     )
-    points = (
-        facts.select(key, at)
-        .where(F.col(key).isNotNull() & F.col(at).isNotNull())
-        .distinct()
-        .withColumn("version", no_version.cast(starts.schema["version"].dataType))
+    sizes = key_sizes(key, *(measure or (facts, versions)), slicing=slicing)
+    if not sizes.any_hot:
+        return _asof_in_one_pass(facts, starts, key, at, columns)
+    return _asof_by_lookup(facts, starts, key, at, columns, slicing)
+
+
+def _valid_at(at: str):
+    ends = F.col("version.valid_to")
+    return F.col("version").isNotNull() & (ends.isNull() | (F.col(at) < ends))
+
+
+def _asof_in_one_pass(
+    facts: DataFrame, starts: DataFrame, key: str, at: str, columns: Sequence[str]
+) -> DataFrame:
+    """Facts between version starts in one window; one shuffle of the facts."""
+    both = (
+        facts.withColumn("_fact", F.lit(1))
+        .unionByName(starts.withColumn("_fact", F.lit(0)), allowMissingColumns=True)
     )
-    # One row per (key, time): a version starting exactly at a fact's time wins.
-    timeline = (
-        points.withColumn("wanted", F.lit(True))
-        .unionByName(starts.withColumn("wanted", F.lit(False)))
-        .groupBy(key, at)
-        .agg(F.first("version", ignorenulls=True).alias("version"), F.max("wanted").alias("wanted"))
+    in_order = (
+        Window.partitionBy(key)
+        .orderBy(F.col(at), F.col("_fact"))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    filled = both.withColumn("version", F.last("version", ignorenulls=True).over(in_order))
+    # A fact without key or time is ordered somewhere, but has no version.
+    usable = F.col(key).isNotNull() & F.col(at).isNotNull() & _valid_at(at)
+    return filled.where("_fact = 1").select(
+        *facts.columns, *[F.when(usable, F.col(f"version.{c}")).alias(c) for c in columns]
     )
-    filled = carry_forward(slice_hot_keys(timeline, key, at, slicing), key, at, "version")
-    valid = F.col("version.valid_to").isNull() | (F.col(at) < F.col("version.valid_to"))
-    lookup = filled.where("wanted").where(F.col("version").isNotNull() & valid).select(
-        key, at, *[F.col(f"version.{c}").alias(c) for c in columns]
+
+
+def _asof_by_lookup(
+    facts: DataFrame, starts: DataFrame, key: str, at: str, columns: Sequence[str],
+    slicing: Slicing,
+) -> DataFrame:
+    """With hot keys: look versions up once per distinct (key, time), then join.
+
+    Facts of one instant collapse before the shuffle, the timeline of a hot key
+    is sliced, and the final join has a two-column key that AQE can split.
+    """
+    points = facts.select(key, at).where(F.col(key).isNotNull() & F.col(at).isNotNull())
+    both = points.withColumn("_fact", F.lit(1)).unionByName(
+        starts.withColumn("_fact", F.lit(0)), allowMissingColumns=True
+    )
+    # One row per (key, time): a version starting exactly at a fact's time wins.
+    distinct = both.groupBy(key, at).agg(
+        F.first("version", ignorenulls=True).alias("version"), F.max("_fact").alias("_fact")
     )
-    return facts.join(lookup, [key, at], "left")
+    ordered: Timeline = timeline(distinct, key, at, slicing)
+    lookup = ordered.carry_forward("version").done().where((F.col("_fact") == 1) & _valid_at(at))
+    return facts.join(
+        lookup.select(key, at, *[F.col(f"version.{c}").alias(c) for c in columns]),
+        [key, at], "left",
+    ).select(*facts.columns, *columns)

@@ -6,7 +6,9 @@ table is decided where it is used (``publish_view`` or ``replace_table``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from oreflow.functions.columns import money, prop
@@ -152,7 +154,12 @@ def fct_orders(items: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def fct_events(events: DataFrame, products: DataFrame, slicing: Slicing = Slicing()) -> DataFrame:
+def fct_events(
+    events: DataFrame,
+    products: DataFrame,
+    slicing: Slicing = Slicing(),
+    measure: Sequence[DataFrame] | None = None,
+) -> DataFrame:
     """One row per event with keys into the date and product dimensions.
 
     ``products`` is the product dimension with history: an event points to the
@@ -164,16 +171,20 @@ def fct_events(events: DataFrame, products: DataFrame, slicing: Slicing = Slicin
         prop("product_id").try_cast("bigint").alias("product_id"),
     )
     version = products.withColumn("product_valid_from", F.col("valid_from"))
-    return asof_join(
-        keyed, version, "product_id", "event_ts", ["product_key", "product_valid_from"], slicing
-    )
+    columns = ["product_key", "product_valid_from"]
+    return asof_join(keyed, version, "product_id", "event_ts", columns, slicing, measure)
 
 
 def items_at_catalog_price(
-    items: DataFrame, products: DataFrame, slicing: Slicing = Slicing()
+    items: DataFrame,
+    products: DataFrame,
+    slicing: Slicing = Slicing(),
+    measure: Sequence[DataFrame] | None = None,
 ) -> DataFrame:
     """Order facts with the catalog price that was valid at order time."""
-    return asof_join(items, products, "product_id", "order_created_at", ["unit_price"], slicing)
+    return asof_join(
+        items, products, "product_id", "order_created_at", ["unit_price"], slicing, measure
+    )
 
 
 def facts_without_customer(orders: DataFrame, customers: DataFrame) -> DataFrame:
@@ -261,8 +272,6 @@ def catalog_grid(categories: DataFrame, labels: tuple[str, ...]) -> DataFrame:
     join. Numbers run by category; the running offset is taken over one row
     per category.
     """
-    from pyspark.sql import Window
-
     grid = categories.select("category", "subcategory").distinct().withColumn(
         "label", F.explode(F.array(*[F.lit(x) for x in labels]))
     )

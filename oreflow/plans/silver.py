@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from oreflow.functions.columns import initial, masked_email, micros
 from oreflow.operators.keyed import current_state, first_arrival
-from oreflow.operators.ordered import Slicing, slice_hot_keys, with_next
+from oreflow.operators.ordered import Slicing, timeline
 from oreflow.schemas import SILVER_EVENT_COLUMNS, CdcTable
 
 
@@ -78,9 +78,8 @@ def life_line(
         key, *columns, "op", "changed_at", "kafka_offset",
         F.struct("changed_at", "kafka_offset", "kafka_partition").alias("_at"),
     )
-    followed = with_next(
-        slice_hot_keys(placed, key, "_at", slicing), key, "_at", F.col("changed_at"), "after"
-    )
+    ordered = timeline(placed, key, "_at", slicing)
+    followed = ordered.with_next(F.col("changed_at"), "after").done()
     spent = (micros(F.col("after.v")) - micros(F.col("changed_at"))) / F.lit(1_000_000.0)
     return followed.select(
         key, *columns, "op", "changed_at", "kafka_offset",

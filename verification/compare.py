@@ -64,7 +64,9 @@ def main() -> int:
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = set(sys.argv[2:])
-    spark = build_session("compare", "local[8]", 8, **{"spark.ui.enabled": "false"})
+    spark = build_session("compare", "local[8]", 8, **{
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+    })
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, bad = duck(sf_dir), oracle_sql(), 0
     for name, function in queries().items():
@@ -77,7 +79,7 @@ def main() -> int:
             else:
                 problem = None if function(spark, sf_dir).count() else "no rows"
         except Exception as error:  # noqa: BLE001
-            problem = f"{type(error).__name__}: {str(error)[:600]}"
+            problem = f"{type(error).__name__}: {str(error)[:300]}"
         bad += problem is not None
         state = "ok" if name in sqls else "rows only"
         print(f"{name:32s} {time.time() - began:6.2f}s {problem or state}", flush=True)

@@ -6,12 +6,10 @@ its size follows the table. ``oracle.py`` states the same rules in SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oreflow.functions.columns import sku
-from oreflow.functions.wire import add_header
 from oreflow.schemas import CDC_TABLES
 
 L, S, I, D, N = T.LongType(), T.StringType(), T.IntegerType(), T.DoubleType(), T.TimestampNTZType()
@@ -33,8 +31,8 @@ TABLES = {
 }
 
 SNAPSHOT_DAYS = ("2001-08-01", "2001-08-02", "2001-08-03")
-STATUS_PATH = ("pending", "paid", "shipped", "delivered")
-ORIGIN = "1995-01-01 00:00:00"
+ORIGIN = "timestamp '1995-01-01 00:00:00'"
+Y1997, Y1999 = "timestamp '1997-01-01 00:00:00'", "timestamp '1999-01-01 00:00:00'"
 CLICK_TOPIC = "events.v1"
 
 
@@ -46,13 +44,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return rows.withColumns(times) if times else rows
 
 
-def _pick(names: tuple[str, ...], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in names]), index.cast("int") + 1)
+def _days(at: str, days: str) -> str:
+    return f"timestamp_micros(unix_micros({at}) + cast({days} as bigint) * 86400000000)"
 
 
-def _plus(at: Column, unit: str, amount: Column) -> Column:
-    seconds = {"day": 86_400, "second": 1}[unit]
-    return F.timestamp_micros(F.unix_micros(at) + amount.cast("bigint") * F.lit(seconds * 1_000_000))
+def _seconds(at: str, seconds: str) -> str:
+    return f"timestamp_micros(unix_micros({at}) + cast({seconds} as bigint) * 1000000)"
+
+
+def _sku(key: str) -> str:
+    digits = f"cast({key} as string)"
+    padded = f"if(length({digits}) < 6, lpad({digits}, 6, '0'), {digits})"
+    return f"concat_ws('-', upper(left(p_type, 3)), upper(left(p_brand, 3)), {padded})"
+
+
+EMAIL = "concat(lower(replace(c_name, '#', '.')), '@example.com')"
 
 
 # ---------------------------------------------------------------------------
@@ -60,22 +66,24 @@ def _plus(at: Column, unit: str, amount: Column) -> Column:
 # ---------------------------------------------------------------------------
 def order_snapshots(orders: DataFrame) -> DataFrame:
     """Three days of full order copies; the status moves on by key."""
-    key = F.col("o_orderkey")
-    base = F.when(F.col("o_orderstatus") == "F", 3).when(F.col("o_orderstatus") == "P", 1).otherwise(0)
-    days = orders.withColumn("day", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
-    step = F.least(F.col("day"), key % 3)
-    status = F.when((F.col("day") == 2) & (key % 29 == 3), "cancelled").otherwise(
-        _pick(STATUS_PATH, F.least(base + step, F.lit(3)))
-    )
-    return days.select(
-        key.alias("order_id"),
-        F.when(key % 23 != 5, F.col("o_custkey")).alias("customer_id"),
-        status.alias("status"),
-        F.lit("USD").alias("currency"),
-        F.col("o_totalprice").alias("total_amount"),
-        F.col("o_orderdate").alias("created_at"),
-        _plus(F.col("o_orderdate"), "day", step).alias("updated_at"),
-        _pick(SNAPSHOT_DAYS, F.col("day")).alias("ds"),
+    return (
+        orders.selectExpr("*", "explode(array(0, 1, 2)) as day")
+        .selectExpr(
+            "*", "least(day, o_orderkey % 3) as step",
+            "case o_orderstatus when 'F' then 3 when 'P' then 1 else 0 end as base",
+        )
+        .selectExpr(
+            "o_orderkey as order_id",
+            "if(o_orderkey % 23 <> 5, o_custkey, null) as customer_id",
+            "case when day = 2 and o_orderkey % 29 = 3 then 'cancelled' "
+            "else array('pending', 'paid', 'shipped', 'delivered')"
+            "[cast(least(base + step, 3) as int)] end as status",
+            "'USD' as currency",
+            "o_totalprice as total_amount",
+            "o_orderdate as created_at",
+            f"{_days('o_orderdate', 'step')} as updated_at",
+            "array{}[day] as ds".format(SNAPSHOT_DAYS),
+        )
     )
 
 
@@ -85,245 +93,206 @@ def item_snapshots(lineitem: DataFrame) -> DataFrame:
     There is no natural item id; the grain is written out as text. The unit
     price is the extended price per piece, rounded half up on whole cents.
     """
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    pieces = F.col("l_quantity").cast("bigint")
-    unit_cents = F.floor(
-        (2 * cents + pieces) / (2 * pieces)
-    )
-    older = F.array(F.lit(SNAPSHOT_DAYS[1]), F.lit(SNAPSHOT_DAYS[2]))
-    newest = F.array(F.lit(SNAPSHOT_DAYS[2]))
-    early = F.col("l_shipdate") < F.lit("2000-01-01").cast("timestamp")
-    return lineitem.select(
-        F.concat_ws(
-            "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-            F.date_format("l_shipdate", "yyyyMMdd"),
-        ).alias("order_item_id"),
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        (unit_cents / F.lit(100.0)).alias("unit_price_at_purchase"),
-        F.explode(F.when(early, older).otherwise(newest)).alias("ds"),
+    return lineitem.selectExpr(
+        "*", "cast(round(l_extendedprice * 100) as bigint) as cents",
+        "cast(l_quantity as bigint) as pieces",
+    ).selectExpr(
+        "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+        "date_format(l_shipdate, 'yyyyMMdd')) as order_item_id",
+        "l_orderkey as order_id",
+        "l_partkey as product_id",
+        "cast(l_quantity as int) as quantity",
+        "((2 * cents + pieces) div (2 * pieces)) / 100.0D as unit_price_at_purchase",
+        "explode(if(l_shipdate < timestamp '2000-01-01 00:00:00', "
+        f"array{SNAPSHOT_DAYS[1:]}, array('{SNAPSHOT_DAYS[2]}'))) as ds",
     )
 
 
 def product_snapshots(part: DataFrame) -> DataFrame:
-    key = F.col("p_partkey")
-    created = F.lit(ORIGIN).cast("timestamp")
-    return part.select(
-        key.alias("product_id"),
-        sku(F.col("p_type"), F.col("p_brand"), key, 6).alias("sku"),
-        F.col("p_name").alias("name"),
-        F.col("p_type").alias("category"),
-        F.col("p_brand").alias("subcategory"),
-        F.col("p_retailprice").alias("unit_price"),
-        (F.col("p_size") % 10 != 0).alias("is_active"),
-        created.alias("created_at"),
-        _plus(created, "day", F.when(key % 4 == 0, 30).otherwise(0)).alias("updated_at"),
-        F.lit(SNAPSHOT_DAYS[2]).alias("ds"),
+    return part.selectExpr(
+        "p_partkey as product_id",
+        f"{_sku('p_partkey')} as sku",
+        "p_name as name",
+        "p_type as category",
+        "p_brand as subcategory",
+        "p_retailprice as unit_price",
+        "p_size % 10 <> 0 as is_active",
+        f"{ORIGIN} as created_at",
+        f"{_days(ORIGIN, 'if(p_partkey % 4 = 0, 30, 0)')} as updated_at",
+        f"'{SNAPSHOT_DAYS[2]}' as ds",
     )
 
 
-def _email(name: Column) -> Column:
-    return F.concat(F.lower(F.replace(name, F.lit("#"), F.lit("."))), F.lit("@example.com"))
-
-
 def customer_snapshots(customer: DataFrame, nation: DataFrame) -> DataFrame:
     joined = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    created = F.lit(ORIGIN).cast("timestamp")
-    return joined.select(
-        F.col("c_custkey").alias("customer_id"),
-        _email(F.col("c_name")).alias("email"),
-        F.col("c_name").alias("full_name"),
-        F.col("n_name").alias("country_code"),
-        (F.col("c_acctbal") > 5000).alias("marketing_opt_in"),
-        created.alias("created_at"),
-        created.alias("updated_at"),
-        F.lit(SNAPSHOT_DAYS[2]).alias("ds"),
+    return joined.selectExpr(
+        "c_custkey as customer_id",
+        f"{EMAIL} as email",
+        "c_name as full_name",
+        "n_name as country_code",
+        "c_acctbal > 5000 as marketing_opt_in",
+        f"{ORIGIN} as created_at",
+        f"{ORIGIN} as updated_at",
+        f"'{SNAPSHOT_DAYS[2]}' as ds",
     )
 
 
 # ---------------------------------------------------------------------------
 # Change feeds
 # ---------------------------------------------------------------------------
-def _iso(at: Column) -> Column:
-    return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+def _records(
+    rows: DataFrame, name: str, key: str, changes: list[str], image: dict[str, str],
+    varying: dict[str, tuple[str, str]],
+) -> DataFrame:
+    """Explode the changes of each row and wrap them as log records.
 
+    ``image`` maps column to text expression; ``varying`` maps column to its
+    fields in a change, after and before it.
+    """
+    def struct(side: int) -> str:
+        fields = {**image, **{c: f"c.{names[side]}" for c, names in varying.items()}}
+        ordered = [f"'{c}', {fields[c]}" for c in CDC_TABLES[name].columns]
+        return f"named_struct({', '.join(ordered)})"
 
-def _change(number: int, op: Column | str, at: Column, **values: Column) -> Column:
-    return F.struct(
-        F.lit(number).alias("number"),
-        (F.lit(op) if isinstance(op, str) else op).alias("op"),
-        at.alias("at"),
-        *[v.alias(c) for c, v in values.items()],
+    opened = rows.selectExpr(
+        "*", f"explode(filter(array({', '.join(changes)}), c -> c is not null)) as c"
+    )
+    body = (
+        f"to_json(named_struct('before', if(c.op in ('u', 'd'), {struct(1)}, null), "
+        f"'after', if(c.op <> 'd', {struct(0)}, null), 'op', c.op, "
+        "'ts_ms', unix_millis(c.at)), map('ignoreNullFields', 'false'))"
+    )
+    return opened.selectExpr(
+        f"cast(cast({key} as string) as binary) as key",
+        f"cast(if(c.op <> 't', {body}, null) as binary) as value",
+        f"'{CDC_TABLES[name].topic}' as topic",
+        f"cast({key} % 4 as int) as partition",
+        f"{key} * 8 + c.n as offset",
+        "c.at as timestamp",
     )
 
 
-def _some(condition: Column, change: Column) -> Column:
-    return F.when(condition, change)
+def _change(n: int, op: str, at: str, **values: str) -> str:
+    fields = "".join(f", '{c}', cast({v} as string)" for c, v in values.items())
+    return f"named_struct('n', {n}, 'op', {op}, 'at', {at}{fields})"
 
 
-def _records(
-    rows: DataFrame, name: str, key: Column, changes: list[Column], image: list[Column],
-    before: list[Column], extra: list[Column] | None = None,
-) -> DataFrame:
-    """Explode the changes of each row and wrap them as log records."""
-    kept = F.filter(F.array(*changes), lambda c: c.isNotNull())
-    opened = rows.select("*", F.explode(kept).alias("c"))
-    after = F.when(F.col("c.op") != "d", F.struct(*image, *(extra or [])))
-    old = F.when(F.col("c.op").isin("u", "d"), F.struct(*before))
-    body = F.to_json(
-        F.struct(
-            old.alias("before"), after.alias("after"), F.col("c.op").alias("op"),
-            F.unix_millis("c.at").alias("ts_ms"),
-        ),
-        {"ignoreNullFields": "false"},
-    )
-    return opened.select(
-        key.cast("string").cast("binary").alias("key"),
-        F.when(F.col("c.op") != "t", body).cast("binary").alias("value"),
-        F.lit(CDC_TABLES[name].topic).alias("topic"),
-        (key % 4).cast("int").alias("partition"),
-        (key * 8 + F.col("c.number")).alias("offset"),
-        F.col("c.at").alias("timestamp"),
-    )
+def _if(condition: str, change: str) -> str:
+    return f"if({condition}, {change}, null)"
+
+
+def _iso(at: str) -> str:
+    return f"date_format({at}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")"
 
 
 def order_changes(orders: DataFrame, drift: bool = False) -> DataFrame:
     """Create, pay, deliver, erase, delete, tombstone; with ties and repeats."""
-    key, made = F.col("o_orderkey"), F.col("o_orderdate")
-    total = F.col("o_totalprice").cast("decimal(12,2)")
-    total = F.when(key % 500 == 1, -total).otherwise(total).cast("string")
-    owner = F.col("o_custkey").cast("string")
-    paid_at = F.when(key % 17 == 0, made).otherwise(_plus(made, "day", F.lit(1)))
-    sent_at, gone_at = _plus(made, "day", F.lit(2)), _plus(made, "day", F.lit(3))
-    delivered = F.col("o_orderstatus") == "F"
-    last_owner = F.when(delivered & (key % 13 == 0), F.lit(None)).otherwise(owner)
-    last_status = F.when(delivered, "delivered").otherwise("paid")
-    none = F.lit(None).cast("string")
-
-    def change(number, op, at, status, who, status_before, who_before):
-        return _change(number, op, at, status=status, who=who, status_before=status_before,
-                       who_before=who_before)
-
-    pay = change(1, "u", paid_at, F.lit("paid"), owner, F.lit("pending"), owner)
+    base = orders.selectExpr(
+        "o_orderkey as k", "o_orderdate as made", "o_orderstatus = 'F' as f",
+        "o_custkey as who",
+        "cast(cast(if(o_orderkey % 500 = 1, -o_totalprice, o_totalprice) as decimal(12,2)) "
+        "as string) as total",
+    ).selectExpr("*", "if(f and k % 13 = 0, null, who) as last_who")
+
+    def change(n, op, at, status="null", who="null", old_status="null", old_who="null"):
+        return _change(n, op, at, status=status, who=who, old_status=old_status, old_who=old_who)
+
+    pay = change(
+        1, "'u'", f"if(k % 17 = 0, made, {_days('made', '1')})", "'paid'", "who", "'pending'", "who"
+    )
+    sent, gone = _days("made", "2"), _days("made", "3")
     changes = [
-        change(0, F.when(key % 7 == 0, "r").otherwise("c"), made, F.lit("pending"), owner, none, none),
+        change(0, "if(k % 7 = 0, 'r', 'c')", "made", "'pending'", "who"),
         pay,
-        _some(key % 19 == 0, pay),
-        _some(delivered, change(2, "u", sent_at, F.lit("delivered"), last_owner, F.lit("paid"), owner)),
-        _some(key % 10 == 0, change(3, "d", gone_at, none, none, last_status, last_owner)),
-        _some(key % 10 == 0, change(4, "t", gone_at, none, none, none, none)),
+        _if("k % 19 = 0", pay),
+        _if("f", change(2, "'u'", sent, "'delivered'", "last_who", "'paid'", "who")),
+        _if("k % 10 = 0", change(
+            3, "'d'", gone, old_status="if(f, 'delivered', 'paid')", old_who="last_who")),
+        _if("k % 10 = 0", change(4, "'t'", gone)),
     ]
-
-    def image(status: str, who: str) -> list[Column]:
-        return [
-            key.cast("string").alias("order_id"),
-            F.col(f"c.{who}").alias("customer_id"),
-            F.col(f"c.{status}").alias("status"),
-            F.lit("USD").alias("currency"),
-            total.alias("total_amount"),
-            _iso(made).alias("created_at"),
-            _iso(F.col("c.at")).alias("updated_at"),
-        ]
-
-    feed = _records(
-        orders, "orders", key, changes, image("status", "who"),
-        image("status_before", "who_before"),
-    )
+    image = {
+        "order_id": "cast(k as string)", "currency": "'USD'", "total_amount": "total",
+        "created_at": _iso("made"), "updated_at": _iso("c.at"),
+    }
+    varying = {"customer_id": ("who", "old_who"), "status": ("status", "old_status")}
+    feed = _records(base, "orders", "k", changes, image, varying)
     if not drift:
         return feed
     # An upstream release added columns to some rows.
-    number = F.col("key").cast("string").cast("bigint")
-    text = F.col("value").cast("string")
-    widened = F.when(
-        number % 97 == 0, F.replace(text, F.lit('"after":{'), F.lit('"after":{"channel":"web",'))
-    ).when(
-        number % 101 == 0, F.replace(text, F.lit('"after":{'), F.lit('"after":{"loyalty":"1","channel":"app",'))
-    ).otherwise(text)
-    return feed.withColumn("value", widened.cast("binary"))
+    return feed.selectExpr(
+        "key",
+        "cast(case when cast(cast(key as string) as bigint) % 97 = 0 then "
+        """replace(cast(value as string), '"after":{', '"after":{"channel":"web",') """
+        "when cast(cast(key as string) as bigint) % 101 = 0 then "
+        """replace(cast(value as string), '"after":{', '"after":{"loyalty":"1","channel":"app",') """
+        "else cast(value as string) end as binary) as value",
+        "topic", "partition", "offset", "timestamp",
+    )
 
 
 def product_changes(part: DataFrame) -> DataFrame:
     """Price changes, changes of nothing, two changes at one instant, deletes."""
-    key = F.col("p_partkey")
-    cents = F.round(F.col("p_retailprice") * 100).cast("bigint")
-    start = F.lit(ORIGIN).cast("timestamp")
-
-    def day(text: str, offset: Column) -> Column:
-        return _plus(F.lit(text).cast("timestamp"), "day", offset)
+    base = part.selectExpr(
+        "p_partkey as p", f"{_sku('p_partkey')} as sku", "p_name", "p_type", "p_brand",
+        "cast(p_size % 10 <> 0 as string) as active",
+        "cast(round(p_retailprice * 100) as bigint) as cents",
+        f"{_days(Y1997, 'p_partkey % 365')} as t1",
+        f"{_days(Y1999, 'p_partkey % 200')} as t3",
+    )
 
-    def price(tenths: int) -> Column:
-        return (F.floor(cents * tenths / 10).cast("decimal(12,0)") / 100).cast("decimal(10,2)").cast("string")
+    def price(tenths: int) -> str:
+        return f"cast(cast(cents * {tenths} div 10 as decimal(12,0)) / 100 as decimal(10,2))"
 
-    first, second = day("1997-01-01 00:00:00", key % 365), day("1999-01-01 00:00:00", key % 200)
     changes = [
-        _change(0, "c", start, price=price(10), old=price(10)),
-        _change(1, "u", first, price=price(11), old=price(10)),
-        _change(2, "u", _plus(first, "day", F.lit(30)), price=price(11), old=price(11)),
-        _some(key % 3 == 0, _change(3, "u", second, price=price(12), old=price(11))),
-        _some(key % 6 == 0, _change(4, "u", second, price=price(13), old=price(12))),
-        _some(key % 50 == 0, _change(5, "d", day("2000-06-01 00:00:00", F.lit(0)),
-                                     price=price(11), old=price(11))),
+        _change(0, "'c'", ORIGIN, price=price(10), old=price(10)),
+        _change(1, "'u'", "t1", price=price(11), old=price(10)),
+        _change(2, "'u'", _days("t1", "30"), price=price(11), old=price(11)),
+        _if("p % 3 = 0", _change(3, "'u'", "t3", price=price(12), old=price(11))),
+        _if("p % 6 = 0", _change(4, "'u'", "t3", price=price(13), old=price(12))),
+        _if("p % 50 = 0", _change(
+            5, "'d'", "timestamp '2000-06-01 00:00:00'", price=price(11), old=price(11))),
     ]
-
-    def image(value: str) -> list[Column]:
-        return [
-            key.cast("string").alias("product_id"),
-            sku(F.col("p_type"), F.col("p_brand"), key, 6).alias("sku"),
-            F.col("p_name").alias("name"),
-            F.col("p_type").alias("category"),
-            F.col("p_brand").alias("subcategory"),
-            F.col(f"c.{value}").alias("unit_price"),
-            (F.col("p_size") % 10 != 0).alias("is_active"),
-            _iso(start).alias("created_at"),
-            _iso(F.col("c.at")).alias("updated_at"),
-        ]
-
-    return _records(part, "products", key, changes, image("price"), image("old"))
+    image = {
+        "product_id": "cast(p as string)", "sku": "sku", "name": "p_name", "category": "p_type",
+        "subcategory": "p_brand", "is_active": "active", "created_at": _iso(ORIGIN),
+        "updated_at": _iso("c.at"),
+    }
+    return _records(base, "products", "p", changes, image, {"unit_price": ("price", "old")})
 
 
 def customer_changes(customer: DataFrame) -> DataFrame:
     """Moves to another country, changes of nothing, erasures."""
-    key, home = F.col("c_custkey"), F.col("c_nationkey")
-    start = F.lit(ORIGIN).cast("timestamp")
-    moved = _plus(F.lit("1997-01-01 00:00:00").cast("timestamp"), "day", key % 300)
-
-    def country(number: Column) -> Column:
-        return F.lpad(number.cast("string"), 2, "0")
-
-    old, new = country(home), country((home + 1) % 25)
+    base = customer.selectExpr(
+        "c_custkey as k", "c_name", f"{EMAIL} as email",
+        "cast(c_acctbal > 5000 as string) as opt_in",
+        "lpad(cast(c_nationkey as string), 2, '0') as home",
+        "lpad(cast((c_nationkey + 1) % 25 as string), 2, '0') as away",
+        f"{_days(Y1997, 'c_custkey % 300')} as moved",
+    )
+    erased = "timestamp '2000-01-01 00:00:00'"
     changes = [
-        _change(0, "c", start, country=old, old=old),
-        _some(key % 4 == 0, _change(1, "u", moved, country=new, old=old)),
-        _some(key % 8 == 0, _change(2, "u", _plus(moved, "day", F.lit(10)), country=new, old=new)),
-        _some(key % 9 == 0, _change(3, "d", F.lit("2000-01-01 00:00:00").cast("timestamp"),
-                                    country=old, old=F.when(key % 4 == 0, new).otherwise(old))),
-        _some(key % 9 == 0, _change(4, "t", F.lit("2000-01-01 00:00:00").cast("timestamp"),
-                                    country=old, old=old)),
+        _change(0, "'c'", ORIGIN, country="home", old="home"),
+        _if("k % 4 = 0", _change(1, "'u'", "moved", country="away", old="home")),
+        _if("k % 8 = 0", _change(2, "'u'", _days("moved", "10"), country="away", old="away")),
+        _if("k % 9 = 0", _change(
+            3, "'d'", erased, country="home", old="if(k % 4 = 0, away, home)")),
+        _if("k % 9 = 0", _change(4, "'t'", erased, country="home", old="home")),
     ]
-
-    def image(value: str) -> list[Column]:
-        return [
-            key.cast("string").alias("customer_id"),
-            _email(F.col("c_name")).alias("email"),
-            F.col("c_name").alias("full_name"),
-            F.col(f"c.{value}").alias("country_code"),
-            (F.col("c_acctbal") > 5000).alias("marketing_opt_in"),
-            _iso(start).alias("created_at"),
-            _iso(F.col("c.at")).alias("updated_at"),
-        ]
-
-    return _records(customer, "customers", key, changes, image("country"), image("old"))
+    image = {
+        "customer_id": "cast(k as string)", "email": "email", "full_name": "c_name",
+        "marketing_opt_in": "opt_in", "created_at": _iso(ORIGIN), "updated_at": _iso("c.at"),
+    }
+    return _records(base, "customers", "k", changes, image, {"country_code": ("country", "old")})
 
 
 # ---------------------------------------------------------------------------
 # Click log
 # ---------------------------------------------------------------------------
 # Driver event types in terms of the data contract.
-EVENT_NAMES = {
-    "view": "product_view", "click": "add_to_cart", "signup": "begin_checkout",
-    "purchase": "purchase", "error": "page_view",
-}
+EVENT_NAMES = (
+    "case event_type when 'view' then 'product_view' when 'click' then 'add_to_cart' "
+    "when 'signup' then 'begin_checkout' when 'error' then 'page_view' else event_type end"
+)
 
 
 def click_log(events: DataFrame) -> DataFrame:
@@ -332,52 +301,44 @@ def click_log(events: DataFrame) -> DataFrame:
     Damage sits where ``event_id % 50 = 7``: no header, no value, one byte, or
     a payload cut short. Some of the records without header were sent again.
     """
-    number, user, at = F.col("event_id"), F.col("user_id"), F.col("ts")
-    late = F.when(number % 50 == 3, 60 + number % 240).otherwise(0)
-    product = F.get_json_object("props", "$.k")
-    buys = F.col("event_type") == "purchase"
-    named = F.create_map(*[F.lit(x) for pair in EVENT_NAMES.items() for x in pair])
-    properties = F.map_from_entries(F.filter(
-        F.array(
-            F.struct(F.lit("product_id").alias("k"), product.alias("v")),
-            F.when(buys & (number % 30 != 3),
-                   F.struct(F.lit("order_id").alias("k"), (number * 2).cast("string").alias("v"))),
-            F.when(buys, F.struct(F.lit("order_value").alias("k"), F.col("value").cast("string").alias("v"))),
-        ),
-        lambda entry: entry.isNotNull(),
-    ))
-    payload = F.to_json(F.struct(
-        number.cast("string").alias("event_id"),
-        F.element_at(named, F.col("event_type")).alias("event_type"),
-        F.unix_millis(_plus(at, "second", -late)).alias("event_ts"),
-        F.when(number % 90 != 5, user.cast("string")).alias("session_id"),
-        F.when(user % 3 != 0, user).alias("customer_id"),
-        F.struct(
-            _pick(("mobile", "desktop", "tablet"), user % 3).alias("type"),
-            _pick(("android", "linux", "ios"), user % 3).alias("os"),
-            _pick(("firefox", "chrome"), user % 2).alias("browser"),
-        ).alias("device"),
-        F.concat(F.lit("/item/"), product).alias("page_url"),
-        F.when(number % 2 == 1, F.lit("/home")).alias("referrer"),
-        properties.alias("properties"),
-    ))
-    whole = add_header(payload.cast("binary"))
-    cut_short = add_header(F.concat(F.lit('{"event_id": "'), number.cast("string")).cast("binary"))
-    damage = F.when(F.col("copy") == 0, number % 200)
-    value = (
-        F.when(damage == 7, payload.cast("binary"))
-        .when(damage == 57, F.lit(None).cast("binary"))
-        .when(damage == 107, F.lit(bytearray(b"\x00")))
-        .when(damage == 157, cut_short)
-        .otherwise(whole)
-    )
-    twice = (number % 50 == 0) | (number % 600 == 7)
-    copies = F.when(twice, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return events.withColumn("copy", F.explode(copies)).select(
-        user.cast("string").cast("binary").alias("key"),
-        value.alias("value"),
-        F.lit(CLICK_TOPIC).alias("topic"),
-        (user % 3).cast("int").alias("partition"),
-        (number * 2 + F.col("copy")).alias("offset"),
-        _plus(at, "second", 1 + 60 * F.col("copy")).alias("timestamp"),
+    late = "if(event_id % 50 = 3, -(60 + event_id % 240), 0)"
+    buys = "event_type = 'purchase'"
+    payload = f"""to_json(named_struct(
+        'event_id', cast(event_id as string),
+        'event_type', {EVENT_NAMES},
+        'event_ts', unix_millis({_seconds('ts', late)}),
+        'session_id', if(event_id % 90 <> 5, cast(user_id as string), null),
+        'customer_id', if(user_id % 3 <> 0, user_id, null),
+        'device', named_struct(
+            'type', array('mobile', 'desktop', 'tablet')[cast(user_id % 3 as int)],
+            'os', array('android', 'linux', 'ios')[cast(user_id % 3 as int)],
+            'browser', array('firefox', 'chrome')[cast(user_id % 2 as int)]),
+        'page_url', concat('/item/', k),
+        'referrer', if(event_id % 2 = 1, '/home', null),
+        'properties', map_from_entries(filter(array(
+            named_struct('name', 'product_id', 'value', k),
+            if({buys} and event_id % 30 <> 3, named_struct('name', 'order_id',
+                'value', cast(event_id * 2 as string)), null),
+            if({buys}, named_struct('name', 'order_value', 'value', cast(value as string)), null)
+        ), entry -> entry is not null))))"""
+    header = "X'0000000001'"
+    return (
+        events.selectExpr("*", "get_json_object(props, '$.k') as k")
+        .selectExpr(
+            "event_id", "user_id", "ts", f"cast({payload} as binary) as payload",
+            "explode(if(event_id % 50 = 0 or event_id % 600 = 7, array(0, 1), array(0))) as copy",
+        )
+        .selectExpr(
+            "cast(cast(user_id as string) as binary) as key",
+            f"""case if(copy = 0, event_id % 200, null)
+                when 7 then payload
+                when 57 then null
+                when 107 then X'00'
+                when 157 then concat({header}, cast(concat('{{"event_id": "', event_id) as binary))
+                else concat({header}, payload) end as value""",
+            f"'{CLICK_TOPIC}' as topic",
+            "cast(user_id % 3 as int) as partition",
+            "event_id * 2 + copy as offset",
+            f"{_seconds('ts', '1 + 60 * copy')} as timestamp",
+        )
     )

@@ -92,6 +92,12 @@ class Shapes:
         raw = bronze.bronze_cdc(feeds.product_changes(self.table("part")), F.col("timestamp"))
         return silver.typed_changes(raw, PRODUCTS)
 
+    def product_change_keys(self) -> DataFrame:
+        """Product id of every change record, from the message key alone."""
+        return feeds.product_changes(self.table("part")).select(
+            F.col("key").cast("string").cast("bigint").alias("product_id")
+        )
+
     def customer_history(self) -> DataFrame:
         raw = bronze.bronze_cdc(feeds.customer_changes(self.table("customer")), F.col("timestamp"))
         return silver.typed_changes(raw, CUSTOMERS)
@@ -433,7 +439,10 @@ def dim_customer_scd2(s):
 @query
 def scd2_asof_join(s):
     facts = s.facts().select("order_item_id", "product_id", "quantity", "order_created_at")
-    return gold.items_at_catalog_price(facts, gold.dim_product_scd2(s.product_history()))
+    return gold.items_at_catalog_price(
+        facts, gold.dim_product_scd2(s.product_history()),
+        measure=[s.stg_items(), s.product_change_keys()],
+    )
 
 
 @query
@@ -639,7 +648,12 @@ def top_products_per_window(s):
 @query
 def fct_events(s):
     products = gold.dim_product_scd2(s.product_history())
-    return gold.fct_events(s.silver(), products).drop("product_key")
+    viewed = s.table("events").select(
+        F.get_json_object("props", "$.k").cast("bigint").alias("product_id")
+    )
+    return gold.fct_events(
+        s.silver(), products, measure=[viewed, s.product_change_keys()]
+    ).drop("product_key")
 
 
 # ---------------------------------------------------------------------------
