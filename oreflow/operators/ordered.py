@@ -197,13 +197,14 @@ def timeline(
     key: str,
     at: str,
     slicing: Slicing = Slicing(),
-    sizes: KeySizes | None = None,
+    measure: DataFrame | None = None,
 ) -> Timeline:
     """Order the rows of each key by ``at``, cutting hot keys into slices.
 
-    ``sizes`` saves the measuring pass when the caller has measured already.
+    ``measure`` is a cheaper frame with at least as many rows per key, to take
+    the key sizes from.
     """
-    sizes = sizes or key_sizes(key, df, slicing=slicing)
+    sizes = key_sizes(key, df if measure is None else measure, slicing=slicing)
     if not sizes.any_hot:
         return Timeline(df, key, at, sliced=False)
     cuts = _cut_points(df, key, at, sizes)

@@ -16,6 +16,7 @@ def scd2(
     tracked: Sequence[str],
     surrogate: str,
     slicing: Slicing = Slicing(),
+    measure: DataFrame | None = None,
 ) -> DataFrame:
     """Change history to intervals ``[valid_from, valid_to)``, one per state.
 
@@ -23,7 +24,7 @@ def scd2(
     that leaves every tracked column as it was opens no interval. A delete
     closes the interval and opens none.
     """
-    changes = timeline(history, key, "changed_at", slicing)
+    changes = timeline(history, key, "changed_at", slicing, measure)
     # Partial aggregation: many changes at one instant collapse before the shuffle.
     state = F.struct((F.col("op") == "d").alias("gone"), *tracked)
     last = F.max_by(state, F.struct("kafka_offset", "kafka_partition")).alias("state")

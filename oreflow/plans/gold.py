@@ -107,14 +107,18 @@ def dim_customer(customers: DataFrame) -> DataFrame:
     )
 
 
-def dim_product_scd2(history: DataFrame, slicing: Slicing = Slicing()) -> DataFrame:
+def dim_product_scd2(
+    history: DataFrame, slicing: Slicing = Slicing(), measure: DataFrame | None = None
+) -> DataFrame:
     tracked = ["sku", "name", "category", "subcategory", "unit_price", "is_active"]
-    return scd2(history, "product_id", tracked, "product_key", slicing)
+    return scd2(history, "product_id", tracked, "product_key", slicing, measure)
 
 
-def dim_customer_scd2(history: DataFrame, slicing: Slicing = Slicing()) -> DataFrame:
+def dim_customer_scd2(
+    history: DataFrame, slicing: Slicing = Slicing(), measure: DataFrame | None = None
+) -> DataFrame:
     tracked = ["email", "full_name", "country_code", "marketing_opt_in"]
-    return scd2(history, "customer_id", tracked, "customer_key", slicing)
+    return scd2(history, "customer_id", tracked, "customer_key", slicing, measure)
 
 
 def dim_date(rows: DataFrame, at: str) -> DataFrame:

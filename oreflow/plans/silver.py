@@ -71,14 +71,18 @@ def cdc_current(history: DataFrame, table: CdcTable) -> DataFrame:
 
 
 def life_line(
-    history: DataFrame, key: str, columns: Sequence[str], slicing: Slicing = Slicing()
+    history: DataFrame,
+    key: str,
+    columns: Sequence[str],
+    slicing: Slicing = Slicing(),
+    measure: DataFrame | None = None,
 ) -> DataFrame:
     """Changes of each key in order, with the time spent until the next one."""
     placed = history.select(
         key, *columns, "op", "changed_at", "kafka_offset",
         F.struct("changed_at", "kafka_offset", "kafka_partition").alias("_at"),
     )
-    ordered = timeline(placed, key, "_at", slicing)
+    ordered = timeline(placed, key, "_at", slicing, measure)
     followed = ordered.with_next(F.col("changed_at"), "after").done()
     spent = (micros(F.col("after.v")) - micros(F.col("changed_at"))) / F.lit(1_000_000.0)
     return followed.select(

@@ -44,6 +44,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return rows.withColumns(times) if times else rows
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Let all cores work on a table that is stored as one small file.
+
+    Building and parsing records costs far more than moving the rows. A table
+    whose scan already has a task per core is left alone.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def _days(at: str, days: str) -> str:
     return f"timestamp_micros(unix_micros({at}) + cast({days} as bigint) * 86400000000)"
 
@@ -187,7 +197,7 @@ def _iso(at: str) -> str:
 
 def order_changes(orders: DataFrame, drift: bool = False) -> DataFrame:
     """Create, pay, deliver, erase, delete, tombstone; with ties and repeats."""
-    base = orders.selectExpr(
+    base = spread(orders).selectExpr(
         "o_orderkey as k", "o_orderdate as made", "o_orderstatus = 'F' as f",
         "o_custkey as who",
         "cast(cast(if(o_orderkey % 500 = 1, -o_totalprice, o_totalprice) as decimal(12,2)) "
@@ -232,7 +242,7 @@ def order_changes(orders: DataFrame, drift: bool = False) -> DataFrame:
 
 def product_changes(part: DataFrame) -> DataFrame:
     """Price changes, changes of nothing, two changes at one instant, deletes."""
-    base = part.selectExpr(
+    base = spread(part).selectExpr(
         "p_partkey as p", f"{_sku('p_partkey')} as sku", "p_name", "p_type", "p_brand",
         "cast(p_size % 10 <> 0 as string) as active",
         "cast(round(p_retailprice * 100) as bigint) as cents",
@@ -262,7 +272,7 @@ def product_changes(part: DataFrame) -> DataFrame:
 
 def customer_changes(customer: DataFrame) -> DataFrame:
     """Moves to another country, changes of nothing, erasures."""
-    base = customer.selectExpr(
+    base = spread(customer).selectExpr(
         "c_custkey as k", "c_name", f"{EMAIL} as email",
         "cast(c_acctbal > 5000 as string) as opt_in",
         "lpad(cast(c_nationkey as string), 2, '0') as home",
@@ -323,7 +333,7 @@ def click_log(events: DataFrame) -> DataFrame:
         ), entry -> entry is not null))))"""
     header = "X'0000000001'"
     return (
-        events.selectExpr("*", "get_json_object(props, '$.k') as k")
+        spread(events).selectExpr("*", "get_json_object(props, '$.k') as k")
         .selectExpr(
             "event_id", "user_id", "ts", f"cast({payload} as binary) as payload",
             "explode(if(event_id % 50 = 0 or event_id % 600 = 7, array(0, 1), array(0))) as copy",

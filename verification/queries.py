@@ -92,11 +92,22 @@ class Shapes:
         raw = bronze.bronze_cdc(feeds.product_changes(self.table("part")), F.col("timestamp"))
         return silver.typed_changes(raw, PRODUCTS)
 
-    def product_change_keys(self) -> DataFrame:
-        """Product id of every change record, from the message key alone."""
-        return feeds.product_changes(self.table("part")).select(
-            F.col("key").cast("string").cast("bigint").alias("product_id")
-        )
+    @staticmethod
+    def change_keys(feed: DataFrame, name: str) -> DataFrame:
+        """Key of every change record, from the message key alone: no parsing."""
+        return feed.select(F.col("key").cast("string").cast("bigint").alias(name))
+
+    def order_keys(self) -> DataFrame:
+        return self.change_keys(feeds.order_changes(self.table("orders")), "order_id")
+
+    def product_keys(self) -> DataFrame:
+        return self.change_keys(feeds.product_changes(self.table("part")), "product_id")
+
+    def customer_keys(self) -> DataFrame:
+        return self.change_keys(feeds.customer_changes(self.table("customer")), "customer_id")
+
+    def product_versions(self) -> DataFrame:
+        return gold.dim_product_scd2(self.product_history(), measure=self.product_keys())
 
     def customer_history(self) -> DataFrame:
         raw = bronze.bronze_cdc(feeds.customer_changes(self.table("customer")), F.col("timestamp"))
@@ -423,25 +434,27 @@ def state_as_of(s):
 
 @query
 def order_lifecycle(s):
-    return silver.life_line(s.order_history(), "order_id", ["status"])
+    return silver.life_line(
+        s.order_history(), "order_id", ["status"], measure=s.order_keys()
+    )
 
 
 @query
 def dim_product_scd2(s):
-    return gold.dim_product_scd2(s.product_history()).drop("product_key")
+    return s.product_versions().drop("product_key")
 
 
 @query
 def dim_customer_scd2(s):
-    return gold.dim_customer_scd2(s.customer_history()).drop("customer_key")
+    return gold.dim_customer_scd2(s.customer_history(), measure=s.customer_keys()).drop("customer_key")
 
 
 @query
 def scd2_asof_join(s):
     facts = s.facts().select("order_item_id", "product_id", "quantity", "order_created_at")
     return gold.items_at_catalog_price(
-        facts, gold.dim_product_scd2(s.product_history()),
-        measure=[s.stg_items(), s.product_change_keys()],
+        facts, s.product_versions(),
+        measure=[s.stg_items(), s.product_keys()],
     )
 
 
@@ -647,12 +660,12 @@ def top_products_per_window(s):
 
 @query
 def fct_events(s):
-    products = gold.dim_product_scd2(s.product_history())
+    products = s.product_versions()
     viewed = s.table("events").select(
         F.get_json_object("props", "$.k").cast("bigint").alias("product_id")
     )
     return gold.fct_events(
-        s.silver(), products, measure=[viewed, s.product_change_keys()]
+        s.silver(), products, measure=[viewed, s.product_keys()]
     ).drop("product_key")
 
 
