@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,14 +108,13 @@ def create_like(spark: SparkSession, name: str, rows: DataFrame, partition_by: s
 
 def load_day(spark: SparkSession, snapshots: DataFrame, name: str, ds: str) -> None:
     """Load one day into a table partitioned by ``ds``, replacing that day."""
-    day = snapshots.where(F.col("ds") == ds)
     create_like(spark, name, snapshots, "ds")
-    columns = spark.table(name).columns
-    (
-        day.select(*columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(name)
+    columns = [c for c in spark.table(name).columns if c != "ds"]
+    day = snapshots.where(F.col("ds") == ds).select(*columns)
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {name} PARTITION (ds = '{date.fromisoformat(ds)}') "
+        "SELECT * FROM {day}",
+        day=day,
     )
 
 
