@@ -16,11 +16,21 @@ class QualityGateError(RuntimeError):
 
 @dataclass(frozen=True)
 class Check:
-    """A named check; ``violations`` holds the violating rows."""
+    """A named check over ``rows``.
+
+    With a ``predicate`` the violations are the rows that satisfy it, and all
+    such checks of one frame share a single scan. Without one, every row is a
+    violation: the frame is the result of a grouping or a join.
+    """
 
     name: str
-    violations: DataFrame
+    rows: DataFrame
     key: str
+    predicate: Column | None = None
+
+    @property
+    def violations(self) -> DataFrame:
+        return self.rows if self.predicate is None else self.rows.where(self.predicate)
 
 
 def duplicates(df: DataFrame, *keys: str) -> DataFrame:
@@ -35,7 +45,11 @@ def not_unique(df: DataFrame, column: str) -> DataFrame:
 
 def any_null(df: DataFrame, *columns: str) -> DataFrame:
     """Rows in which one of the columns is null."""
-    return df.where(reduce(Column.__or__, [F.col(c).isNull() for c in columns]))
+    return df.where(is_any_null(*columns))
+
+
+def is_any_null(*columns: str) -> Column:
+    return reduce(Column.__or__, [F.col(c).isNull() for c in columns])
 
 
 def not_accepted(df: DataFrame, column: str, accepted: Sequence[str]) -> DataFrame:
@@ -50,16 +64,30 @@ def not_accepted(df: DataFrame, column: str, accepted: Sequence[str]) -> DataFra
 def report(checks: Iterable[Check]) -> DataFrame:
     """One row per check: name, number of violating rows, smallest violating key.
 
-    Every check is one partial aggregate, so nothing but a row per task moves.
+    Each frame is aggregated once for all its row checks, so nothing but one
+    row per task moves, and a table with many checks is read once.
     """
-    rows = [
-        check.violations.agg(
-            F.count("*").alias("violations"),
-            F.min(F.col(check.key).cast("string")).alias("sample"),
-        ).select(F.lit(check.name).alias("check"), "violations", "sample")
-        for check in checks
-    ]
-    return reduce(DataFrame.unionByName, rows)
+    groups: dict[int, list[Check]] = {}
+    for position, check in enumerate(checks):
+        same_scan = -1 - position if check.predicate is None else id(check.rows)
+        groups.setdefault(same_scan, []).append(check)
+    return reduce(DataFrame.unionByName, [_one_scan(group) for group in groups.values()])
+
+
+def _one_scan(checks: list[Check]) -> DataFrame:
+    counters = []
+    for i, check in enumerate(checks):
+        hit = F.lit(True) if check.predicate is None else check.predicate
+        key = F.col(check.key).cast("string")
+        counters += [F.count(F.when(hit, 1)).alias(f"n{i}"), F.min(F.when(hit, key)).alias(f"k{i}")]
+    outcomes = F.array(*[
+        F.struct(
+            F.lit(check.name).alias("check"), F.col(f"n{i}").alias("violations"),
+            F.col(f"k{i}").alias("sample"),
+        )
+        for i, check in enumerate(checks)
+    ])
+    return checks[0].rows.agg(*counters).select(F.inline(outcomes))
 
 
 def run_gate(checks: Sequence[Check], examples: int = 5) -> DataFrame:

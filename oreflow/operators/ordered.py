@@ -133,6 +133,14 @@ class Timeline:
         """What a window or an aggregate of this timeline partitions by."""
         return [self.key, SLICE] if self.sliced else [self.key]
 
+    def gathered(self) -> Timeline:
+        """Bring keys together ahead of several steps that group by key.
+
+        One shuffle then serves them all. Hot keys are not gathered: there a
+        grouping has to combine rows before it moves them.
+        """
+        return self if self.sliced else self.then(lambda rows: rows.repartition(self.key))
+
     def done(self) -> DataFrame:
         return self.rows.drop(SLICE) if self.sliced else self.rows
 

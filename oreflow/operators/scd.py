@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from oreflow.operators.ordered import Slicing, Timeline, key_sizes, timeline
 
 
+NULL_KEY_SALTS = 10_000
+NESTED = ("map", "array", "struct", "variant")
+
+
 def scd2(
     history: DataFrame,
     key: str,
@@ -22,10 +26,10 @@ def scd2(
 
     Of several changes at the same time the last log position counts. A change
     that leaves every tracked column as it was opens no interval. A delete
-    closes the interval and opens none.
+    closes the interval and opens none. Changes without a key are left out.
     """
-    changes = timeline(history, key, "changed_at", slicing, measure)
-    # Partial aggregation: many changes at one instant collapse before the shuffle.
+    keyed = history.where(F.col(key).isNotNull())
+    changes = timeline(keyed, key, "changed_at", slicing, measure).gathered()
     state = F.struct((F.col("op") == "d").alias("gone"), *tracked)
     last = F.max_by(state, F.struct("kafka_offset", "kafka_partition")).alias("state")
     # A deleted key has one state, whatever its last image said.
@@ -83,12 +87,16 @@ def _asof_in_one_pass(
     facts: DataFrame, starts: DataFrame, key: str, at: str, columns: Sequence[str]
 ) -> DataFrame:
     """Facts between version starts in one window; one shuffle of the facts."""
+    # Facts without a key find no version. They may be many, so they are spread
+    # by the values of their plain columns instead of meeting in one task.
+    plain = [f.name for f in facts.schema.fields if f.dataType.typeName() not in NESTED]
+    salt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*plain), F.lit(NULL_KEY_SALTS)))
     both = (
         facts.withColumn("_fact", F.lit(1))
         .unionByName(starts.withColumn("_fact", F.lit(0)), allowMissingColumns=True)
     )
     in_order = (
-        Window.partitionBy(key)
+        Window.partitionBy(key, salt)
         .orderBy(F.col(at), F.col("_fact"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )

@@ -77,8 +77,11 @@ def life_line(
     slicing: Slicing = Slicing(),
     measure: DataFrame | None = None,
 ) -> DataFrame:
-    """Changes of each key in order, with the time spent until the next one."""
-    placed = history.select(
+    """Changes of each key in order, with the time spent until the next one.
+
+    Changes without a key belong to no life line and are left out.
+    """
+    placed = history.where(F.col(key).isNotNull()).select(
         key, *columns, "op", "changed_at", "kafka_offset",
         F.struct("changed_at", "kafka_offset", "kafka_partition").alias("_at"),
     )

@@ -84,7 +84,11 @@ def replay(
         .when(F.col("landed"), "already landed")
         .otherwise("recovered")
     )
-    keyed = decoded.withColumn("event_id", F.when(F.col("is_valid"), F.col("e.event_id")))
+    # Invalid records have no id; a key of their own keeps them from piling up on null.
+    own = F.concat_ws(":", F.lit("!"), "partition", "offset")
+    keyed = decoded.withColumn(
+        "event_id", F.when(F.col("is_valid"), F.col("e.event_id")).otherwise(own)
+    )
     return keyed.join(landed, "event_id", "left").withColumn("outcome", outcome)
 
 

@@ -155,10 +155,10 @@ def test_replay_outcomes(spark):
 # --- quality ---------------------------------------------------------------
 def test_report_lists_passed_checks_too(spark):
     df = frame(spark, 3, 1, 2)
-    out = report([Check("all", df, "k"), Check("none", df.where("k > 9"), "k")])
+    out = report([Check("all", df, "k"), Check("none", df, "k", F.col("k") > 9)])
     assert rows(out) == [("all", 3, "1"), ("none", 0, None)]
     with pytest.raises(QualityGateError, match="all.*3"):
-        run_gate([Check("all", df, "k"), Check("none", df.where("k > 9"), "k")])
+        run_gate([Check("all", df, "k"), Check("none", df, "k", F.col("k") > 9)])
     assert run_gate([Check("none", df.where("k > 9"), "k")]).count() == 1
 
 

@@ -525,17 +525,17 @@ def gate_duplicate_keys(s):
 
 @query
 def gate_null_keys(s):
-    return quality.null_keys(s.silver()).select("event_id", "event_ts", "session_id")
+    return s.silver().where(quality.has_null_key()).select("event_id", "event_ts", "session_id")
 
 
 @query
 def gate_purchase_without_order(s):
-    return quality.purchases_without_order_id(s.silver()).select("event_id", "event_ts")
+    return s.silver().where(quality.is_purchase_without_order_id()).select("event_id", "event_ts")
 
 
 @query
 def gate_negative_totals(s):
-    return quality.negative_totals(s.orders_current()).select("order_id", "total_amount")
+    return s.orders_current().where(quality.has_negative_total()).select("order_id", "total_amount")
 
 
 @query
