@@ -6,9 +6,10 @@ from collections.abc import Mapping
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from oreflow.operators.checks import keep_results, run_gate
-from oreflow.plans import gold, quality, silver
+from oreflow.plans import gold, quality, silver, upkeep
 from oreflow.schemas import CDC_TABLES, RETENTION_DAYS, SILVER_CDC_TABLES
 from oreflow.sources import tables
 
@@ -27,8 +28,6 @@ def hourly_silver(
     Each history is written first and read back for the current state, so the
     feed is parsed once.
     """
-    from pyspark.sql import functions as F
-
     clicks = silver.silver_events(bronze_events).withColumn("event_date", F.to_date("event_ts"))
     tables.replace_table(spark, f"{database}.events", clicks, ["event_date"], lakehouse)
     for name in SILVER_CDC_TABLES:
@@ -103,3 +102,24 @@ def expire_builds(
     now = now or datetime.now(timezone.utc)
     cutoff = now - timedelta(days=RETENTION_DAYS)
     return {name: tables.expire_versions(spark, name, cutoff) for name in names}
+
+
+def weekly_upkeep(
+    spark: SparkSession,
+    small_files: Mapping[str, tuple[DataFrame, list[str]]],
+    tables_kept: list[str],
+    dead: DataFrame,
+    archive_path: str,
+    now: datetime | None = None,
+) -> dict[str, object]:
+    """Compaction, then retention, then the dead-letter archive.
+
+    ``small_files`` maps a target folder to the frame to rewrite there (closed
+    days of bronze, say) and its partition columns.
+    """
+    compacted = {
+        target: upkeep.compact(rows, target, split) for target, (rows, split) in small_files.items()
+    }
+    expired = expire_builds(spark, tables_kept, now)
+    upkeep.archive_dead_letters(spark, dead, archive_path)
+    return {"compacted": compacted, "expired": expired}

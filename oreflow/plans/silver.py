@@ -18,6 +18,14 @@ def silver_events(bronze: DataFrame) -> DataFrame:
     return first_arrival(bronze, "event_id").select(*SILVER_EVENT_COLUMNS)
 
 
+def new_events(increment: DataFrame, present: DataFrame) -> DataFrame:
+    """Events of a bronze increment that silver does not hold yet, to be appended.
+
+    An increment is small against silver, so repeats inside it go first.
+    """
+    return silver_events(increment).join(present.select("event_id"), "event_id", "left_anti")
+
+
 def duplicate_rate(bronze: DataFrame) -> DataFrame:
     """Bronze rows, distinct events, and the repeats between them."""
     per_event = bronze.groupBy("event_id").agg(F.count("*").alias("n"))

@@ -38,11 +38,6 @@ def compact(
     return parts
 
 
-def compact_lakehouse(spark: SparkSession, catalog: str, table: str) -> DataFrame:
-    """Compaction by the table format itself, where the catalog supports it."""
-    return spark.sql(f"CALL {catalog}.system.rewrite_data_files(table => '{table}')")
-
-
 def new_dead_letters(dead: DataFrame, archive: DataFrame | None) -> DataFrame:
     """Archive rows that are not archived yet, by log position."""
     return dead if archive is None else dead.join(archive.select(*POSITION), POSITION, "left_anti")

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from oreflow.functions.wire import HEADER_BYTES, add_header, decode_clicks, has_header
 from oreflow.operators.checks import Check, QualityGateError, report, run_gate
-from oreflow.plans import bronze, jobs, quality, upkeep
-from oreflow.schemas import BRONZE_EVENTS, SNAPSHOTS
-from oreflow.sources import tables
+from oreflow.plans import bronze, jobs, quality, silver, upkeep
+from oreflow.schemas import BRONZE_CDC, BRONZE_EVENTS, SNAPSHOTS
+from oreflow.sources import lakehouse, tables
 from tests.builders import cdc, change, click, event, events, order, record, records, wire
 from tests.conftest import at, rows
 
@@ -226,3 +226,44 @@ def test_daily_job_twice_for_a_day(spark, database, tmp_path):
     assert spark.table("stg_payments").count() == 1
     with pytest.raises(QualityGateError, match="accepted values"):
         jobs.daily_batch(spark, extracts(spark, "returned"), lake, "2024-03-03", raw, marts)
+
+
+def test_weekly_job(spark, database, tmp_path):
+    small, target, archive = (str(tmp_path / n) for n in ("small", "target", "archive"))
+    spark.range(100).withColumn("d", F.col("id") % 2).repartition(10).write.parquet(small)
+    name = f"{database}.t"
+    for v in range(6):
+        tables.replace_table(spark, name, frame(spark, v))
+    later = dt.datetime.now(dt.timezone.utc) + dt.timedelta(days=8)
+    for _ in range(2):
+        out = jobs.weekly_upkeep(
+            spark, {target: (spark.read.parquet(small), ["d"])}, [name], dead(spark, 1), archive, later
+        )
+    assert out["compacted"] == {target: 1} and out["expired"] == {name: []}
+    assert len(tables.versions(spark, name)) == 5
+    assert spark.read.parquet(target).count() == 100 and spark.read.parquet(archive).count() == 1
+
+
+def test_increment_appends_only_new_events(spark):
+    first = events(spark, [event("a", session="old"), event("b")])
+    second = events(spark, [event("a", session="again"), event("c"), event("c", ingested="10:09")])
+    present = silver.silver_events(first)
+    assert rows(silver.new_events(second, present), "event_id", "ingested_at") == [
+        ("c", at("10:00:01").replace(tzinfo=None))
+    ]
+
+
+def test_lakehouse_statements_are_valid_sql(spark):
+    parser = spark._jsparkSession.sessionState().sqlParser()
+    for text in (
+        lakehouse.create_statement("lake.bronze.events", BRONZE_EVENTS, "days(event_ts)", "iceberg"),
+        lakehouse.create_statement("lake.bronze.cdc_raw", BRONZE_CDC, "topic", "iceberg"),
+        lakehouse.merge_statement("lake.silver.orders_current", "order_id", "changes"),
+        lakehouse.compact_statement("lake", "bronze.events"),
+        lakehouse.expire_statement("lake", "bronze.events", dt.datetime(2024, 3, 1), 5),
+        "SELECT * FROM lake.bronze.events VERSION AS OF 7",
+    ):
+        assert parser.parsePlan(text) is not None
+    with pytest.raises(ValueError):
+        lakehouse.read_version(spark, "t")
+    assert lakehouse.expire(spark, "spark_catalog", "default.none", dt.datetime(2024, 3, 1)) is None

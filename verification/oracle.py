@@ -501,7 +501,7 @@ UNION ALL SELECT 'loyalty', count(*) FROM repeated WHERE k % 101 = 0 AND k % 97
 SELECT NOT damaged AS is_valid, CAST(count(*) AS BIGINT) AS records FROM click GROUP BY 1"""
     q["bronze_events"] = _with(CLICKS) + f"""
 SELECT {READABLE}, kafka_partition, kafka_offset, kafka_ts FROM bronze"""
-    q["silver_events"] = _with(CLICKS) + f"SELECT {READABLE} FROM silver"
+    q["silver_events"] = q["silver_increment"] = _with(CLICKS) + f"SELECT {READABLE} FROM silver"
     q["duplicate_rate"] = _with(CLICKS) + """
 SELECT CAST(count(*) AS BIGINT) AS bronze_rows, CAST(count(DISTINCT i) AS BIGINT) AS silver_rows,
        CAST(count(*) - count(DISTINCT i) AS BIGINT) AS duplicates FROM bronze"""

@@ -452,9 +452,9 @@ def dim_customer_scd2(s):
 @query
 def scd2_asof_join(s):
     facts = s.facts().select("order_item_id", "product_id", "quantity", "order_created_at")
+    sold = s.table("lineitem").select(F.col("l_partkey").alias("product_id"))
     return gold.items_at_catalog_price(
-        facts, s.product_versions(),
-        measure=[s.stg_items(), s.product_keys()],
+        facts, s.product_versions(), measure=[sold, s.product_keys()]
     )
 
 
@@ -510,6 +510,15 @@ def silver_events(s):
     return _readable(s.silver())
 
 
+@query
+def silver_increment(s):
+    """Silver kept up to date by increments: what was there, plus what is new."""
+    bronze_rows, mark = s.bronze(), at(ARCHIVED_UNTIL)
+    present = silver.silver_events(bronze_rows.where(F.col("kafka_ts") < mark))
+    increment = bronze_rows.where(F.col("kafka_ts") >= mark)
+    return _readable(present.unionByName(silver.new_events(increment, present)))
+
+
 @query
 def duplicate_rate(s):
     return silver.duplicate_rate(s.bronze())
