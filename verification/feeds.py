@@ -319,7 +319,7 @@ def click_log(events: DataFrame) -> DataFrame:
         'event_id', cast(event_id as string),
         'event_type', {EVENT_NAMES},
         'event_ts', unix_millis({_seconds('ts', late)}),
-        'session_id', if(event_id % 90 <> 5, cast(user_id as string), null),
+        'session_id', if(event_id % 90 <> 5, concat(user_id, '-', date_format(ts, 'dd')), null),
         'customer_id', if(user_id % 3 <> 0, user_id, null),
         'device', named_struct(
             'type', array('mobile', 'desktop', 'tablet')[cast(user_id % 3 as int)],

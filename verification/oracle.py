@@ -180,7 +180,7 @@ click AS (
            list_position(['error', 'view', 'click', 'signup', 'purchase'], event_type)] AS event_type,
          date_trunc('milliseconds', ts - to_seconds(
            CASE WHEN event_id % 50 = 3 THEN 60 + event_id % 240 ELSE 0 END)) AS event_ts,
-         CASE WHEN event_id % 90 <> 5 THEN CAST(user_id AS VARCHAR) END AS session_id,
+         CASE WHEN event_id % 90 <> 5 THEN user_id || '-' || strftime(ts, '%d') END AS session_id,
          CASE WHEN user_id % 3 <> 0 THEN user_id END AS customer_id,
          json_extract_string(props, '$.k') AS product_id,
          CASE WHEN event_type = 'purchase' AND event_id % 30 <> 3
