@@ -94,7 +94,8 @@ def run_gate(checks: Sequence[Check], examples: int = 5) -> DataFrame:
     """Run all checks, then fail once, naming every check that was violated."""
     outcome = report(checks)
     # One row per check: as many rows as checks were written.
-    failed = {row["check"]: row["violations"] for row in outcome.collect() if row["violations"]}
+    rows = outcome.collect()
+    failed = {row["check"]: row["violations"] for row in rows if row["violations"]}
     if failed:
         details = {
             check.name: [str(r) for r in check.violations.limit(examples).collect()]
@@ -102,7 +103,7 @@ def run_gate(checks: Sequence[Check], examples: int = 5) -> DataFrame:
             if check.name in failed
         }
         raise QualityGateError(f"quality gate failed: {failed}; examples: {details}")
-    return outcome
+    return outcome.sparkSession.createDataFrame(rows, outcome.schema)
 
 
 def keep_results(outcome: DataFrame, path: str, run_at: Column | None = None) -> None:

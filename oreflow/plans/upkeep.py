@@ -46,7 +46,9 @@ def new_dead_letters(dead: DataFrame, archive: DataFrame | None) -> DataFrame:
 def archive_dead_letters(spark: SparkSession, dead: DataFrame, path: str) -> None:
     """Append what is new. Rows stay after the topic itself has forgotten them."""
     spark.createDataFrame([], DLQ_ARCHIVE).write.mode("append").parquet(path)
-    archive = spark.read.schema(DLQ_ARCHIVE).parquet(path)
+    # Only archive rows as young as the oldest record of the topic can match.
+    oldest = dead.agg(F.min("kafka_ts")).scalar()
+    archive = spark.read.schema(DLQ_ARCHIVE).parquet(path).where(F.col("kafka_ts") >= oldest)
     new_dead_letters(dead, archive).write.mode("append").parquet(path)
 
 
