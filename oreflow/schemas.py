@@ -144,6 +144,7 @@ class CdcTable:
 
 CDC_TOPIC_PATTERN = r"cdc\.store\.public\..*"
 
+# Captured tables, their keys, columns and types.
 CDC_TABLES: dict[str, CdcTable] = {
     spec.name: spec
     for spec in (
@@ -203,7 +204,8 @@ CDC_TABLES: dict[str, CdcTable] = {
 SILVER_CDC_TABLES = ("orders", "customers", "products")
 
 # ---------------------------------------------------------------------------
-# Daily snapshots: full copies, one ``ds`` per day, money as double
+# Daily snapshots: full copies, one ``ds`` per day, money as double.
+# Tables, columns and types as extracted.
 # ---------------------------------------------------------------------------
 SNAPSHOTS: dict[str, T.StructType] = {
     "customers": T.StructType([

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from oreflow.functions.wire import decode_clicks
 from oreflow.plans.bronze import bronze_cdc, bronze_events, quarantine
 from oreflow.schemas import TRIGGER_INTERVAL
+from oreflow.session import checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -23,6 +24,13 @@ class Run:
     checkpoint_root: str
     interval: str | None = TRIGGER_INTERVAL
 
+    @classmethod
+    def of_session(
+        cls, spark: SparkSession, application: str, interval: str | None = TRIGGER_INTERVAL
+    ) -> Run:
+        """Progress under the shared checkpoint folder of the session."""
+        return cls(f"{checkpoint_dir(spark)}/{application}", interval)
+
     def start(self, writer: DataStreamWriter, name: str) -> StreamingQuery:
         writer = writer.option("checkpointLocation", f"{self.checkpoint_root}/{name}")
         if self.interval is None:

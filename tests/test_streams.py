@@ -217,3 +217,15 @@ def test_broker_sources_need_their_module(spark):
     ):
         with pytest.raises(Exception, match="(?i)kafka"):
             build()
+
+
+def test_progress_lives_in_the_session_folder(spark, tmp_path):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        assert Run.of_session(spark, "ingest").checkpoint_root == f"{tmp_path}/ingest"
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
+        if before is not None:
+            spark.conf.set("spark.checkpoint.dir", before)
+    assert Run.of_session(spark, "ingest").checkpoint_root.endswith("/ingest")
