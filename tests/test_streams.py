@@ -219,13 +219,22 @@ def test_broker_sources_need_their_module(spark):
             build()
 
 
-def test_progress_lives_in_the_session_folder(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert Run.of_session(spark, "ingest").checkpoint_root == f"{tmp_path}/ingest"
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-        if before is not None:
-            spark.conf.set("spark.checkpoint.dir", before)
+def test_progress_lives_in_the_session_folder(spark):
+    class Conf:
+        def __init__(self, folder):
+            self.folder = folder
+
+        def get(self, key, default):
+            return self.folder if key == "spark.checkpoint.dir" else default
+
+    class Session:
+        def __init__(self, folder, master):
+            self.conf = Conf(folder)
+            self.sparkContext = type("Context", (), {"master": master})
+
+    shared = Session("hdfs://shared", "yarn")
+    assert Run.of_session(shared, "ingest").checkpoint_root == "hdfs://shared/ingest"
+    assert "oreflow-checkpoints-" in Run.of_session(Session(None, "local[2]"), "x").checkpoint_root
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        Run.of_session(Session(None, "yarn"), "x")
     assert Run.of_session(spark, "ingest").checkpoint_root.endswith("/ingest")
