@@ -37,18 +37,21 @@ def _longer_without(text: Column, characters: str) -> Column:
     return (F.length(text) - F.length(F.translate(text, characters, ""))).cast("long")
 
 
-def counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, the five counts) of every row; see the contract in the README.
-
-    Null texts count as empty; an empty table gives no rows; columns beside key
-    and text are not read. Nothing is shuffled.
+def counted(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(row, the five counts): ``row`` is a struct of all columns of ``docs``.
+
+    n_words and word_chars count words between ASCII white space and their
+    characters; n_symbols the characters of SYMBOLS; n_dup_lines the lines with
+    a word that equal an earlier one; n_repeat_words the words inside 5-word
+    windows found twice or more. Null texts count as empty; an empty table
+    gives no rows. Nothing is shuffled.
     """
     value = F.col("value")
     lines = F.filter(F.split(value, "\n"), lambda x: F.translate(x, BLANKS, "") != "")
-    base = once(docs.select(F.col(key).alias("row_key"), F.coalesce(text, F.lit("")).alias("value")),
-                lines=lines, words=words_of(value))
+    own = docs.select(F.struct("*").alias("row"), F.coalesce(text, F.lit("")).alias("value"))
+    base = once(own, lines=lines, words=words_of(value))
     hashed = base.select(
-        "row_key",
+        "row",
         (F.length("value") - _longer_without(value, BLANKS)).cast("long").alias("word_chars"),
         _longer_without(value, SYMBOLS).alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
@@ -71,7 +74,7 @@ def counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
             F.lit(WINDOW), F.coalesce(F.get("p", i + 1) - p, F.lit(WINDOW)))),
         F.lit(0), lambda a, x: a + x)
     return placed.select(
-        F.col("row_key").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "row", "n_words", "word_chars", "n_symbols", "n_dup_lines",
         covered.cast("long").alias("n_repeat_words"))
 
 
@@ -191,13 +194,23 @@ def verdict(rules: list[Rule]) -> Column:
     return F.lit(0) if out is None else out.otherwise(0)
 
 
-def judged(counted: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``counted`` with base_failed, rule and kept, by rules learned from ``labels``.
+def learned(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
+            sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
+    """Rules from the labelled rows of ``docs``.
 
-    ``counted`` should be a stored table; it is read once more for the sample.
-    Repeated labels of one row count once, as the lowest.
+    Of the labels, the ``sample_rows`` with the smallest key hashes are taken,
+    so what is broadcast is bounded by that number. Labels without a key or a
+    quality don't count; repeated ones count once, as the lowest.
     """
-    known = labels.where("quality is not null").groupBy(key).agg(F.min("quality").alias("quality"))
-    rules = learn(counted.join(known, key))
-    marked = counted.withColumn("base_failed", base_failed()).withColumn("rule", verdict(rules))
+    known = labels.where(F.col(key).isNotNull() & F.col("quality").isNotNull()).groupBy(key).agg(
+        F.min("quality").alias("quality"))
+    sample = known.orderBy(F.xxhash64(key), key).limit(sample_rows).toDF("label_key", "label")
+    rows = docs.select(F.col(key).alias("label_key"), text).join(F.broadcast(sample), "label_key")
+    return learn(counted(rows, text).withColumn("label", F.col("row.label")), "label", sample_rows)
+
+
+def judged(docs: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
+    """``counted`` with base_failed, rule (0: none matches) and kept."""
+    marked = counted(docs, text).withColumn("base_failed", base_failed()).withColumn(
+        "rule", verdict(rules))
     return marked.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))

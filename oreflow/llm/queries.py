@@ -12,9 +12,11 @@ from oreflow.llm import (
     byte_bpe,
     chat,
     line_dedup,
+    near_dedup,
     neighbours,
     packing,
     quality,
+    repeats,
     sharding,
     token_counts,
 )
@@ -37,6 +39,10 @@ def op2_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), 85)
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cleaned.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
@@ -55,9 +61,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = cut(quality.counts(table(spark, sf_dir, "documents")))
-    return quality.judged(counted, table(spark, sf_dir, "labels")).select(
-        "doc_id", *quality.COUNTS, "base_failed", "kept", "rule")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = quality.learned(docs, table(spark, sf_dir, "labels"))
+    return quality.judged(docs, rules).select(
+        "row.doc_id", *quality.COUNTS, "base_failed", "kept", "rule")
 
 
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,9 +81,15 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(vectors, F.col("vec_id") % 20 == 0)
 
 
+def op10_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.remove_repeats(docs).select(
+        "row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_token_counts, op2_histogram_sort, op4_line_dedup, op5_byte_bpe, op6_packing,
-           op7_quality_rules, op8_chat, op9_neighbours)
+    own = (op1_token_counts, op2_histogram_sort, op3_near_duplicates, op4_line_dedup, op5_byte_bpe,
+           op6_packing, op7_quality_rules, op8_chat, op9_neighbours, op10_run_index)
     return {f.__name__: f for f in own}
 
 
