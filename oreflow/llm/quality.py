@@ -118,18 +118,10 @@ def learn(labelled: DataFrame, label: str = "quality", sample_rows: int = SAMPLE
     low = _bits(r["label"] == 0 for r in rows)
     held_out = _bits(i % 3 == 2 for i in range(len(rows)))
     grow = everything & ~held_out
-    options: list[tuple[Condition, int]] = []
-    for feature in FEATURES:
-        values = [r[feature] for r in rows]
-        ranked = sorted({v for v, r in zip(values, rows, strict=True) if r["label"] == 0})
-        step = max(1, len(ranked) // cuts)
-        for t in ranked[::step] + ranked[-1:]:
-            options.append((Condition(feature, True, t), _bits(v >= t for v in values)))
-            options.append((Condition(feature, False, t), _bits(v <= t for v in values)))
     found: list[Rule] = []
     left = everything
     while len(found) < rules:
-        rule, masks = _grown(options, grow & left, low, depth)
+        rule, masks = _grown(_options(rows, left & low, cuts), grow & left, low, depth)
         rule, matched = _pruned(rule, masks, held_out & left, low, everything)
         hits = (matched & left & low).bit_count()
         good = all(
@@ -142,6 +134,18 @@ def learn(labelled: DataFrame, label: str = "quality", sample_rows: int = SAMPLE
     return found
 
 
+def _options(rows, wanted: int, cuts: int) -> list[tuple[Condition, int]]:
+    """Thresholds at the values of the wanted rows, with the rows each one matches."""
+    options = []
+    for feature in FEATURES:
+        values = [r[feature] for r in rows]
+        ranked = sorted({v for i, v in enumerate(values) if wanted >> i & 1})
+        for t in ranked[::max(1, len(ranked) // cuts)] + ranked[-1:]:
+            options.append((Condition(feature, True, t), _bits(v >= t for v in values)))
+            options.append((Condition(feature, False, t), _bits(v <= t for v in values)))
+    return options
+
+
 def _bits(flags) -> int:
     return int("".join("1" if f else "0" for f in flags)[::-1] or "0", 2)
 
