@@ -89,23 +89,15 @@ def piece_vocabulary(path: str) -> list[str]:
             if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
 
 
-_WORKER: dict[str, tuple[LongestMatch, dict[str, int]]] = {}
+_WORKER: dict[str, tuple[LongestMatch, dict[bytes, int]]] = {}
 
 
-def _worker(path: str) -> tuple[LongestMatch, dict[str, int]]:
+def _worker(path: str) -> tuple[LongestMatch, dict[bytes, int]]:
     if path not in _WORKER:
         _WORKER[path] = (LongestMatch(piece_vocabulary(path)), {})
     return _WORKER[path]
 
 
-def _split(text: str) -> list[str]:
-    """ASCII white space only: other separators belong to words."""
-    return text.translate(_BLANKS).split(" ")
-
-
-_BLANKS = {c: " " for c in range(9, 14)}
-
-
 def count_tokens(docs: DataFrame, model_path: str, key: str = "doc_id",
                  text: str = "text") -> DataFrame:
     """(key, n_words, n_tokens) for every row, in one pass without a shuffle.
@@ -120,15 +112,15 @@ def count_tokens(docs: DataFrame, model_path: str, key: str = "doc_id",
         count = automaton.count
         for batch in batches:
             n_words, n_tokens = [], []
-            for value in batch.column(1):
-                words = [w for w in _split(value.as_py() or "") if w]
+            for value in batch.column(1).cast(pa.binary()):
+                words = (value.as_py() or b"").split()  # ASCII white space only
                 tokens = 0
                 for w in words:
                     n = known.get(w)
                     if n is None:
                         if len(known) >= CACHED_WORDS:
                             known.clear()
-                        n = count(START + w)
+                        n = count(START + w.decode("utf-8", "replace"))
                         if len(w) <= 64:
                             known[w] = n
                     tokens += n
