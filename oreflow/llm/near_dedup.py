@@ -47,9 +47,9 @@ _PLACE, _MULTIPLY, _SPREAD = (
 _WIDTH = np.arange(WORDS + 1, dtype=np.uint64) * _PLACE[WORDS]
 
 
-def shingles(text: str) -> np.ndarray:
+def shingles(text: bytes) -> np.ndarray:
     """Sorted hashes of the distinct shingles; with fewer words, one of all of them."""
-    words = text.encode("utf-8", "replace").lower().split()
+    words = text.lower().split()  # both ASCII only, as bytes
     if not words:
         return np.empty(0, np.uint64)
     digest = xxhash.xxh3_64_intdigest
@@ -98,8 +98,8 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for value in batch.column(1):
-                found = shingles(value.as_py() or "")
+            for value in batch.column(1).cast(pa.binary()):
+                found = shingles(value.as_py() or b"")
                 if not len(found):
                     rows.append((0, None, None, None))
                     continue
@@ -124,7 +124,8 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
         last: tuple[int, np.ndarray] | None = None
         for batch in batches:
             kept = []
-            columns = (batch.column(c) for c in ("a", "a_text", "b_text"))
+            columns = (batch.column("a"), *(
+                batch.column(c).cast(pa.binary()) for c in ("a_text", "b_text")))
             for a, first, second in zip(*columns, strict=True):
                 name = a.as_py()
                 if last is None or last[0] != name:

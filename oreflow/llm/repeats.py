@@ -238,7 +238,7 @@ def _find(parts: int):
         for batch in batches:
             docs = np.asarray(batch.column("doc").to_numpy(zero_copy_only=False), np.int64)
             ties = np.asarray(batch.column("tie").to_numpy(zero_copy_only=False), np.int32)
-            texts = [t.as_py().encode("utf-8", "replace") for t in batch.column("text")]
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
             found = _anchors_of(docs, ties, texts)
             found, copies = _copies(found)
             doc, tie, start, end = merged(
@@ -303,8 +303,9 @@ def _contexts(parts: int):
         for batch in batches:
             out: list[tuple] = []
             columns = [batch.column(c) for c in ("doc", "tie", "text", "wanted")]
+            columns[2] = columns[2].cast(pa.binary())
             for doc, tie, text, wanted in zip(*columns, strict=True):
-                data = text.as_py().encode("utf-8", "replace")
+                data = text.as_py()
                 for w in wanted.as_py():
                     out.append((((w["anchor"] & _MASK) >> 32) % parts, w["anchor"], doc.as_py(),
                                 tie.as_py(), w["start"], w["at"], data[w["start"]:w["end"]]))
@@ -425,8 +426,9 @@ def _cut(whole_characters: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_bytes, n_removed, n_spans, kept = [], [], [], []
-            for text, spans in zip(batch.column("text"), batch.column("spans"), strict=True):
-                data = text.as_py().encode("utf-8", "replace")
+            texts = batch.column("text").cast(pa.binary())
+            for text, spans in zip(texts, batch.column("spans"), strict=True):
+                data = text.as_py()
                 out, at, runs, end = [], 0, 0, -1
                 for low, high in sorted((s["start"], s["end"]) for s in spans.as_py() or ()):
                     if low > end:
