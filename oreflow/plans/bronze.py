@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.functions.wire import bad, decode_clicks, good
+from oreflow.functions.wire import JSON, Payload, bad, decode_clicks, good
 
 
 def _provenance(ingested_at: Column | None) -> list[Column]:
@@ -63,6 +63,6 @@ def dead_letters(records: DataFrame, archived_at: Column | None = None) -> DataF
     )
 
 
-def split_counts(records: DataFrame, payload: str = "json") -> DataFrame:
+def split_counts(records: DataFrame, payload: Payload = JSON) -> DataFrame:
     """How many records pass the validity split, and how many do not."""
     return decode_clicks(records, payload).groupBy("is_valid").agg(F.count("*").alias("records"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from oreflow.functions.wire import decode_clicks
+from oreflow.functions.wire import JSON, Payload, decode_clicks
 from oreflow.plans.bronze import bronze_cdc, bronze_events, quarantine
 from oreflow.schemas import TRIGGER_INTERVAL
 from oreflow.session import checkpoint_dir
@@ -40,7 +40,7 @@ class Run:
         return writer.queryName(name).start()
 
 
-def land_events(clicks: DataFrame, path: str, run: Run, payload: str = "json") -> StreamingQuery:
+def land_events(clicks: DataFrame, path: str, run: Run, payload: Payload = JSON) -> StreamingQuery:
     """Valid clicks to bronze files, one folder per event day."""
     rows = bronze_events(decode_clicks(clicks, payload)).withColumn(
         "event_date", F.to_date("event_ts")
@@ -49,7 +49,7 @@ def land_events(clicks: DataFrame, path: str, run: Run, payload: str = "json") -
     return run.start(writer.partitionBy("event_date"), "events")
 
 
-def land_quarantine(clicks: DataFrame, path: str, run: Run, payload: str = "json") -> StreamingQuery:
+def land_quarantine(clicks: DataFrame, path: str, run: Run, payload: Payload = JSON) -> StreamingQuery:
     """Invalid clicks to files, with their log position; bytes stay as they are."""
     rows = decode_clicks(clicks, payload).where(~F.col("is_valid")).drop("e", "is_valid")
     writer = rows.writeStream.outputMode("append").format("parquet").option("path", path)
@@ -57,7 +57,7 @@ def land_quarantine(clicks: DataFrame, path: str, run: Run, payload: str = "json
 
 
 def send_quarantine(
-    clicks: DataFrame, servers: str, topic: str, run: Run, payload: str = "json"
+    clicks: DataFrame, servers: str, topic: str, run: Run, payload: Payload = JSON
 ) -> StreamingQuery:
     """Invalid clicks to the dead-letter topic of a broker."""
     writer = (
@@ -99,7 +99,7 @@ def land_in_catalog(
 
 
 def run_ingest(
-    clicks: DataFrame, changes: DataFrame, bronze_root: str, run: Run, payload: str = "json"
+    clicks: DataFrame, changes: DataFrame, bronze_root: str, run: Run, payload: Payload = JSON
 ) -> list[StreamingQuery]:
     """Start the three queries of the ingest application."""
     return [

@@ -6,7 +6,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from oreflow.functions.wire import add_header, bad, decode_clicks, good
+from oreflow.functions.wire import Payload, add_header, bad, decode_clicks, good
 from oreflow.plans import bronze
 from oreflow.schemas import BRONZE_CDC, BRONZE_EVENTS, DLQ_ARCHIVE
 from tests.builders import HEADER, click, record, records, wire
@@ -78,7 +78,7 @@ def test_cdc_and_dead_letter_shapes(spark):
 
 def test_unknown_payload_format_is_refused(spark):
     try:
-        decode_clicks(sample(spark), "xml")
+        decode_clicks(sample(spark), Payload("xml"))
     except ValueError as error:
         assert "xml" in str(error)
     else:

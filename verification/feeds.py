@@ -44,16 +44,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return rows.withColumns(times) if times else rows
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Let all cores work on a table that is stored as one small file.
-
-    Building and parsing records costs far more than moving the rows. A table
-    whose scan already has a task per core is left alone.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def _days(at: str, days: str) -> str:
     return f"timestamp_micros(unix_micros({at}) + cast({days} as bigint) * 86400000000)"
 
@@ -199,7 +189,7 @@ def _iso(at: str) -> str:
 
 def order_changes(orders: DataFrame, drift: bool = False) -> DataFrame:
     """Create, pay, deliver, erase, delete, tombstone; with ties and repeats."""
-    base = spread(orders).selectExpr(
+    base = orders.selectExpr(
         "o_orderkey as k", "o_orderdate as made", "o_orderstatus = 'F' as f",
         "o_custkey as who",
         "cast(cast(if(o_orderkey % 500 = 1, -o_totalprice, o_totalprice) as decimal(12,2)) "
@@ -244,7 +234,7 @@ def order_changes(orders: DataFrame, drift: bool = False) -> DataFrame:
 
 def product_changes(part: DataFrame) -> DataFrame:
     """Price changes, changes of nothing, two changes at one instant, deletes."""
-    base = spread(part).selectExpr(
+    base = part.selectExpr(
         "p_partkey as p", f"{_sku('p_partkey')} as sku", "p_name", "p_type", "p_brand",
         "cast(p_size % 10 <> 0 as string) as active",
         "cast(round(p_retailprice * 100) as bigint) as cents",
@@ -274,7 +264,7 @@ def product_changes(part: DataFrame) -> DataFrame:
 
 def customer_changes(customer: DataFrame) -> DataFrame:
     """Moves to another country, changes of nothing, erasures."""
-    base = spread(customer).selectExpr(
+    base = customer.selectExpr(
         "c_custkey as k", "c_name", f"{EMAIL} as email",
         "cast(c_acctbal > 5000 as string) as opt_in",
         "lpad(cast(c_nationkey as string), 2, '0') as home",
@@ -308,10 +298,11 @@ EVENT_NAMES = (
 
 
 def click_log(events: DataFrame) -> DataFrame:
-    """Click records as they arrive: repeats, late events, four kinds of damage.
+    """Click records as they arrive: repeats, late events, seven kinds of damage.
 
     Damage sits where ``event_id % 50 = 7``: no header, no value, one byte, or
-    a payload cut short. Some of the records without header were sent again.
+    a payload that is cut early or late, holds a value of another type, or goes
+    on behind its end. Some of the records without header were sent again.
     """
     late = "if(event_id % 50 = 3, -(60 + event_id % 240), 0)"
     buys = "event_type = 'purchase'"
@@ -335,18 +326,23 @@ def click_log(events: DataFrame) -> DataFrame:
         ), entry -> entry is not null))))"""
     header = "X'0000000001'"
     return (
-        spread(events).selectExpr("*", "get_json_object(props, '$.k') as k")
+        events.selectExpr("*", "get_json_object(props, '$.k') as k")
         .selectExpr(
-            "event_id", "user_id", "ts", f"cast({payload} as binary) as payload",
+            "event_id", "user_id", "ts", f"{payload} as text",
             "explode(if(event_id % 50 = 0 or event_id % 600 = 7, array(0, 1), array(0))) as copy",
         )
+        .selectExpr("*", "cast(text as binary) as payload")
         .selectExpr(
             "cast(cast(user_id as string) as binary) as key",
             f"""explode(array(case if(copy = 0, event_id % 200, null)
                 when 7 then payload
                 when 57 then null
                 when 107 then X'00'
-                when 157 then concat({header}, cast(concat('{{"event_id": "', event_id) as binary))
+                when 157 then concat({header}, cast(case event_id % 800
+                    when 157 then concat('{{"event_id": "', event_id)
+                    when 357 then left(text, instr(text, '"device"') + 9)
+                    when 557 then regexp_replace(text, '"event_ts":[0-9]+', '"event_ts":"soon"')
+                    else concat(text, '}}') end as binary))
                 else concat({header}, payload) end)) as value""",
             f"'{CLICK_TOPIC}' as topic",
             "cast(user_id % 3 as int) as partition",
