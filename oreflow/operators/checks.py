@@ -90,11 +90,21 @@ def _one_scan(checks: list[Check]) -> DataFrame:
     return checks[0].rows.agg(*counters).select(F.inline(outcomes))
 
 
-def run_gate(checks: Sequence[Check], examples: int = 5) -> DataFrame:
-    """Run all checks, then fail once, naming every check that was violated."""
+def run_gate(
+    checks: Sequence[Check], examples: int = 5, results_path: str | None = None,
+    run_at: Column | None = None,
+) -> DataFrame:
+    """Run all checks, then fail once, naming every check that was violated.
+
+    With ``results_path`` the report is kept there first, whatever it says.
+    ``examples`` bounds the rows quoted in the error; counts are complete.
+    """
     outcome = report(checks)
     # One row per check: as many rows as checks were written.
     rows = outcome.collect()
+    found = outcome.sparkSession.createDataFrame(rows, outcome.schema)
+    if results_path is not None:
+        keep_results(found, results_path, run_at)
     failed = {row["check"]: row["violations"] for row in rows if row["violations"]}
     if failed:
         details = {
@@ -103,7 +113,7 @@ def run_gate(checks: Sequence[Check], examples: int = 5) -> DataFrame:
             if check.name in failed
         }
         raise QualityGateError(f"quality gate failed: {failed}; examples: {details}")
-    return outcome.sparkSession.createDataFrame(rows, outcome.schema)
+    return found
 
 
 def keep_results(outcome: DataFrame, path: str, run_at: Column | None = None) -> None:

@@ -52,21 +52,27 @@ def latest_version(rows: DataFrame, keys: Sequence[str], version: Sequence[str])
     return top_per_key(rows, keys, [F.desc(v) for v in version])
 
 
-def merge_changes(current: DataFrame, increment: DataFrame, key: str) -> DataFrame:
-    """Upsert and delete: apply a batch of changes to a current-state table.
-
-    Both sides carry ``op`` and ``changed_at``; the increment wins a tie, and
-    inside the increment the later log position does.
+def merge_changes(
+    state: DataFrame, increment: DataFrame, key: str, forget_before: Column | None = None
+) -> DataFrame:
+    """Apply a batch of changes to a state table; deletes stay as markers.
+
+    The newest change of each key wins by its whole position (change time,
+    offset, partition), whichever side it comes from. So a batch can be applied
+    again, and a change that arrives after the delete of its row does not bring
+    the row back: the marker is newer. A later create does. ``live_rows`` is
+    what readers see. Markers of the state older than ``forget_before`` are
+    dropped; choose it behind everything that can still arrive.
     """
-    position = ["kafka_offset", "kafka_partition"]
-    base = current.withColumn("_side", F.lit(0))
-    for name in position:
+    base = state
+    if forget_before is not None:
+        base = base.where((F.col("op") != "d") | (F.col("changed_at") >= forget_before))
+    for name in ("kafka_offset", "kafka_partition"):
         if name not in base.columns:
             base = base.withColumn(name, F.lit(None).cast("bigint"))
-    merged = base.unionByName(increment.withColumn("_side", F.lit(1)))
-    order = [F.desc("changed_at"), F.desc("_side"), *[F.desc(p) for p in position]]
-    return (
-        top_per_key(merged, [key], order)
-        .where(F.col("op") != "d")
-        .select(*current.columns)
-    )
+    return latest_change(base.unionByName(increment), key).select(*state.columns)
+
+
+def live_rows(state: DataFrame) -> DataFrame:
+    """Rows of a merged state without the markers of deleted ones."""
+    return state.where(F.col("op") != "d")

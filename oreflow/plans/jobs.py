@@ -8,12 +8,15 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.operators.checks import keep_results, run_gate
+from oreflow.operators.checks import run_gate
 from oreflow.plans import gold, quality, silver, upkeep
 from oreflow.schemas import CDC_TABLES, RETENTION_DAYS, SILVER_CDC_TABLES
 from oreflow.sources import tables
 
 
+MARKS = "feed string, mark timestamp"
+
+
 def hourly_silver(
     spark: SparkSession,
     bronze_events: DataFrame,
@@ -42,15 +45,77 @@ def hourly_silver(
             silver.cdc_current(spark.table(history), spec),
             lakehouse=lakehouse,
         )
-    outcome = run_gate(quality.silver_checks(
+    return run_gate(quality.silver_checks(
         spark.table(f"{database}.events"),
         spark.table(f"{database}.orders_current"),
         spark.table(f"{database}.orders_history"),
         now,
-    ))
-    if results_path is not None:
-        keep_results(outcome, results_path, now)
-    return outcome
+    ), results_path=results_path, run_at=now)
+
+
+def hourly_increment(
+    spark: SparkSession,
+    bronze_events: DataFrame,
+    bronze_cdc: DataFrame,
+    root: str,
+    salt: str,
+    buckets: int = 64,
+    forget_before: Column | None = None,
+) -> dict[str, object]:
+    """Bring silver under ``root`` up to date from what arrived since the last run.
+
+    Reads each feed behind its last mark only. New events are appended to the days
+    they belong to, changes to the history, and the current state of each table
+    is merged in the folders that are touched. Personal data of customers is
+    masked before anything is written. Marks move last: a run that died is
+    repeated, and repeating adds nothing. Rows of a feed must become visible in
+    order of ``ingested_at``. Returns the marks and folder counts.
+    """
+    marks, feeds = f"{root}/marks", {"events": bronze_events, "changes": bronze_cdc}
+    spark.createDataFrame([], MARKS).write.mode("append").parquet(marks)
+    known = spark.read.schema(MARKS).parquet(marks).groupBy("feed").agg(F.max("mark").alias("mark"))
+    last = {r["feed"]: r["mark"] for r in known.collect()}
+    arrived, reached = {}, {}
+    for feed, rows in feeds.items():
+        new = rows if feed not in last else rows.where(F.col("ingested_at") > F.lit(last[feed]))
+        end = new.agg(F.max("ingested_at")).first()[0]
+        if end is not None:
+            reached[feed] = end
+        # What lands from now on belongs to the next run.
+        arrived[feed] = new.where(F.col("ingested_at") <= F.lit(end))
+    touched: dict[str, int] = {}
+    if "events" in reached:
+        _add_events(spark, arrived["events"], f"{root}/events")
+    if "changes" in reached:
+        run = reached["changes"].strftime("%Y%m%d%H%M%S%f")
+        for name in SILVER_CDC_TABLES:
+            spec = CDC_TABLES[name]
+            changes = silver.cdc_history(arrived["changes"], spec)
+            if name == "customers":
+                changes = silver.masked_customers(changes, salt)
+            history = f"{root}/{name}_history"
+            (changes.withColumn("run", F.lit(run)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(history))
+            written = spark.read.schema(changes.schema.add("run", "string")).parquet(history)
+            touched[name] = tables.merge_table(
+                spark, f"{root}/{name}_current", written.where(F.col("run") == run).drop("run"),
+                spec.key, buckets, forget_before)
+    if reached:
+        spark.createDataFrame(list(reached.items()), MARKS).write.mode("append").parquet(marks)
+    return {"reached": reached, "touched": touched}
+
+
+def _add_events(spark: SparkSession, arrived: DataFrame, path: str) -> None:
+    """Append the events that are not there yet to the days they belong to."""
+    # Repeats of an event share its time, so only the days at hand can hold them.
+    dated = arrived.withColumn("event_date", F.to_date("event_ts"))
+    days = [r[0] for r in dated.select("event_date").distinct().collect()]
+    shape = silver.silver_events(dated).withColumn("event_date", F.to_date("event_ts"))
+    shape.limit(0).write.mode("append").partitionBy("event_date").parquet(path)
+    present = spark.read.schema(shape.schema).parquet(path).where(
+        F.col("event_date").isin(days) | F.col("event_date").isNull())
+    silver.new_events(dated, present).withColumn("event_date", F.to_date("event_ts")).write.mode(
+        "append").partitionBy("event_date").parquet(path)
 
 
 def daily_batch(
@@ -61,6 +126,7 @@ def daily_batch(
     raw_database: str = "raw",
     mart_database: str = "analytics",
     lakehouse: bool = False,
+    results_path: str | None = None,
 ) -> DataFrame:
     """Extract to the lake, load the day, build gold, test it.
 
@@ -92,7 +158,8 @@ def daily_batch(
     dim_product = mart("dim_product", gold.dim_product(products))
     dim_customer = mart("dim_customer", gold.dim_customer(customers))
     revenue = mart("mart_daily_revenue", gold.daily_revenue_from_facts(facts))
-    return run_gate(quality.gold_checks(facts, dim_product, dim_customer, revenue))
+    return run_gate(
+        quality.gold_checks(facts, dim_product, dim_customer, revenue), results_path=results_path)
 
 
 def expire_builds(

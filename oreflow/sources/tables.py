@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from oreflow.operators.keyed import merge_changes
 from oreflow.schemas import (
     RETENTION_DAYS,
     RETENTION_MIN_SNAPSHOTS,
@@ -16,6 +17,7 @@ from oreflow.schemas import (
 )
 
 _VERSION_FORMAT = "%Y%m%d%H%M%S%f"
+_PUBLISHED = "oreflow.published"
 _VERSION_MARK = "__v"
 
 
@@ -160,11 +162,14 @@ def replace_table(
     else:
         rows.write.saveAsTable(version)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+    # From now on readers see this build; one that never gets here was never seen.
+    seen = datetime.now(timezone.utc).strftime(_VERSION_FORMAT)
+    spark.sql(f"ALTER TABLE {version} SET TBLPROPERTIES ('{_PUBLISHED}' = '{seen}')")
     return version
 
 
-def versions(spark: SparkSession, name: str) -> list[tuple[str, datetime]]:
-    """Builds of a replaceable table, newest first, with their build times."""
+def _builds(spark: SparkSession, name: str) -> list[tuple[str, datetime, datetime | None]]:
+    """(build, begun, published) of a replaceable table; published is None if it never was."""
     database, table = name.rsplit(".", 1) if "." in name else ("default", name)
     try:
         listed = spark.catalog.listTables(database, f"{table}{_VERSION_MARK}*")
@@ -172,16 +177,25 @@ def versions(spark: SparkSession, name: str) -> list[tuple[str, datetime]]:
         return []
     found = []
     for entry in listed:
-        built = entry.name.rsplit(_VERSION_MARK, 1)[1]
-        at = datetime.strptime(built, _VERSION_FORMAT).replace(tzinfo=timezone.utc)
-        found.append((f"{database}.{entry.name}", at))
-    return sorted(found, key=lambda v: v[1], reverse=True)
+        version = f"{database}.{entry.name}"
+        properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {version}").collect()}
+        begun, published = (
+            text and datetime.strptime(text, _VERSION_FORMAT).replace(tzinfo=timezone.utc)
+            for text in (entry.name.rsplit(_VERSION_MARK, 1)[1], properties.get(_PUBLISHED)))
+        found.append((version, begun, published))
+    return found
+
+
+def versions(spark: SparkSession, name: str) -> list[tuple[str, datetime]]:
+    """Builds that readers have seen, newest first, with the time they became visible."""
+    seen = [(version, at) for version, _, at in _builds(spark, name) if at is not None]
+    return sorted(seen, key=lambda v: v[1], reverse=True)
 
 
 def version_as_of(spark: SparkSession, name: str, at: datetime) -> DataFrame:
     """The build that readers saw at a point in time."""
-    for version, built in versions(spark, name):
-        if built <= at:
+    for version, published in versions(spark, name):
+        if published <= at:
             return spark.table(version)
     raise LookupError(f"{name} has no version at or before {at}")
 
@@ -192,13 +206,44 @@ def expire_versions(
     older_than: datetime,
     keep: int = RETENTION_MIN_SNAPSHOTS,
 ) -> list[str]:
-    """Drop builds older than the cutoff, always keeping the newest ``keep``."""
-    expired = [
-        version for version, built in versions(spark, name)[max(keep, 1):] if built < older_than
-    ]
-    for version in expired:
+    """Drop builds older than the cutoff, always keeping the newest ``keep`` published ones.
+
+    Builds that were begun before the cutoff and never published are left from
+    jobs that died; they go as well and count for nothing.
+    """
+    old = [v for v, published in versions(spark, name)[max(keep, 1):] if published < older_than]
+    dead = [v for v, begun, at in _builds(spark, name) if at is None and begun < older_than]
+    for version in old + dead:
         spark.sql(f"DROP TABLE {version}")
-    return expired
+    return old + dead
+
+
+def merge_table(
+    spark: SparkSession, path: str, increment: DataFrame, key: str, buckets: int,
+    forget_before: Column | None = None,
+) -> int:
+    """Merge changes into a state kept in ``buckets`` folders by key hash; returns how many it rewrote.
+
+    Only folders that hold a changed key are read and replaced, so an increment
+    costs as much as what it touches. The merge can be repeated: a run that
+    died half-way is run again with the same changes.
+    """
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    changes = increment.withColumn("bucket", bucket)
+    # At most ``buckets`` numbers.
+    touched = [r["bucket"] for r in changes.select("bucket").distinct().collect()]
+    if not touched:
+        return 0
+    changes.limit(0).write.mode("append").partitionBy("bucket").parquet(path)
+    state = spark.read.schema(changes.schema).parquet(path).where(F.col("bucket").isin(touched))
+    merged = merge_changes(state, changes, key, forget_before)
+    # A folder cannot be read and replaced at once. Every one gets at least its changes.
+    aside = f"{path}/_merging"
+    merged.write.mode("overwrite").partitionBy("bucket").parquet(aside)
+    done = spark.read.schema(changes.schema).parquet(aside)
+    (done.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("bucket").parquet(path))
+    return len(touched)
 
 
 def file_inventory(rows: DataFrame) -> DataFrame:
