@@ -108,13 +108,25 @@ def dead_letter_rate(
     )
 
 
-def offset_lag(log: DataFrame, landed: DataFrame, limit: int = LAG_LIMIT) -> DataFrame:
-    """Records of each topic that the landed table has not reached yet."""
-    head = log.groupBy("topic", "partition").agg(F.max("offset").alias("head"))
-    read = landed.groupBy("topic", "partition").agg(F.max("offset").alias("read"))
-    behind = F.col("head") - F.coalesce(F.col("read"), F.lit(-1))
+def offset_lag(
+    log: DataFrame, handled: DataFrame, limit: int = LAG_LIMIT, starts: DataFrame | None = None
+) -> DataFrame:
+    """Records of each topic that nothing has handled yet.
+
+    ``handled`` holds the positions of landed and of quarantined records: a bad
+    record at the end of a partition is not behind. A partition of which nothing
+    was handled is behind from its first offset, which ``starts`` (topic,
+    partition, offset) names; without it, the oldest record of ``log`` counts.
+    """
+    place = ["topic", "partition"]
+    head = log.groupBy(*place).agg(F.max("offset").alias("head"), F.min("offset").alias("first"))
+    if starts is not None:
+        first = starts.select(*place, F.col("offset").alias("start"))
+        head = head.join(first, place, "left").withColumn("first", F.coalesce("start", "first"))
+    read = handled.groupBy(*place).agg(F.max("offset").alias("read"))
+    behind = F.col("head") - F.coalesce(F.col("read"), F.col("first") - 1)
     return (
-        head.join(read, ["topic", "partition"], "left")
+        head.join(read, place, "left")
         .groupBy("topic")
         .agg(F.sum(behind).alias("lag"))
         .withColumn("too_high", F.col("lag") > limit)

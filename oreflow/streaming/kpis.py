@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from datetime import date, datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from oreflow.functions.columns import prop
-from oreflow.functions.wire import decode_clicks
+from oreflow.functions.wire import JSON, Payload, decode_clicks
 from oreflow.operators.keyed import latest_version
 from oreflow.operators.windows import top_per_window, window_kpis
 from oreflow.plans.bronze import valid_payloads
@@ -17,9 +19,10 @@ from oreflow.schemas import KPI_WATERMARK, KPI_WINDOW, SESSION_GAP_MINUTES
 from oreflow.streaming.ingest import Run
 
 BatchWriter = Callable[[DataFrame, int], None]
+VERSION_FOLDERS = ("day", "run", "batch")
 
 
-def live_events(clicks: DataFrame, payload: str = "json") -> DataFrame:
+def live_events(clicks: DataFrame, payload: Payload = JSON) -> DataFrame:
     """Valid events of the click topic, watermarked by event time."""
     events = valid_payloads(decode_clicks(clicks, payload))
     return events.withWatermark("event_ts", KPI_WATERMARK)
@@ -30,15 +33,23 @@ def once_per_event(events: DataFrame) -> DataFrame:
     return events.dropDuplicatesWithinWatermark(["event_id"])
 
 
-def versioned_files(path: str) -> BatchWriter:
+def versioned_files(path: str, started: datetime | None = None) -> BatchWriter:
     """Batch writer that appends each batch as one version of its rows.
 
-    A batch that is run again overwrites its own folder, so a retry after a
-    lost executor or a restart leaves no second copy.
+    A version is (start of the run, batch): a run that lost its checkpoint
+    counts batches from 0 again, but starts later, so it neither overwrites
+    earlier files nor loses against them. A batch that is run again within a
+    run replaces its own files. Files lie under the day of their windows.
     """
+    run = int((started or datetime.now(timezone.utc)).timestamp() * 1_000_000)
+
     def write(rows: DataFrame, batch_id: int) -> None:
-        stamped = rows.withColumn("updated_at", F.current_timestamp())
-        stamped.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        stamped = rows.withColumns({
+            "day": F.to_date("window_start"), "run": F.lit(run), "batch": F.lit(batch_id),
+            "updated_at": F.current_timestamp(),
+        })
+        (stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*VERSION_FOLDERS).parquet(path))
 
     return write
 
@@ -54,18 +65,39 @@ def database_rows(url: str, table: str, properties: dict[str, str]) -> BatchWrit
     return write
 
 
-def read_versions(spark: SparkSession, path: str) -> DataFrame:
-    """Every version; the folder name ``batch`` is the version number."""
-    rows = spark.read.option("basePath", path).parquet(path)
-    return rows.withColumn("batch", F.col("batch").cast("bigint"))
+def read_versions(spark: SparkSession, *paths: str, since: date | None = None) -> DataFrame:
+    """Every version in one or more folders; ``since`` prunes the days before it."""
+    frames = []
+    for path in paths:
+        rows = spark.read.parquet(path)
+        frames.append(rows.withColumns({
+            "day": F.col("day").cast("date"), "run": F.col("run").cast("bigint"),
+            "batch": F.col("batch").cast("bigint"),
+        }))
+    rows = reduce(DataFrame.unionByName, frames)
+    return rows if since is None else rows.where(F.col("day") >= F.lit(since))
+
+
+def fold_days(
+    spark: SparkSession, path: str, closed: str, before: date, keys: Sequence[str] = ("window_start",)
+) -> None:
+    """Copy the newest versions of all days before ``before`` to ``closed``, one set per day.
+
+    Folding again replaces the days. Readers that name both folders see the
+    same rows before and after; the days can then go from ``path``.
+    """
+    old = read_versions(spark, path).where(F.col("day") < F.lit(before))
+    (latest_version(old, keys, ["run", "batch"]).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(closed))
 
 
-def read_kpis(spark: SparkSession, path: str) -> DataFrame:
+def read_kpis(spark: SparkSession, *paths: str, since: date | None = None) -> DataFrame:
     """KPI rows with the newest version of each window."""
-    return latest_version(read_versions(spark, path), ["window_start"], ["batch"])
+    rows = read_versions(spark, *paths, since=since)
+    return latest_version(rows, ["window_start"], ["run", "batch"])
 
 
-def run_kpis(clicks: DataFrame, write: BatchWriter, run: Run, payload: str = "json") -> StreamingQuery:
+def run_kpis(clicks: DataFrame, write: BatchWriter, run: Run, payload: Payload = JSON) -> StreamingQuery:
     """Per-minute KPIs in update mode: late data sends its window again."""
     kpis = window_kpis(live_events(clicks, payload), KPI_WINDOW)
     writer = kpis.writeStream.outputMode("update").foreachBatch(write)
@@ -73,7 +105,7 @@ def run_kpis(clicks: DataFrame, write: BatchWriter, run: Run, payload: str = "js
 
 
 def run_product_counts(
-    clicks: DataFrame, write: BatchWriter, run: Run, payload: str = "json"
+    clicks: DataFrame, write: BatchWriter, run: Run, payload: Payload = JSON
 ) -> StreamingQuery:
     """Events per minute and product in update mode.
 
@@ -93,9 +125,10 @@ def run_product_counts(
 
 def read_top_products(spark: SparkSession, path: str, n: int = 3) -> DataFrame:
     """Leading products of every minute, from the newest version of each total."""
-    totals = latest_version(read_versions(spark, path), ["window_start", "product_id"], ["batch"])
+    totals = latest_version(
+        read_versions(spark, path), ["window_start", "product_id"], ["run", "batch"])
     order = [F.desc("events"), F.asc("product_id")]
-    return top_per_window(totals.drop("batch", "updated_at"), ["window_start"], order, n)
+    return top_per_window(totals.drop(*VERSION_FOLDERS, "updated_at"), ["window_start"], order, n)
 
 
 def session_stream(events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES) -> DataFrame:
@@ -115,7 +148,7 @@ def session_stream(events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES) ->
 
 def run_sessions(
     clicks: DataFrame, path: str, run: Run, gap_minutes: int = SESSION_GAP_MINUTES,
-    payload: str = "json",
+    payload: Payload = JSON,
 ) -> StreamingQuery:
     rows = session_stream(live_events(clicks, payload), gap_minutes)
     writer = rows.writeStream.outputMode("append").format("parquet").option("path", path)

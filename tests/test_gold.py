@@ -102,7 +102,11 @@ def test_offset_lag_counts_unread_partitions(spark):
     schema = "topic string, partition int, offset long"
     log = spark.createDataFrame([("t", 0, 9), ("t", 1, 4), ("u", 0, 1)], schema)
     landed = spark.createDataFrame([("t", 0, 7), ("u", 0, 1)], schema)
-    assert rows(pulse.offset_lag(log, landed, limit=6)) == [("t", 7, True), ("u", 0, False)]
+    starts = spark.createDataFrame([("t", 0, 0), ("t", 1, 0), ("u", 0, 0)], schema)
+    behind = pulse.offset_lag(log, landed, limit=6, starts=starts)
+    assert rows(behind) == [("t", 7, True), ("u", 0, False)]
+    # Without a start, an unread partition begins at its oldest record.
+    assert rows(pulse.offset_lag(log, landed, limit=6)) == [("t", 3, False), ("u", 0, False)]
 
 
 def test_rounding_to_seconds(spark):
