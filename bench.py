@@ -1,6 +1,7 @@
 """Time the headline queries and print one JSON line.
 
-``BENCH_SF_DIR`` names the data folder and ``BENCH_CPUS`` the local cores.
+``BENCH_SF_DIR`` names the data folder and ``BENCH_CPUS`` the local cores. The
+tables there are one file each, so they are dealt to all cores first.
 Every query runs once to warm up code paths and is then timed, planning
 included, with all rows written to a sink that discards them.
 """
@@ -12,8 +13,8 @@ import os
 import sys
 import time
 
-from __spark_entry__ import queries
 from oreflow.session import build_session
+from verification.queries import queries
 
 HEADLINE = (
     "stg_orders", "stg_order_items", "fct_orders", "mart_daily_revenue",
@@ -35,7 +36,7 @@ def main() -> None:
         "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
     })
     spark.sparkContext.setLogLevel("ERROR")
-    registered, seconds = queries(), {}
+    registered, seconds = queries(parts=int(cpus)), {}
     for name in sys.argv[1:] or HEADLINE:
         for _ in range(2):
             began = time.perf_counter()

@@ -4,12 +4,12 @@
 sizes are looked at first (one narrow aggregate, one row back to the driver):
 
 * No key above the limit: a plain window over the key is all it takes.
-* Otherwise the hot keys are cut into slices of their time axis. The limit is
-  relative to the row total, so there are at most ``MAX_HOT_KEYS`` hot keys
-  and twice as many slices, whatever the data size: their cut points fit a
-  broadcast by construction. The window runs over (key, slice), and what has
-  to cross a slice edge is aggregated to one row per slice and handed to the
-  neighbouring slices.
+* Otherwise the hot keys are cut into slices of their time axis, of about
+  ``rows_per_slice`` rows each, so no task sorts more whatever the data size.
+  The window runs over (key, slice), and what has to cross a slice edge is
+  aggregated to one row per slice and handed to the neighbouring slices. Up to
+  ``MAX_HOT_KEYS`` hot keys, their cut points are broadcast; beyond, they are
+  a table of their own and joined like one.
 
 Results do not depend on where the cuts are; only the balance does. The cut
 points are fixed before the query runs, so a task that is repeated after a
@@ -43,24 +43,28 @@ class KeySizes:
     """Rows per key of one or more frames, and the limit of a hot key."""
 
     counts: DataFrame
-    limit: float
-    largest: int
+    limit: int
+    hot: int
 
     @property
     def any_hot(self) -> bool:
-        return self.largest > self.limit
+        return self.hot > 0
+
+    @property
+    def few(self) -> bool:
+        """Whether the hot keys fit a broadcast."""
+        return self.hot <= MAX_HOT_KEYS
 
 
 def key_sizes(key: str, *frames: DataFrame, slicing: Slicing = Slicing()) -> KeySizes:
-    """Measure the keys. Only the total and the largest size reach the driver."""
+    """Measure the keys. Only the number of hot ones reaches the driver."""
     per_frame = [df.groupBy(key).agg(F.count("*").alias("_rows")) for df in frames]
     counts = reduce(DataFrame.unionByName, per_frame)
     if len(per_frame) > 1:
         counts = counts.groupBy(key).agg(F.sum("_rows").alias("_rows"))
     counts = counts.where(F.col(key).isNotNull())
-    total, largest = counts.agg(F.sum("_rows"), F.max("_rows")).first()
-    limit = max(float(slicing.rows_per_slice), (total or 0) / MAX_HOT_KEYS)
-    return KeySizes(counts, limit, largest or 0)
+    limit = slicing.rows_per_slice
+    return KeySizes(counts, limit, counts.where(F.col("_rows") > limit).count())
 
 
 def _cut_points(df: DataFrame, key: str, at: str, sizes: KeySizes) -> DataFrame:
@@ -69,13 +73,13 @@ def _cut_points(df: DataFrame, key: str, at: str, sizes: KeySizes) -> DataFrame:
     hot = sizes.counts.where(F.col("_rows") > sizes.limit).select(
         key, F.ceil(F.col("_rows") / F.lit(sizes.limit)).cast("int").alias("_slices")
     )
-    # At most MAX_HOT_KEYS rows: that many keys can be above the limit.
-    hot = spark.createDataFrame(hot.collect(), hot.schema)
+    if sizes.few:  # at most MAX_HOT_KEYS rows
+        hot = F.broadcast(spark.createDataFrame(hot.collect(), hot.schema))
     every = max(1, int(sizes.limit // SAMPLES_PER_SLICE))
     sample = (
         df.select(key, at)
         .where(F.col(at).isNotNull())
-        .join(F.broadcast(hot), key)
+        .join(hot, key)
         .where(F.pmod(F.xxhash64(at), F.lit(every)) == 0)
         .groupBy(key, "_slices")
         # Equal times merge before the shuffle, so an array holds about
@@ -87,11 +91,11 @@ def _cut_points(df: DataFrame, key: str, at: str, sizes: KeySizes) -> DataFrame:
         "i -> _times[cast(size(_times) * i / _slices as int)]))"
     )
     points = sample.select(key, cuts.alias("_cuts"))
-    # At most twice MAX_HOT_KEYS cut points.
-    return spark.createDataFrame(points.collect(), points.schema)
+    # One array per hot key. The hash sample gives the same cuts each time.
+    return spark.createDataFrame(points.collect(), points.schema) if sizes.few else points
 
 
-def _with_slice(df: DataFrame, key: str, at: str, cuts: DataFrame) -> DataFrame:
+def _with_slice(df: DataFrame, key: str, at: str, cuts: DataFrame, few: bool) -> DataFrame:
     """Add the slice number: null for ordinary keys, 0..n along time for hot ones.
 
     Cuts are searched in two steps (every k-th cut, then k cuts), so a key with
@@ -103,7 +107,7 @@ def _with_slice(df: DataFrame, key: str, at: str, cuts: DataFrame) -> DataFrame:
     before = F.expr(f"size(filter(_coarse, c -> c <= {at}))")
     inner = F.expr(f"size(filter(slice(_cuts, (_block - 1) * _k + 1, _k), c -> c <= {at}))")
     return (
-        df.join(F.broadcast(stepped), key, "left")
+        df.join(F.broadcast(stepped) if few else stepped, key, "left")
         .withColumn("_block", before)
         .withColumn(
             SLICE,
@@ -123,6 +127,7 @@ class Timeline:
     key: str
     at: str
     sliced: bool
+    few: bool = True
 
     def then(self, step: Callable[[DataFrame], DataFrame]) -> Timeline:
         """Apply a row-wise step; it must keep key, time and slice columns."""
@@ -187,13 +192,15 @@ class Timeline:
         filled = self.rows.withColumn(name, inside)
         if not self.sliced:
             return replace(self, rows=filled)
-        # One row per slice of a hot key, so at most twice MAX_HOT_KEYS rows.
+        # One row per slice of a hot key.
         per_slice = (
             self.rows.where(F.col(SLICE).isNotNull())
             .groupBy(self.key, SLICE)
             .agg(edge.alias("_own"))
         )
-        edges = F.broadcast(per_slice.select(self.key, SLICE, across().alias("_edge")))
+        edges = per_slice.select(self.key, SLICE, across().alias("_edge"))
+        if self.few:
+            edges = F.broadcast(edges)
         joined = filled.join(edges, [self.key, SLICE], "left")
         return replace(
             self, rows=joined.withColumn(name, F.coalesce(F.col(name), F.col("_edge"))).drop("_edge")
@@ -206,14 +213,17 @@ def timeline(
     at: str,
     slicing: Slicing = Slicing(),
     measure: DataFrame | None = None,
+    sizes: KeySizes | None = None,
 ) -> Timeline:
     """Order the rows of each key by ``at``, cutting hot keys into slices.
 
     ``measure`` is a cheaper frame with at least as many rows per key, to take
-    the key sizes from.
+    the key sizes from; ``sizes`` are such sizes, measured before.
     """
-    sizes = key_sizes(key, df if measure is None else measure, slicing=slicing)
+    if sizes is None:
+        sizes = key_sizes(key, df if measure is None else measure, slicing=slicing)
     if not sizes.any_hot:
         return Timeline(df, key, at, sliced=False)
     cuts = _cut_points(df, key, at, sizes)
-    return Timeline(_with_slice(df, key, at, cuts), key, at, sliced=True)
+    rows = _with_slice(df, key, at, cuts, sizes.few)
+    return Timeline(rows, key, at, sliced=True, few=sizes.few)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from oreflow.operators.ordered import Slicing, Timeline, key_sizes, timeline
+from oreflow.operators.ordered import KeySizes, Slicing, Timeline, key_sizes, timeline
 
 
 NULL_KEY_SALTS = 10_000
@@ -75,7 +75,7 @@ def asof_join(
     sizes = key_sizes(key, *(measure or (facts, versions)), slicing=slicing)
     if not sizes.any_hot:
         return _asof_in_one_pass(facts, starts, key, at, columns)
-    return _asof_by_lookup(facts, starts, key, at, columns, slicing)
+    return _asof_by_lookup(facts, starts, key, at, columns, sizes)
 
 
 def _valid_at(at: str):
@@ -110,7 +110,7 @@ def _asof_in_one_pass(
 
 def _asof_by_lookup(
     facts: DataFrame, starts: DataFrame, key: str, at: str, columns: Sequence[str],
-    slicing: Slicing,
+    sizes: KeySizes,
 ) -> DataFrame:
     """With hot keys: look versions up once per distinct (key, time), then join.
 
@@ -125,7 +125,7 @@ def _asof_by_lookup(
     distinct = both.groupBy(key, at).agg(
         F.first("version", ignorenulls=True).alias("version"), F.max("_fact").alias("_fact")
     )
-    ordered: Timeline = timeline(distinct, key, at, slicing)
+    ordered: Timeline = timeline(distinct, key, at, sizes=sizes)
     lookup = ordered.carry_forward("version").done().where((F.col("_fact") == 1) & _valid_at(at))
     return facts.join(
         lookup.select(key, at, *[F.col(f"version.{c}").alias(c) for c in columns]),

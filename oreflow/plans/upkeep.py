@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.functions.wire import decode_clicks
+from oreflow.functions.wire import JSON, Payload, decode_clicks
 from oreflow.plans.bronze import bronze_events
 from oreflow.schemas import DLQ_ARCHIVE, TARGET_FILE_BYTES
 from oreflow.sources.tables import file_inventory
@@ -38,6 +38,55 @@ def compact(
     return parts
 
 
+def compact_small_files(
+    spark: SparkSession,
+    path: str,
+    partition_by: Sequence[str] = (),
+    target_bytes: int = TARGET_FILE_BYTES,
+    small: float = 0.75,
+) -> dict[str, int]:
+    """Merge the small files of each partition folder in place; large ones stay as they are.
+
+    Small is below ``small`` of the target, and a folder needs two such files.
+    New files are written aside, under a name that readers skip, before they
+    take the place of the old ones. Run it on closed partitions: between the
+    two steps a reader can miss rows. Returns the files read and written.
+    """
+    files = file_inventory(spark.read.parquet(path)).where(
+        F.col("file_size") < small * target_bytes).withColumn(
+        "folder", F.regexp_extract("file_path", r"^(.*)/[^/]+$", 1))
+    crowded = files.groupBy("folder").agg(F.count("*").alias("n")).where("n > 1")
+    # File names only; the listing they come from lies on the driver as well.
+    chosen = files.join(crowded, "folder").select("file_path", "file_size").collect()
+    if not chosen:
+        return {"read": 0, "written": 0}
+    aside = f"{path}/_compacting"
+    parts = max(1, -(-sum(r["file_size"] for r in chosen) // target_bytes))
+    rows = spark.read.option("basePath", path).parquet(*[r["file_path"] for r in chosen])
+    if partition_by:
+        rows.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(
+            *partition_by).parquet(aside)
+    else:
+        rows.repartition(parts).write.mode("overwrite").parquet(aside)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    source = hadoop.Path(aside)
+    files_of = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    base = files_of.makeQualified(source).toString()
+    written = files_of.listFiles(source, True)
+    moves = []
+    while written.hasNext():
+        file = written.next().getPath()
+        if file.getName().startswith("part-"):
+            inner = file.toString()[len(base):]
+            moves.append((file, hadoop.Path(f"{path}{inner}")))
+    for r in chosen:
+        files_of.delete(hadoop.Path(r["file_path"]), False)
+    for file, target in moves:
+        files_of.rename(file, target)
+    files_of.delete(source, True)
+    return {"read": len(chosen), "written": len(moves)}
+
+
 def new_dead_letters(dead: DataFrame, archive: DataFrame | None) -> DataFrame:
     """Archive rows that are not archived yet, by log position."""
     return dead if archive is None else dead.join(archive.select(*POSITION), POSITION, "left_anti")
@@ -67,7 +116,7 @@ def replay(
     archive: DataFrame,
     repair: Callable[[DataFrame], DataFrame],
     landed_ids: DataFrame,
-    payload: str = "json",
+    payload: Payload = JSON,
 ) -> DataFrame:
     """Archived records decoded again after a fix, each with its outcome.
 

@@ -9,26 +9,18 @@ from pyspark.sql import types as T
 # ---------------------------------------------------------------------------
 # The data contract of the platform
 # ---------------------------------------------------------------------------
-EVENT_TYPES = (
-    "page_view", "product_view", "search", "add_to_cart",
-    "remove_from_cart", "begin_checkout", "purchase",
-)
 ORDER_STATUSES = ("pending", "paid", "shipped", "delivered", "cancelled")
 PAID_STATUSES = ("paid", "shipped", "delivered")
-PAYMENT_METHODS = ("card", "paypal", "giftcard")
-PAYMENT_STATUSES = ("authorized", "captured", "failed", "refunded")
 FUNNEL_STAGES = ("product_view", "add_to_cart", "begin_checkout", "purchase")
 
 KPI_WINDOW = "1 minute"
 KPI_WATERMARK = "2 minutes"
 TRIGGER_INTERVAL = "30 seconds"
-RECORDS_PER_TRIGGER = 10_000
 SESSION_GAP_MINUTES = 30
 RECONCILE_AFTER_MINUTES = 10
 RETENTION_DAYS = 7
 RETENTION_MIN_SNAPSHOTS = 5
 TARGET_FILE_BYTES = 128 * 1024 * 1024
-STALL_MINUTES = 5
 DLQ_WINDOW_MINUTES = 10
 DLQ_MAX_PER_SECOND = 1.0
 LAG_LIMIT = 5_000
@@ -36,7 +28,7 @@ LAG_LIMIT = 5_000
 MONEY = "decimal(18,2)"
 
 # ---------------------------------------------------------------------------
-# Wire and bronze
+# Wire and bronze shapes of the data contract
 # ---------------------------------------------------------------------------
 LOG_RECORD = T.StructType([
     T.StructField("key", T.BinaryType()),
@@ -104,17 +96,6 @@ DLQ_ARCHIVE = T.StructType([
     T.StructField("archived_at", T.TimestampType()),
 ])
 
-KPI_ROWS = T.StructType([
-    T.StructField("window_start", T.TimestampType()),
-    T.StructField("window_end", T.TimestampType()),
-    T.StructField("events", T.LongType()),
-    T.StructField("sessions", T.LongType()),
-    T.StructField("purchases", T.LongType()),
-    T.StructField("revenue", T.DoubleType()),
-    T.StructField("updated_at", T.TimestampType()),
-])
-
-
 # ---------------------------------------------------------------------------
 # Change feeds
 # ---------------------------------------------------------------------------
@@ -142,7 +123,6 @@ class CdcTable:
         ])
 
 
-CDC_TOPIC_PATTERN = r"cdc\.store\.public\..*"
 
 # Captured tables, their keys, columns and types.
 CDC_TABLES: dict[str, CdcTable] = {

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 RUNTIME_SETTINGS = {
@@ -50,14 +48,12 @@ def build_session(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts and stream progress.
+    """Shared folder for stream progress: ``spark.checkpoint.dir`` of the session.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session
-    without that setting gets a folder of its own.
+    There is no other choice: progress in a folder made up here would be lost
+    at the next start, and everything would land twice.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="oreflow-checkpoints-")
+    return configured

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.schemas import LOG_RECORD, RECORDS_PER_TRIGGER
+from oreflow.schemas import LOG_RECORD
 
 COLUMNS = LOG_RECORD.fieldNames()
 
@@ -26,12 +26,14 @@ def topic_stream(
     topic: str | None = None,
     pattern: str | None = None,
     start: str = "earliest",
-    per_trigger: int | None = RECORDS_PER_TRIGGER,
+    per_trigger: int | None = None,
     min_partitions: int | None = None,
 ) -> DataFrame:
     """Unbounded read of one topic, or of all topics matching a pattern.
 
-    ``min_partitions`` splits a hot broker partition over several tasks.
+    ``per_trigger`` bounds the records of one batch; without it a batch takes
+    all there is. ``min_partitions`` splits a hot broker partition over several
+    tasks.
     """
     reader = (
         spark.readStream.format("kafka")

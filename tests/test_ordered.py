@@ -38,7 +38,7 @@ def test_sizes_count_all_frames(spark):
     a = spark.createDataFrame([(1,), (1,), (2,)], "k int")
     b = spark.createDataFrame([(1,), (None,)], "k int")
     sizes = key_sizes("k", a, b, slicing=Slicing(rows_per_slice=2))
-    assert (sizes.largest, sizes.limit, sizes.any_hot) == (3, 2.0, True)
+    assert (sizes.hot, sizes.limit, sizes.any_hot) == (1, 2, True)
 
 
 def test_empty_input(spark):
@@ -87,10 +87,14 @@ def test_hot_key_is_cut_into_balanced_slices(spark):
     assert line.rows.where("k <> 0 and _slice is not null").count() == 0
 
 
-def test_limit_follows_the_total(spark, monkeypatch):
+def test_many_hot_keys_are_joined_instead_of_broadcast(spark, monkeypatch):
+    df = spark.createDataFrame([(k, t) for k in range(10) for t in range(10)], "k int, t int")
+    few = timeline(df, "k", "t", Slicing(rows_per_slice=3)).with_next(F.col("t"), "n").done()
     monkeypatch.setattr(ordered, "MAX_HOT_KEYS", 4)
-    df = spark.createDataFrame([(k,) for k in range(10) for _ in range(10)], "k int")
-    assert key_sizes("k", df, slicing=Slicing(rows_per_slice=5)).limit == 25.0
+    sizes = key_sizes("k", df, slicing=Slicing(rows_per_slice=3))
+    assert (sizes.limit, sizes.hot, sizes.few) == (3, 10, False)
+    many = timeline(df, "k", "t", Slicing(rows_per_slice=3)).with_next(F.col("t"), "n").done()
+    assert rows(many, "k", "t", "n.v") == rows(few, "k", "t", "n.v")
 
 
 def changes(spark, seed):

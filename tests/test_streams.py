@@ -234,7 +234,6 @@ def test_progress_lives_in_the_session_folder(spark):
 
     shared = Session("hdfs://shared", "yarn")
     assert Run.of_session(shared, "ingest").checkpoint_root == "hdfs://shared/ingest"
-    assert "oreflow-checkpoints-" in Run.of_session(Session(None, "local[2]"), "x").checkpoint_root
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        Run.of_session(Session(None, "yarn"), "x")
-    assert Run.of_session(spark, "ingest").checkpoint_root.endswith("/ingest")
+    for master in ("local[2]", "yarn"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            Run.of_session(Session(None, master), "x")

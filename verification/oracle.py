@@ -207,7 +207,7 @@ KPI_COLUMNS = """
   CAST(count(*) AS BIGINT) AS events,
   CAST(count(DISTINCT session_id) AS BIGINT) AS sessions,
   CAST(count(*) FILTER (event_type = 'purchase') AS BIGINT) AS purchases,
-  round(coalesce(sum(order_value), 0.0), 2) AS revenue"""
+  CAST(coalesce(sum(CAST(order_value AS DECIMAL(18,2))), 0) AS DOUBLE) AS revenue"""
 
 READABLE = """
   event_id, event_type, event_ts, session_id, customer_id,
@@ -354,20 +354,19 @@ FROM (SELECT 'events' AS table_name, max(event_ts) AS newest FROM bronze
     q["stalled_minutes"] = _with(CLICKS) + """
 SELECT slot_start FROM (
   SELECT unnest(generate_series(
-    (SELECT time_bucket(INTERVAL 5 MINUTE, min(event_ts)) FROM bronze),
-    (SELECT time_bucket(INTERVAL 5 MINUTE, max(event_ts)) FROM bronze),
+    (SELECT time_bucket(INTERVAL 5 MINUTE, min(kafka_ts)) FROM bronze),
+    TIMESTAMP '2024-01-31 06:00:00' - INTERVAL 5 MINUTE,
     INTERVAL 5 MINUTE)) AS slot_start)
-WHERE slot_start NOT IN (SELECT time_bucket(INTERVAL 5 MINUTE, event_ts) FROM bronze)"""
+WHERE slot_start NOT IN (SELECT time_bucket(INTERVAL 5 MINUTE, kafka_ts) FROM bronze)"""
     q["dlq_rate"] = _with(CLICKS) + """
 SELECT time_bucket(INTERVAL 10 MINUTE, kafka_ts) AS slot_start,
        CAST(count(*) AS BIGINT) AS rows, round(count(*) / 600.0, 6) AS per_second
 FROM dead GROUP BY 1 HAVING count(*) / 600.0 > 0.001"""
     q["offset_lag"] = _with(CLICKS) + """
-SELECT 'events.v1' AS topic, CAST(sum(head - coalesce(landed, -1)) AS BIGINT) AS lag,
-       sum(head - coalesce(landed, -1)) > 100 AS too_high
-FROM (SELECT kafka_partition, max(kafka_offset) AS head,
-             max(kafka_offset) FILTER (NOT damaged AND kafka_ts < TIMESTAMP '2024-01-29 00:00:00')
-               AS landed
+SELECT 'events.v1' AS topic, CAST(sum(head - coalesce(landed, first - 1)) AS BIGINT) AS lag,
+       sum(head - coalesce(landed, first - 1)) > 100 AS too_high
+FROM (SELECT kafka_partition, max(kafka_offset) AS head, min(kafka_offset) AS first,
+             max(kafka_offset) FILTER (kafka_ts < TIMESTAMP '2024-01-29 00:00:00') AS landed
       FROM click GROUP BY kafka_partition)"""
 
     # Scalar functions and the catalog seed
@@ -437,7 +436,7 @@ SELECT 'cdc.store.public.orders' AS topic, CAST(k AS VARCHAR) AS key, value,
        CAST(k % 4 AS INTEGER) AS kafka_partition, k * 8 + n AS kafka_offset,
        changed_at AS kafka_ts, changed_at AS ingested_at FROM sent"""
     q["cdc_history"] = _with(ORDER_CHANGES) + "SELECT * FROM order_typed"
-    q["cdc_current"] = q["incremental_merge"] = _with(ORDER_CHANGES) + _ORDER_CURRENT
+    q["cdc_current"] = q["incremental_merge"] = q["merge_replayed"] = _with(ORDER_CHANGES) + _ORDER_CURRENT
     q["customers_current"] = _with(CUSTOMER_CHANGES) + """
 SELECT customer_id, email, full_name, country_code, marketing_opt_in,
        TIMESTAMP '1995-01-01 00:00:00' AS created_at, t AS updated_at, op, t AS changed_at
@@ -567,7 +566,8 @@ FROM bronze GROUP BY 1, 2"""
     q["kpis_recent"] = _with(CLICKS) + f"""
 SELECT window_start, events, sessions, purchases, revenue
 FROM (SELECT {KPI_COLUMNS} FROM bronze GROUP BY 1, 2)
-WHERE window_start > TIMESTAMP '2024-01-15 02:00:00'"""
+WHERE window_start > TIMESTAMP '2024-01-15 02:00:00'
+  AND window_start <= TIMESTAMP '2024-01-15 12:00:00'"""
     q["speed_vs_batch"] = _with(CLICKS) + """
 , speed AS (SELECT date_trunc('minute', event_ts) AS window_start, CAST(count(*) AS BIGINT) AS n
             FROM bronze WHERE kafka_ts - event_ts <= INTERVAL 2 MINUTE GROUP BY 1),
@@ -640,4 +640,6 @@ SELECT CAST(u AS VARCHAR) AS key,
 SELECT CASE WHEN i % 200 <> 7 THEN 'still bad' WHEN i % 600 = 7 THEN 'already landed'
             ELSE 'recovered' END AS outcome, CAST(count(*) AS BIGINT) AS records
 FROM dead GROUP BY 1"""
+    for name in ("order_lifecycle", "dim_product_scd2", "scd2_asof_join"):
+        q[f"{name}_sliced"] = q[name]
     return q

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from oreflow.functions.columns import ds_text, prop, sku, to_second
 from oreflow.functions.wire import add_header, decode_clicks, has_header
 from oreflow.operators import checks, keyed, sessions, windows
+from oreflow.operators.ordered import Slicing
 from oreflow.plans import bronze, gold, pulse, quality, silver, upkeep
 from oreflow.schemas import CDC_TABLES, ORDER_STATUSES
 from oreflow.session import prepare
@@ -24,12 +25,15 @@ from verification import feeds
 ORDERS, PRODUCTS, CUSTOMERS = (CDC_TABLES[n] for n in ("orders", "products", "customers"))
 # Fixed values: "now" and marks of the compared queries.
 NOW = "2024-01-31 00:00:00"
+STALLED_AT = "2024-01-31 06:00:00"
 RECENT_NOW = "2024-01-15 12:00:00"
 RECONCILE_NOW = "2024-01-20 00:00:00"
 AS_OF = "1998-06-01 00:00:00"
 LANDED_UNTIL = "2024-01-29 00:00:00"
 ARCHIVED_UNTIL = "2024-01-16 00:00:00"
 SALT = "pepper-1:"
+# Every key with more rows than this is cut, so small data takes the sliced form.
+FINE = Slicing(rows_per_slice=2)
 GRID_LABELS = ("Amber", "Birch", "Cobalt", "Dune", "Elm", "Flint")
 
 
@@ -40,11 +44,12 @@ def at(text: str):
 class Shapes:
     """The driver tables in layer shapes, for one session and data folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = prepare(spark), sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, parts: int | None = None):
+        self.spark, self.sf_dir, self.parts = prepare(spark), sf_dir, parts
 
     def table(self, name: str) -> DataFrame:
-        return feeds.table(self.spark, self.sf_dir, name)
+        rows = feeds.table(self.spark, self.sf_dir, name)
+        return rows if self.parts is None else rows.repartition(self.parts)
 
     def order_snapshots(self) -> DataFrame:
         return feeds.order_snapshots(self.table("orders"))
@@ -148,9 +153,11 @@ def query(function: Callable[[Shapes], DataFrame]) -> Callable[[Shapes], DataFra
     return function
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def queries(parts: int | None = None) -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """All queries. ``parts`` deals each table to that many tasks first, for
+    timings on tables that are stored as one small file."""
     def bind(function):
-        return lambda spark, sf_dir: flat(function(Shapes(spark, sf_dir)))
+        return lambda spark, sf_dir: flat(function(Shapes(spark, sf_dir, parts)))
 
     return {name: bind(function) for name, function in REGISTRY.items()}
 
@@ -339,7 +346,7 @@ def table_freshness(s):
 
 @query
 def stalled_minutes(s):
-    return windows.empty_slots(s.bronze(), "event_ts", 5)
+    return windows.empty_slots(s.bronze(), "kafka_ts", 5, until=at(STALLED_AT))
 
 
 @query
@@ -350,12 +357,12 @@ def dlq_rate(s):
 @query
 def offset_lag(s):
     log = s.clicks()
-    landed = s.bronze().where(F.col("kafka_ts") < at(LANDED_UNTIL)).select(
+    landed, dead = (rows.where(F.col("kafka_ts") < at(LANDED_UNTIL)).select(
         F.lit(feeds.CLICK_TOPIC).alias("topic"),
         F.col("kafka_partition").alias("partition"),
         F.col("kafka_offset").alias("offset"),
-    )
-    return pulse.offset_lag(log, landed, limit=100)
+    ) for rows in (s.bronze(), s.dead()))
+    return pulse.offset_lag(log, landed.unionByName(dead), limit=100)
 
 
 # ---------------------------------------------------------------------------
@@ -439,6 +446,26 @@ def order_lifecycle(s):
     )
 
 
+@query
+def order_lifecycle_sliced(s):
+    return silver.life_line(
+        s.order_history(), "order_id", ["status"], FINE, measure=s.order_keys()
+    )
+
+
+@query
+def dim_product_scd2_sliced(s):
+    return gold.dim_product_scd2(
+        s.product_history(), FINE, measure=s.product_keys()
+    ).drop("product_key")
+
+
+@query
+def scd2_asof_join_sliced(s):
+    facts = s.facts().select("order_item_id", "product_id", "quantity", "order_created_at")
+    return gold.items_at_catalog_price(facts, s.product_versions(), FINE)
+
+
 @query
 def dim_product_scd2(s):
     return s.product_versions().drop("product_key")
@@ -478,11 +505,20 @@ def schema_drift(s):
 @query
 def incremental_merge(s):
     changes = s.order_changes()
-    current = keyed.state_as_of(changes, "order_id", at(AS_OF))
+    state = keyed.latest_change(changes.where(F.col("changed_at") <= at(AS_OF)), "order_id")
     increment = changes.where(F.col("changed_at") > at(AS_OF))
-    return keyed.merge_changes(current, increment, "order_id").select(
-        *ORDERS.columns, "op", "changed_at"
-    )
+    merged = keyed.merge_changes(state, increment, "order_id")
+    return keyed.live_rows(merged).select(*ORDERS.columns, "op", "changed_at")
+
+
+@query
+def merge_replayed(s):
+    """Batches out of order and twice: deletes first, then all older changes, then again."""
+    changes = s.order_changes()
+    state = keyed.latest_change(changes.where("op = 'd'"), "order_id")
+    for batch in (changes.where("op <> 'd'"), changes):
+        state = keyed.merge_changes(state, batch, "order_id")
+    return keyed.live_rows(state).select(*ORDERS.columns, "op", "changed_at")
 
 
 # ---------------------------------------------------------------------------
@@ -590,22 +626,18 @@ def gold_quality_report(s):
 # ---------------------------------------------------------------------------
 # Windows, sessions, funnel
 # ---------------------------------------------------------------------------
-def _cents(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("revenue", F.round("revenue", 2))
-
-
 def _live(s: Shapes) -> DataFrame:
     return bronze.valid_payloads(s.decoded())
 
 
 @query
 def kpis_minute(s):
-    return _cents(windows.window_kpis(_live(s), exact=True))
+    return windows.window_kpis(_live(s), exact=True)
 
 
 @query
 def kpis_minute_approx(s):
-    return _cents(windows.window_kpis(_live(s)))
+    return windows.window_kpis(_live(s))
 
 
 def _kpi_versions(s: Shapes) -> DataFrame:
@@ -624,7 +656,7 @@ def _kpi_versions(s: Shapes) -> DataFrame:
 
 @query
 def latest_version_read(s):
-    return _cents(keyed.latest_version(_kpi_versions(s), ["window_start"], ["batch"]))
+    return keyed.latest_version(_kpi_versions(s), ["window_start"], ["batch"])
 
 
 @query
