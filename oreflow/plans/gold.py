@@ -163,11 +163,13 @@ def fct_events(
     products: DataFrame,
     slicing: Slicing = Slicing(),
     measure: Sequence[DataFrame] | None = None,
+    customers: DataFrame | None = None,
+    measure_customers: Sequence[DataFrame] | None = None,
 ) -> DataFrame:
-    """One row per event with keys into the date and product dimensions.
+    """One row per event with keys into the date, product and customer dimensions.
 
-    ``products`` is the product dimension with history: an event points to the
-    version that was valid when it happened.
+    ``products`` and ``customers`` are dimensions with history: an event points
+    to the version that was valid when it happened.
     """
     keyed = events.select(
         "event_id", "event_type", "event_ts", "session_id", "customer_id",
@@ -176,7 +178,13 @@ def fct_events(
     )
     version = products.withColumn("product_valid_from", F.col("valid_from"))
     columns = ["product_key", "product_valid_from"]
-    return asof_join(keyed, version, "product_id", "event_ts", columns, slicing, measure)
+    facts = asof_join(keyed, version, "product_id", "event_ts", columns, slicing, measure)
+    if customers is None:
+        return facts
+    version = customers.withColumn("customer_valid_from", F.col("valid_from"))
+    columns = ["customer_key", "customer_valid_from"]
+    return asof_join(
+        facts, version, "customer_id", "event_ts", columns, slicing, measure_customers)
 
 
 def items_at_catalog_price(

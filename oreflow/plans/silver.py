@@ -86,13 +86,16 @@ def life_line(
 ) -> DataFrame:
     """Changes of each key in order, with the time spent until the next one.
 
-    Changes without a key belong to no life line and are left out.
+    Changes without a key belong to no life line and are left out. Repeats of a
+    log position may be in ``history``: they share their key, so they go behind
+    the one shuffle by key that the order needs.
     """
     placed = history.where(F.col(key).isNotNull()).select(
         key, *columns, "op", "changed_at", "kafka_offset",
         F.struct("changed_at", "kafka_offset", "kafka_partition").alias("_at"),
     )
-    ordered = timeline(placed, key, "_at", slicing, measure)
+    line = timeline(placed, key, "_at", slicing, measure).gathered()
+    ordered = line.then(lambda rows: rows.dropDuplicates([*line.keys, "_at"]))
     followed = ordered.with_next(F.col("changed_at"), "after").done()
     spent = (micros(F.col("after.v")) - micros(F.col("changed_at"))) / F.lit(1_000_000.0)
     return followed.select(

@@ -623,13 +623,18 @@ WITH totals AS (
 SELECT CAST(month AS TIMESTAMP) AS month, product_id, units, revenue FROM (
   SELECT *, row_number() OVER (PARTITION BY month ORDER BY revenue DESC, product_id) AS rn FROM totals)
 WHERE rn <= 3"""
-    q["fct_events"] = _with(CLICKS, PRODUCT_CHANGES) + """
-SELECT event_id, event_type, event_ts, session_id, customer_id,
+    q["fct_events"] = _with(CLICKS, PRODUCT_CHANGES) + f"""
+, customer_version AS ({q["dim_customer_scd2"]})
+SELECT event_id, event_type, event_ts, session_id, s.customer_id,
        CAST(strftime(event_ts, '%Y%m%d') AS INTEGER) AS date_key,
-       CAST(s.product_id AS BIGINT) AS product_id, valid_from AS product_valid_from
+       CAST(s.product_id AS BIGINT) AS product_id, v.valid_from AS product_valid_from,
+       c.valid_from AS customer_valid_from
 FROM silver s LEFT JOIN product_version v
-  ON CAST(s.product_id AS BIGINT) = v.p AND event_ts >= valid_from
- AND (valid_to IS NULL OR event_ts < valid_to)"""
+  ON CAST(s.product_id AS BIGINT) = v.p AND event_ts >= v.valid_from
+ AND (v.valid_to IS NULL OR event_ts < v.valid_to)
+LEFT JOIN customer_version c
+  ON s.customer_id = c.customer_id AND event_ts >= c.valid_from
+ AND (c.valid_to IS NULL OR event_ts < c.valid_to)"""
 
     # Dead letters
     q["dlq_archive"] = _with(CLICKS) + """

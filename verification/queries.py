@@ -442,14 +442,14 @@ def state_as_of(s):
 @query
 def order_lifecycle(s):
     return silver.life_line(
-        s.order_history(), "order_id", ["status"], measure=s.order_keys()
+        s.order_changes(), "order_id", ["status"], measure=s.order_keys()
     )
 
 
 @query
 def order_lifecycle_sliced(s):
     return silver.life_line(
-        s.order_history(), "order_id", ["status"], FINE, measure=s.order_keys()
+        s.order_changes(), "order_id", ["status"], FINE, measure=s.order_keys()
     )
 
 
@@ -705,9 +705,12 @@ def fct_events(s):
     viewed = s.table("events").select(
         F.get_json_object("props", "$.k").cast("bigint").alias("product_id")
     )
+    customers = gold.dim_customer_scd2(s.customer_history(), measure=s.customer_keys())
+    clicked = s.table("events").select(F.col("user_id").alias("customer_id"))
     return gold.fct_events(
-        s.silver(), products, measure=[viewed, s.product_keys()]
-    ).drop("product_key")
+        s.silver(), products, measure=[viewed, s.product_keys()],
+        customers=customers, measure_customers=[clicked, s.customer_keys()],
+    ).drop("product_key", "customer_key")
 
 
 # ---------------------------------------------------------------------------
