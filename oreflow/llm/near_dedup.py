@@ -10,8 +10,8 @@ A name that occurs once can't be part of a shared key, so it is dropped before
 any keys are formed. Documents with equal sets are one node. Within a table
 key, nodes are compared with the key's smallest node only; links are confirmed
 on full sets and joined to components. Keys whose nodes are not all in one
-component are then walked again, neighbours in the order of further names, as
-long as that finds links: so no group is ever expanded into all its pairs, and
+component are then walked again: neighbours in the order of further names are
+compared where the next name is equal, as long as that finds links: so no group is ever expanded into all its pairs, and
 a link that the smallest node doesn't show is found by another comparison.
 """
 
@@ -36,8 +36,8 @@ MINIMA = 2 * SUB_BANDS * ROWS
 #: Equal minima a pair must show before its sets are fetched. At similarity 0.85
 #: the chance of fewer is below 0.000001.
 ALIKE = 16
-#: Neighbours compared in keys that hold several components.
-REACH = 3
+#: Neighbours compared in keys that hold several components, if one more name is equal.
+REACH = 2
 
 _random = np.random.default_rng(20_240_301)
 _PLACE, _MULTIPLY, _SPREAD = (
@@ -191,9 +191,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id",
     stars = members.join(hubs, "key").where("node <> a").where(_sized("n", "m", percent)).select(
         "a", F.col("node").alias("b")).distinct()
     tested = cut(_alike(stars, nodes))
-    ids = tested.select("a").union(tested.select("b")).distinct().toDF("id")
+    # Only rows that share a key can be fetched. Their number grows with the data,
+    # so the join must not depend on whether their ids fit a broadcast.
+    ids = keys.select(F.col("node").alias("id")).distinct()
     source = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(text, F.lit("")).alias("text"))
-    texts = cut(source.join(ids, "id", "left_semi"))
+    texts = cut(source.join(ids.hint("merge"), "id", "left_semi"))
     links = cut(_confirmed(tested, texts, percent))
     grouped = cut(components(links))
     order = nodes.select("node", "names")
@@ -209,20 +211,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id",
             F.get("names", F.pmod(F.col("key") + turn + k, F.lit(2 * SUB_BANDS)).cast("int")).alias(f"n{k}")
             for k in (0, 5)]).join(mixed, "key")
         along = Window.partitionBy("key").orderBy("n0", "n5", "node")
-        ahead = [F.lead(F.struct("node", "n", "component"), k).over(along).alias(f"x{k}")
+        ahead = [F.lead(F.struct("node", "n", "component", "n0"), k).over(along).alias(f"x{k}")
                  for k in range(1, REACH + 1)]
-        near = rows.select("node", "n", "component", *ahead).select(
-            "node", "n", "component",
-            F.explode(F.array(*[f"x{k}" for k in range(1, REACH + 1)])).alias("x"))
-        pairs = near.where("x is not null and x.component <> component").where(
-            _sized("n", "x.n", percent)).select(
+        others = F.filter(F.array(*[f"x{k}" for k in range(1, REACH + 1)]), lambda x: (
+            x["component"] != F.col("component")) & (x["n0"] == F.col("n0")))
+        near = rows.select("node", "n", "component", "n0", *ahead).select(
+            "node", "n", F.explode(others).alias("x"))
+        pairs = near.where(_sized("n", "x.n", percent)).select(
             F.least("node", "x.node").alias("a"), F.greatest("node", "x.node").alias("b")).distinct()
         fresh = cut(_alike(pairs.join(tested, ["a", "b"], "left_anti"), nodes))
-        wanted = fresh.select("a").union(fresh.select("b")).distinct().toDF("id")
-        missing = wanted.join(ids, "id", "left_anti")
-        if not missing.isEmpty():
-            texts = texts.unionByName(cut(source.join(missing, "id", "left_semi")))
-            ids = cut(ids.union(missing))
         more = cut(_confirmed(fresh, texts, percent))
         if more.isEmpty():
             break
