@@ -18,8 +18,9 @@ class QualityGateError(RuntimeError):
 class Check:
     """A named check over ``rows``.
 
-    With a ``predicate`` the violations are the rows that satisfy it, and all
-    such checks of one frame share a single scan. Without one, every row is a
+    With a ``predicate`` the violations are the rows that satisfy it; with
+    ``unique`` they are the non-null keys that occur more than once. All such
+    checks of one frame share a single pass. Without either, every row is a
     violation: the frame is the result of a grouping or a join.
     """
 
@@ -27,10 +28,18 @@ class Check:
     rows: DataFrame
     key: str
     predicate: Column | None = None
+    unique: bool = False
+
+    @property
+    def whole(self) -> bool:
+        """Whether the frame itself is the list of violations."""
+        return self.predicate is None and not self.unique
 
     @property
     def violations(self) -> DataFrame:
-        return self.rows if self.predicate is None else self.rows.where(self.predicate)
+        if self.unique:
+            return not_unique(self.rows, self.key)
+        return self.rows if self.whole else self.rows.where(self.predicate)
 
 
 def duplicates(df: DataFrame, *keys: str) -> DataFrame:
@@ -62,24 +71,43 @@ def not_accepted(df: DataFrame, column: str, accepted: Sequence[str]) -> DataFra
 
 
 def report(checks: Iterable[Check]) -> DataFrame:
-    """One row per check: name, number of violating rows, smallest violating key.
+    """One row per check: name, number of violations, smallest violating key.
 
-    Each frame is aggregated once for all its row checks, so nothing but one
-    row per task moves, and a table with many checks is read once.
+    Each frame is read once for all its checks. Row checks leave one row per
+    task. Where a frame also has a uniqueness check, rows are first counted per
+    key, row checks along with them, and the counts are then summed.
     """
     groups: dict[int, list[Check]] = {}
     for position, check in enumerate(checks):
-        same_scan = -1 - position if check.predicate is None else id(check.rows)
+        same_scan = -1 - position if check.whole else id(check.rows)
         groups.setdefault(same_scan, []).append(check)
     return reduce(DataFrame.unionByName, [_one_scan(group) for group in groups.values()])
 
 
 def _one_scan(checks: list[Check]) -> DataFrame:
-    counters = []
+    keys = sorted({check.key for check in checks if check.unique})
+    if len(keys) > 1:
+        # One pass per key: row checks go with the first.
+        parts = [[c for c in checks if c.unique and c.key == k or not c.unique and k == keys[0]]
+                 for k in keys]
+        return reduce(DataFrame.unionByName, map(_one_scan, parts))
+    rows, sums = checks[0].rows, {}
     for i, check in enumerate(checks):
-        hit = F.lit(True) if check.predicate is None else check.predicate
-        key = F.col(check.key).cast("string")
-        counters += [F.count(F.when(hit, 1)).alias(f"n{i}"), F.min(F.when(hit, key)).alias(f"k{i}")]
+        if check.unique:
+            continue
+        hit = F.lit(True) if check.whole else check.predicate
+        key = F.when(hit, F.col(check.key).cast("string"))
+        sums[f"n{i}"], sums[f"k{i}"] = F.count(F.when(hit, 1)), F.min(key)
+    if keys:
+        per_key = rows.groupBy(keys[0]).agg(
+            F.count("*").alias("_rows"), *[c.alias(n) for n, c in sums.items()])
+        twice = (F.col("_rows") > 1) & F.col(keys[0]).isNotNull()
+        sums = {n: F.coalesce(F.sum(n), F.lit(0)) if n[0] == "n" else F.min(n) for n in sums}
+        for i, check in enumerate(checks):
+            if check.unique:
+                sums[f"n{i}"] = F.count_if(twice)
+                sums[f"k{i}"] = F.min(F.when(twice, F.col(check.key).cast("string")))
+        rows = per_key
     outcomes = F.array(*[
         F.struct(
             F.lit(check.name).alias("check"), F.col(f"n{i}").alias("violations"),
@@ -87,7 +115,7 @@ def _one_scan(checks: list[Check]) -> DataFrame:
         )
         for i, check in enumerate(checks)
     ])
-    return checks[0].rows.agg(*counters).select(F.inline(outcomes))
+    return rows.agg(*[c.alias(n) for n, c in sums.items()]).select(F.inline(outcomes))
 
 
 def run_gate(

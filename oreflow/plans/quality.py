@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oreflow.functions.columns import prop
-from oreflow.operators.checks import Check, duplicates, is_any_null, not_unique
+from oreflow.operators.checks import Check, is_any_null
 from oreflow.schemas import ORDER_STATUSES, RECONCILE_AFTER_MINUTES
 
 
@@ -48,7 +48,7 @@ def silver_checks(
 ) -> list[Check]:
     """The five assertions between silver and gold."""
     return [
-        Check("duplicate event ids", duplicates(events, "event_id"), "event_id"),
+        Check("duplicate event ids", events, "event_id", unique=True),
         Check("null event keys", events, "event_id", has_null_key()),
         Check("purchase without order id", events, "event_id", is_purchase_without_order_id()),
         Check("negative order totals", orders_current, "order_id", has_negative_total()),
@@ -72,7 +72,7 @@ def gold_checks(
         ("dim_customer", customers, ["customer_id"], ["customer_id"]),
         ("mart_daily_revenue", revenue, ["order_date"], ["order_date"]),
     ):
-        checks += [Check(f"unique {table}.{c}", not_unique(rows, c), c) for c in unique]
+        checks += [Check(f"unique {table}.{c}", rows, c, unique=True) for c in unique]
         checks += [
             Check(f"not null {table}.{c}", rows, unique[0], F.col(c).isNull()) for c in required
         ]
