@@ -196,6 +196,22 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, key: str = "doc_id", t
         spread.groupBy("row").applyInPandas(joined, out))
 
 
+def decode(encoded: DataFrame, rank_file: str, pattern: str, key: str = "doc_id") -> DataFrame:
+    """(key, decoded) from (key, ids): the bytes of all ids one after another.
+
+    Null ids decode to no bytes. Bytes need not be whole characters.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(rank_file, pattern)
+        for batch in batches:
+            texts = [own.decode(ids.as_py() or b"") for ids in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(texts, pa.binary())], names=[key, "decoded"])
+
+    kind = encoded.schema[key].dataType.simpleString()
+    return reachable(encoded).select(key, "ids").mapInArrow(run, f"`{key}` {kind}, decoded binary")
+
+
 def digests(encoded: DataFrame, key: str = "doc_id") -> DataFrame:
     return encoded.select(
         key, F.expr("cast(octet_length(ids) div 4 as long)").alias("n_tokens"),

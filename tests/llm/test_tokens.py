@@ -76,8 +76,11 @@ def library():
 def test_byte_bpe_as_the_library(spark, library, chunk, overlap):
     rows = [(i, t) for i, t in enumerate(_texts())] + [(None, None), (1, "  "), (0, "x y")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    out = byte_bpe.digests(byte_bpe.encode(
-        df, RANKS, public_tokenizers.PATTERN, chunk=chunk, overlap=overlap))
+    encoded = byte_bpe.encode(df, RANKS, public_tokenizers.PATTERN, chunk=chunk, overlap=overlap)
+    back = byte_bpe.decode(encoded, RANKS, public_tokenizers.PATTERN).collect()
+    assert sorted((str(r[0]), bytes(r[1]).decode()) for r in back) == sorted(
+        (str(k), t or "") for k, t in rows)
+    out = byte_bpe.digests(encoded)
     expected = []
     for key, text in rows:
         ids = library.encode_ordinary(text or "")
