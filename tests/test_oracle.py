@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.conftest import SF_DIR
 from verification.compare import compare, duck
+from verification.oracle import oracle_sql
+from verification.queries import queries
 
 SQL = oracle_sql()
 # Neither joins that pair everything nor Python in the data path.
