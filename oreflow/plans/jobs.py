@@ -25,9 +25,12 @@ def hourly_silver(
     lakehouse: bool = False,
     now: Column | None = None,
     results_path: str | None = None,
+    salt: str | None = None,
 ) -> DataFrame:
     """Bronze to silver, then the gate. Raises when a check finds a violation.
 
+    With a ``salt``, personal data of customers is masked before it is written.
+
     Each history is written first and read back for the current state, so the
     feed is parsed once.
     """
@@ -36,9 +39,10 @@ def hourly_silver(
     for name in SILVER_CDC_TABLES:
         spec = CDC_TABLES[name]
         history = f"{database}.{name}_history"
-        tables.replace_table(
-            spark, history, silver.cdc_history(bronze_cdc, spec), lakehouse=lakehouse
-        )
+        changes = silver.cdc_history(bronze_cdc, spec)
+        if name == "customers" and salt is not None:
+            changes = silver.masked_customers(changes, salt)
+        tables.replace_table(spark, history, changes, lakehouse=lakehouse)
         tables.replace_table(
             spark,
             f"{database}.{name}_current",

@@ -189,7 +189,9 @@ def bronze_inputs(spark, total="10.00"):
 
 def test_hourly_job_passes_then_fails_on_a_bad_total(spark, database, tmp_path):
     results = str(tmp_path / "results")
-    outcome = jobs.hourly_silver(spark, *bronze_inputs(spark), database, now=now(), results_path=results)
+    outcome = jobs.hourly_silver(
+        spark, *bronze_inputs(spark), database, now=now(), results_path=results, salt="s")
+    assert len(spark.table(f"{database}.customers_current").first().email) == 64
     assert rows(outcome, "violations") == [(0,)] * 5
     assert spark.table(f"{database}.events").count() == 2
     assert rows(spark.table(f"{database}.orders_current"), "order_id", "op") == [(1, "c")]
