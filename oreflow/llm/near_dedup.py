@@ -134,6 +134,8 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
+    # Both sides grow with the data: no join may depend on pairs that fit a broadcast.
+    texts = texts.hint("merge")
     with_b = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("b_text")), "b")
     both = with_b.join(texts.select(F.col("id").alias("a"), F.col("text").alias("a_text")), "a")
     return both.select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long").distinct()
@@ -147,7 +149,8 @@ def _sized(n: str, m: str, percent: int):
 def _alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs with enough equal minima."""
     least = nodes.select("node", "minima")
-    met = pairs.join(least.toDF("a", "x"), "a").join(least.toDF("b", "y"), "b")
+    met = pairs.join(least.toDF("a", "x").hint("merge"), "a").join(
+        least.toDF("b", "y").hint("merge"), "b")
     equal = F.aggregate(F.zip_with("x", "y", lambda x, y: (x == y).cast("int")), F.lit(0),
                         lambda n, e: n + e)
     return met.where(equal >= ALIKE).select("a", "b").distinct()
