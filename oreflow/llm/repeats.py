@@ -396,18 +396,19 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     as the smallest number of their type.
     """
     source = _keyed(docs, key, text)
-    # Targets follow the number of input splits.
-    parts = max(2, 2 * docs.rdd.getNumPartitions())
+    # Tasks follow the number of input splits; several parts a task even them out.
+    tasks = 4 * max(1, docs.rdd.getNumPartitions())
+    parts = 8 * tasks
     met = cut(
         source.mapInArrow(_find(parts), "part int, spans boolean, n int, blob binary")
-        .repartition(parts, "part").mapInArrow(_meet, _SPANS))
+        .repartition(tasks, "part").mapInArrow(_meet, _SPANS))
     wanted = met.where(F.col("kind") == FETCH).groupBy("doc", "tie").agg(
         F.collect_list(F.struct("anchor", "start", "end", "at")).alias("wanted"))
     matched = (
         source.join(wanted, ["doc", "tie"])
         .mapInArrow(_contexts(parts), "part int, anchor long, doc long, tie int, start long, "
                                       "at int, context binary")
-        .repartition(parts, "part").mapInArrow(_matched, _SPANS))
+        .repartition(tasks, "part").mapInArrow(_matched, _SPANS))
     copies = met.where(F.col("kind") == COPIES).unionByName(matched)
     return copies.groupBy("doc", "tie").agg(
         F.collect_list(F.struct("start", "end")).alias("spans"))
