@@ -45,8 +45,8 @@ def pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
         closing = np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
             at, number, start, size, ids = [], [], [], [], []
-            for i, value in enumerate(batch.column(1)):
-                data = own.encode(value.as_py() or "") + closing
+            for i, value in enumerate(batch.column(1).cast(pa.binary())):
+                data = own.encode(value.as_py() or b"") + closing
                 for k in range(0, len(data), 4 * length):
                     part = data[k:k + 4 * length]
                     at.append(i)

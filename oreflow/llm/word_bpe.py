@@ -11,8 +11,8 @@ from __future__ import annotations
 import re
 import struct
 
-#: Entries of each of a worker's two caches; they are emptied when full.
-CACHED = 300_000
+#: Entries of a worker's caches of words and of their parts; emptied when full.
+CACHED_WORDS, CACHED_PARTS = 500_000, 800_000
 
 _LETTER = "a-z\xdf-\xf6\xf8-\xff"
 _PLAIN = re.compile(rf"[\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
@@ -35,23 +35,25 @@ class WordEncoder:
         self.whole.encode_special_tokens = True
         self.model = self.whole.model
         self.letters = _byte_letters()
-        self.words: dict[str, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit numbers."""
-        known, fresh = self.words, self._fresh
-        return b"".join([known[w] if w in known else fresh(w) for w in _words(text)])
+    def encode(self, text: bytes) -> bytes:
+        """Ids of a UTF-8 text as little-endian unsigned 32-bit numbers."""
+        known, fresh = self.words.get, self._fresh
+        # Bytes split at ASCII white space only; other separators belong to words.
+        return b"".join([known(w) or fresh(w) for w in text.split()])
 
-    def _fresh(self, word: str) -> bytes:
+    def _fresh(self, data: bytes) -> bytes:
+        word = data.decode("utf-8", "replace")
         if len(word) <= 4096 and _PLAIN.fullmatch(word) and "<|" not in word:
             ids = b"".join([self.parts.get(p) or self._part(p) for p in _PIECES.findall(word.lower())])
         else:
             ids = _packed(self.whole.encode(word, add_special_tokens=False).ids)
-        if len(word) <= 48:
-            if len(self.words) >= CACHED:
+        if len(data) <= 64:
+            if len(self.words) >= CACHED_WORDS:
                 self.words.clear()
-            self.words[word] = ids
+            self.words[data] = ids
         return ids
 
     def _part(self, part: str) -> bytes:
@@ -59,7 +61,7 @@ class WordEncoder:
         mapped = "".join([letters[b] for b in part.encode()])
         ids = _packed([t.id for t in self.model.tokenize(mapped)])
         if len(part) <= 48:
-            if len(self.parts) >= CACHED:
+            if len(self.parts) >= CACHED_PARTS:
                 self.parts.clear()
             self.parts[part] = ids
         return ids
@@ -69,13 +71,6 @@ def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-_BLANKS = {c: " " for c in range(9, 14)}
-
-
-def _words(text: str) -> list[str]:
-    return [w for w in text.translate(_BLANKS).split(" ") if w]
-
-
 _WORKER: dict[str, WordEncoder] = {}
 
 
