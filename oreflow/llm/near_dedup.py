@@ -1,10 +1,10 @@
 """Near-duplicate documents by tensored MinHash banding, confirmed on full sets.
 
 A document is the set of its five-word shingles. Two small collections of
-sub-bands are made, eight names of two minima each. The key of table (i, j)
-combines name i of the first collection with name j of the second, so 32
-minima give 64 tables of four rows. A pair at similarity 0.85 misses all of
-them with probability below 0.0001.
+sub-bands are made, names of two minima each: eight a collection at 0.85, ten at
+0.80. The key of table (i, j) combines name i of the first collection with name
+j of the second, so 32 minima give 64 tables of four rows, and 40 give 100. A
+pair at the threshold misses all of them with probability below 0.0001.
 
 A name that occurs once can't be part of a shared key, so it is dropped before
 any keys are formed. Documents with equal sets are one node. Within a table
@@ -18,6 +18,7 @@ a link that the smallest node doesn't show is found by another comparison.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,12 +31,9 @@ from pyspark.sql.window import Window
 from oreflow.llm.frames import components, cut, reachable
 
 WORDS = 5
-#: Sub-bands of each collection and minima of each; tables are their square.
-SUB_BANDS, ROWS = 8, 2
-MINIMA = 2 * SUB_BANDS * ROWS
-#: Equal minima a pair must show before its sets are fetched. At similarity 0.85
-#: the chance of fewer is below 0.000001.
-ALIKE = 16
+#: Minima of each sub-band, sub-bands of each collection at most, and minima of these.
+ROWS, MOST_BANDS = 2, 64
+MINIMA = 2 * MOST_BANDS * ROWS
 #: Neighbours compared in keys that hold several components, if one more name is equal.
 REACH = 2
 
@@ -47,6 +45,25 @@ _PLACE, _MULTIPLY, _SPREAD = (
 _WIDTH = np.arange(WORDS + 1, dtype=np.uint64) * _PLACE[WORDS]
 
 
+def sizes(percent: int) -> tuple[int, int]:
+    """Sub-bands of each collection, and equal minima a pair must show before its
+    sets are fetched.
+
+    At the threshold a pair misses all tables with probability below 0.0001, and
+    shows fewer equal minima with probability below 0.000001.
+    """
+    like = percent / 100
+    bands = next((k for k in range(1, MOST_BANDS) if 2 * (1 - like ** ROWS) ** k < 1e-4), MOST_BANDS)
+    n = 2 * bands * ROWS
+    below, alike = 0.0, 0
+    while alike < n:
+        below += math.comb(n, alike) * like ** alike * (1 - like) ** (n - alike)
+        if below >= 1e-6:
+            break
+        alike += 1
+    return bands, alike
+
+
 def shingles(text: bytes) -> np.ndarray:
     """Sorted hashes of the distinct shingles; with fewer words, one of all of them."""
     words = text.lower().split()  # both ASCII only, as bytes
@@ -65,9 +82,9 @@ def shingles(text: bytes) -> np.ndarray:
     return np.unique(total)
 
 
-def minima(found: np.ndarray) -> np.ndarray:
-    out = np.empty(MINIMA, np.uint64)
-    for i in range(MINIMA):
+def minima(found: np.ndarray, bands: int) -> np.ndarray:
+    out = np.empty(2 * bands * ROWS, np.uint64)
+    for i in range(len(out)):
         mixed = found * _MULTIPLY[i]
         mixed ^= mixed >> np.uint64(32)
         mixed *= _SPREAD[i]
@@ -77,8 +94,8 @@ def minima(found: np.ndarray) -> np.ndarray:
 
 def names(least: np.ndarray) -> np.ndarray:
     """Names of the sub-bands of both collections, each with its place mixed in."""
-    pairs = least.reshape(2 * SUB_BANDS, ROWS)
-    out = np.arange(2 * SUB_BANDS, dtype=np.uint64) * _PLACE[4]
+    pairs = least.reshape(-1, ROWS)
+    out = np.arange(len(pairs), dtype=np.uint64) * _PLACE[4]
     for k in range(ROWS):
         out = (out ^ pairs[:, k]) * _PLACE[k]
         out ^= out >> np.uint64(32)
@@ -92,7 +109,7 @@ def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def signatures(docs: DataFrame, bands: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n, digest, names, minima); digest, names and minima are null without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,7 +120,7 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
                 if not len(found):
                     rows.append((0, None, None, None))
                     continue
-                least = minima(found)
+                least = minima(found, bands)
                 rows.append((
                     len(found), hashlib.blake2b(found.tobytes(), digest_size=16).digest(),
                     names(least).view(np.int64), (least >> np.uint64(32)).astype(np.uint32).view(np.int32)))
@@ -146,23 +163,23 @@ def _sized(n: str, m: str, percent: int):
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
-def _alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _alike(pairs: DataFrame, nodes: DataFrame, alike: int) -> DataFrame:
     """Pairs with enough equal minima."""
     least = nodes.select("node", "minima")
     met = pairs.join(least.toDF("a", "x").hint("merge"), "a").join(
         least.toDF("b", "y").hint("merge"), "b")
     equal = F.aggregate(F.zip_with("x", "y", lambda x, y: (x == y).cast("int")), F.lit(0),
                         lambda n, e: n + e)
-    return met.where(equal >= ALIKE).select("a", "b").distinct()
+    return met.where(equal >= alike).select("a", "b").distinct()
 
 
-def _table_keys(nodes: DataFrame) -> DataFrame:
+def _table_keys(nodes: DataFrame, bands: int) -> DataFrame:
     """(node, n, keys): keys of the tables in which both names are shared with another node."""
     each = nodes.select("node", "n", F.posexplode("names").alias("at", "name"))
     shared = each.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
     found = each.join(shared, "name").groupBy("node", "n").agg(
-        F.collect_set(F.when(F.col("at") < SUB_BANDS, F.col("name"))).alias("first"),
-        F.collect_set(F.when(F.col("at") >= SUB_BANDS, F.col("name"))).alias("second"))
+        F.collect_set(F.when(F.col("at") < bands, F.col("name"))).alias("first"),
+        F.collect_set(F.when(F.col("at") >= bands, F.col("name"))).alias("second"))
     keys = F.flatten(F.transform("first", lambda x: F.transform(
         "second", lambda y: F.xxhash64(x, y))))
     return found.select("node", "n", keys.alias("keys")).where(F.size("keys") > 0)
@@ -181,19 +198,20 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id",
     columns beside key and text are not read. ``docs`` must give the same rows
     again.
     """
-    signed = cut(signatures(docs, key, text))
+    bands, alike = sizes(percent)
+    signed = cut(signatures(docs, bands, key, text))
     worded = signed.where("digest is not null and id is not null")
     nodes = cut(worded.groupBy("digest").agg(
         F.min("id").alias("node"), F.first("n").alias("n"), F.first("names").alias("names"),
         F.first("minima").alias("minima")))
-    keys = cut(_table_keys(nodes))
+    keys = cut(_table_keys(nodes, bands))
     members = keys.select("node", "n", F.explode("keys").alias("key"))
     hubs = members.groupBy("key").agg(
         F.min(F.struct("node", "n")).alias("hub"), F.max("node").alias("most")).where(
         "hub.node < most").select("key", F.col("hub.node").alias("a"), F.col("hub.n").alias("m"))
     stars = members.join(hubs, "key").where("node <> a").where(_sized("n", "m", percent)).select(
         "a", F.col("node").alias("b")).distinct()
-    tested = cut(_alike(stars, nodes))
+    tested = cut(_alike(stars, nodes, alike))
     # Only rows that share a key can be fetched. Their number grows with the data,
     # so the join must not depend on whether their ids fit a broadcast.
     ids = keys.select(F.col("node").alias("id")).distinct()
@@ -211,7 +229,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id",
             F.min("component").alias("low"), F.max("component").alias("high")).where(
             "low < high").select("key")
         rows = spread.select("key", "node", "n", "component", *[
-            F.get("names", F.pmod(F.col("key") + turn + k, F.lit(2 * SUB_BANDS)).cast("int")).alias(f"n{k}")
+            F.get("names", F.pmod(F.col("key") + turn + k, F.lit(2 * bands)).cast("int")).alias(f"n{k}")
             for k in (0, 5)]).join(mixed, "key")
         along = Window.partitionBy("key").orderBy("n0", "n5", "node")
         ahead = [F.lead(F.struct("node", "n", "component", "n0"), k).over(along).alias(f"x{k}")
@@ -222,7 +240,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id",
             "node", "n", F.explode(others).alias("x"))
         pairs = near.where(_sized("n", "x.n", percent)).select(
             F.least("node", "x.node").alias("a"), F.greatest("node", "x.node").alias("b")).distinct()
-        fresh = cut(_alike(pairs.join(tested, ["a", "b"], "left_anti"), nodes))
+        fresh = cut(_alike(pairs.join(tested, ["a", "b"], "left_anti"), nodes, alike))
         more = cut(_confirmed(fresh, texts, percent))
         if more.isEmpty():
             break

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 import duckdb
@@ -182,3 +183,12 @@ def test_every_stage_takes_odd_rows_and_an_empty_table(spark):
         for _, stage in corpus_pipeline.STAGES:
             out = stage(spark, docs, SF)
             assert out.count() <= max(len(content) + 5, 0)
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_table_sizes_fit_the_threshold(percent):
+    bands, alike = near_dedup.sizes(percent)
+    like = percent / 100
+    assert 2 * (1 - like ** 2) ** bands < 1e-4 < 2 * (1 - like ** 2) ** (bands - 1)
+    n = 4 * bands
+    assert sum(math.comb(n, k) * like ** k * (1 - like) ** (n - k) for k in range(alike)) < 1e-6
