@@ -11,8 +11,10 @@ any keys are formed. Documents with equal sets are one node. Within a table
 key, nodes are compared with the key's smallest node only; links are confirmed
 on full sets and joined to components. Keys whose nodes are not all in one
 component are then walked again: neighbours in the order of further names are
-compared where the next name is equal, as long as that finds links: so no group is ever expanded into all its pairs, and
-a link that the smallest node doesn't show is found by another comparison.
+compared where the next name is equal, as long as that finds links. What is
+then still mixed is settled exactly: every pair of a key that lies in two
+components is compared, in small keys by a join, in large ones block by block.
+A key's largest component meets the others only, never itself.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -36,6 +39,8 @@ ROWS, MOST_BANDS = 2, 64
 MINIMA = 2 * MOST_BANDS * ROWS
 #: Neighbours compared in keys that hold several components, if one more name is equal.
 REACH = 2
+#: Nodes of a mixed key that are joined pair by pair; larger keys go in blocks.
+FEW, BLOCK = 16, 256
 
 _random = np.random.default_rng(20_240_301)
 _PLACE, _MULTIPLY, _SPREAD = (
@@ -185,6 +190,132 @@ def _table_keys(nodes: DataFrame, bands: int) -> DataFrame:
     return found.select("node", "n", keys.alias("keys")).where(F.size("keys") > 0)
 
 
+def _open_pairs(first: pd.DataFrame, second: pd.DataFrame, percent: int, alike: int) -> np.ndarray:
+    """Which pairs of two blocks are to be compared in this table and unit."""
+    a, b = (f["node"].to_numpy()[:, None] for f in (first, second))
+    x, y = (f["n"].to_numpy(np.int64)[:, None] for f in (first, second))
+    own, other = (f["component"].to_numpy()[:, None] for f in (first, second))
+    out = (own != other.T) & (100 * np.minimum(x, y.T) >= percent * np.maximum(x, y.T))
+    if bool(first["first"].iloc[0] and first["second"].iloc[0]):
+        out &= a < b.T
+    if not out.any():
+        return out
+    # A pair shares many tables; the first of both collections has it.
+    left, right = (np.stack(f["names"].to_numpy()) for f in (first, second))
+    bands = left.shape[1] // 2
+    i, j = divmod(int(first["place"].iloc[0]), bands)
+    for k in (*range(i), *range(bands, bands + j)):
+        out &= left[:, k][:, None] != right[:, k][None, :]
+    left, right = (np.stack(f["minima"].to_numpy()) for f in (first, second))
+    equal = np.zeros(out.shape, np.int16)
+    for k in range(left.shape[1]):
+        equal += left[:, k][:, None] == right[:, k][None, :]
+    return out & (equal >= alike)
+
+
+def _common(first: list[np.ndarray], second: list[np.ndarray], step: int = 4096) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets."""
+    every = np.concatenate([*first, *second])
+    found, at, often = np.unique(every, return_inverse=True, return_counts=True)
+    column = np.where(often > 1, np.cumsum(often > 1) - 1, -1)[at]
+    row = np.repeat(np.arange(len(first) + len(second)), [len(x) for x in (*first, *second)])
+    row, column = row[column >= 0], column[column >= 0]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((len(first), len(second)), np.int64)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, step):
+        lo, hi = np.searchsorted(column, [low, low + step])
+        dense = np.zeros((len(first) + len(second), step), np.float32)
+        dense[row[lo:hi], column[lo:hi] - low] = 1
+        both += np.rint(dense[:len(first)] @ dense[len(first):].T).astype(np.int64)
+    return both
+
+
+def _sides(frame: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+    frame = frame.sort_values("node", kind="stable")
+    return frame[frame["first"]], frame[frame["second"]]
+
+
+def _exhausted(mixed: DataFrame, nodes: DataFrame, tested: DataFrame, texts: DataFrame,
+               percent: int, alike: int) -> DataFrame:
+    """Links among all pairs of ``mixed`` (key, node, n, component) in two components.
+
+    Keys are taken in blocks of about BLOCK nodes. A unit is two blocks, at least
+    one of nodes outside of the key's largest component.
+    """
+    counts = mixed.groupBy("key", "component").agg(F.count("*").alias("c"))
+    whole = cut(counts.groupBy("key").agg(
+        F.sum("c").alias("total"), F.max(F.struct("c", "component")).alias("main")).where("total > 2"))
+    few = mixed.join(whole.where(F.col("total") <= FEW).select("key"), "key")
+    other = few.toDF("key", "other", "m", "beside")
+    pairs = few.join(other, "key").where("node < other and component <> beside").where(
+        _sized("n", "m", percent)).select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
+    fresh = cut(_alike(pairs.join(tested, ["a", "b"], "left_anti"), nodes, alike))
+    links = _confirmed(fresh, texts, percent)
+
+    large = whole.where(F.col("total") > FEW).select(
+        "key", F.col("main.component").alias("main"),
+        F.ceil((F.col("total") - F.col("main.c")) / BLOCK).cast("int").alias("rest_blocks"),
+        F.ceil(F.col("main.c") / BLOCK).cast("int").alias("main_blocks"))
+    if large.isEmpty():
+        return links
+    placed = mixed.join(large, "key").withColumn("is_main", F.col("component") == F.col("main"))
+    block = F.pmod(F.xxhash64("node"), F.when(F.col("is_main"), F.col("main_blocks")).otherwise(
+        F.col("rest_blocks"))).cast("int")
+    placed = placed.withColumn("block", block)
+
+    def unit(main, low, high, first, second):
+        return F.struct(F.lit(main).alias("main"), low.alias("low"), high.alias("high"),
+                        first.alias("first"), second.alias("second"))
+
+    yes, no, own = F.lit(True), F.lit(False), F.col("block")
+    rest = F.transform(F.sequence(F.lit(0), F.col("rest_blocks") - 1), lambda j: unit(
+        False, F.least(own, j), F.greatest(own, j), own <= j, own >= j))
+    against = F.transform(F.sequence(F.lit(0), F.col("main_blocks") - 1),
+                          lambda j: unit(True, own, j, yes, no))
+    mains = F.transform(F.sequence(F.lit(0), F.col("rest_blocks") - 1),
+                        lambda i: unit(True, i, own, no, yes))
+    units = placed.select("key", "node", "n", "component", F.explode(
+        F.when(F.col("is_main"), mains).otherwise(F.concat(rest, against))).alias("u")).select(
+        "key", "node", "n", "component", "u.*")
+    bands = F.size("names") / 2
+    table = F.flatten(F.transform(F.slice("names", F.lit(1), bands.cast("int")), lambda x: F.transform(
+        F.slice("names", bands.cast("int") + 1, bands.cast("int")), lambda y: F.xxhash64(x, y))))
+    shown = nodes.select("node", "names", "minima").hint("merge")
+    place = (F.array_position(table, F.col("key")) - 1).cast("int").alias("place")
+    by = ["key", "main", "low", "high"]
+
+    def left(frame: pd.DataFrame) -> pd.DataFrame:
+        first, second = _sides(frame)
+        if not len(first) or not len(second):
+            return frame.iloc[:0].drop(columns=["names", "minima"])
+        to_do = _open_pairs(first, second, percent, alike)
+        wanted = {*first["node"].to_numpy()[to_do.any(axis=1)], *second["node"].to_numpy()[to_do.any(axis=0)]}
+        return frame[frame["node"].isin(wanted)].drop(columns=["names", "minima"])
+
+    def compared(frame: pd.DataFrame) -> pd.DataFrame:
+        first, second = _sides(frame)
+        if not len(first) or not len(second):
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        to_do = _open_pairs(first, second, percent, alike)
+        sets = [[shingles(t.encode()) for t in f["text"]] for f in (first, second)]
+        both = _common(*sets)
+        x, y = (np.array([len(s) for s in side], np.int64) for side in sets)
+        row, column = np.nonzero(to_do & (100 * both >= percent * (x[:, None] + y[None, :] - both)))
+        a, b = first["node"].to_numpy()[row], second["node"].to_numpy()[column]
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    columns = ("key long, node long, n long, component long, main boolean, low int, high int, "
+               "first boolean, second boolean, place int")
+    open_ = cut(reachable(units.join(shown, "node").select(
+        *units.columns, place, "names", "minima")).groupBy(*by).applyInPandas(
+        lambda f: left(f)[[c.split()[0] for c in columns.split(", ")]], columns))
+    found = open_.join(shown, "node").join(
+        texts.select(F.col("id").alias("node"), "text").hint("merge"), "node").groupBy(*by).applyInPandas(
+        compared, "a long, b long")
+    return links.unionByName(found).distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id, kept) for every row.
@@ -246,6 +377,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id",
             break
         links, tested, turn = links.unionByName(more), tested.unionByName(fresh), turn + 1
         grouped = cut(components(links))
+    rest = cut(_exhausted(cut(rows.select("key", "node", "n", "component")), nodes, tested, texts,
+                          percent, alike))
+    if not rest.isEmpty():
+        grouped = cut(components(links.unionByName(rest)))
     found = signed.join(nodes.select("digest", "node"), "digest", "left").join(grouped, "node", "left")
     component = F.coalesce("component", "node", "id")
     kind = docs.schema[key].dataType

@@ -74,6 +74,30 @@ def test_links_that_the_smallest_member_does_not_show(spark):
     assert {c for _, c in expected.values()} == {0}
 
 
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_links_in_a_template_group_below_the_threshold(spark, monkeypatch, few):
+    # All texts are 0.81 to 0.84 to each other; planted ones are linked.
+    rng = random.Random(5)
+    template = [f"t{i}" for i in range(400)]
+
+    def own(k):
+        return [f"{k}x{i}" for i in range(42)]
+
+    rows, linked = [], 60
+    for k in range(300):
+        mine = own(k)
+        rows.append((k, " ".join(template + mine)))
+        if k < linked:
+            rows.append((1000 + rng.randint(0, 10 ** 6) * 100 + k, " ".join(template + mine[:12] + [f"{k}y{i}" for i in range(30)])))
+    rng.shuffle(rows)
+    monkeypatch.setattr(near_dedup, "FEW", few)
+    monkeypatch.setattr(near_dedup, "BLOCK", 50)
+    out = near_dedup.near_duplicates(_frame(spark, rows)).collect()
+    expected = brute.near_duplicates(rows)
+    assert len({c for _, c in expected.values()}) == 300
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == expected
+
+
 def test_matching_statistics():
     rng = random.Random(1)
     for _ in range(60):
