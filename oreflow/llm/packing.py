@@ -10,7 +10,10 @@ Only lengths matter for that, so the rows that move are narrow. Pieces are
 dealt into groups of about ``group_pieces`` by a hash, and each group is packed
 on its own, longest first: the number of groups follows the data, and a group
 leaves a few sequences open at most. What lies in poorly filled sequences
-of all groups is dealt again into far fewer groups, until one is left.
+of all groups is dealt again, as long as that leaves at most half of the pieces
+loose. Where lengths have no partners it doesn't: then all loose pieces are
+packed at once from the counts per length, of which there are ``length`` at
+most, and rows take their places by rank within their length.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from oreflow.llm.frames import cut, reachable
 from oreflow.llm.word_bpe import encoder
@@ -120,6 +124,74 @@ def repacked(sizes: np.ndarray, length: int, rounds: int = 8) -> np.ndarray:
     return numbers
 
 
+def by_counts(counts: dict[int, int], length: int) -> list[tuple[int, int, int, int, int]]:
+    """(size, first rank, ranks, first sequence, offset): best fit, longest first, in bulk.
+
+    Rank r of a size lies in the sequence as far behind the first one as r is
+    behind the first rank. Sequences with equal contents are kept as ranges.
+    """
+    out = []
+    open_at: list[list[tuple[int, int]]] = [[] for _ in range(length + 1)]
+    made = 0
+    for size in sorted(counts, reverse=True):
+        rank, left = 0, counts[size]
+        if size == 0:
+            out.append((size, 0, left, 0, 0))
+            made = max(made, left)
+            continue
+        gap = size
+        while left:
+            while gap <= length and not open_at[gap]:
+                gap += 1
+            if gap > length:
+                # As many new sequences as hold what is left, each as full as it gets.
+                n = -(-left // (length // size))
+                open_at[length].append((made, n))
+                made, gap = made + n, length
+            start, n = open_at[gap].pop()
+            took = min(n, left)
+            out.append((size, rank, took, start, length - gap))
+            if took < n:
+                open_at[gap].append((start + took, n - took))
+            if gap > size:
+                open_at[gap - size].append((start, took))
+            rank, left = rank + took, left - took
+            gap = size if gap - size >= size else gap
+    return out
+
+
+def _from_counts(rows: DataFrame, columns: list[str], length: int, groups: int, level: int) -> DataFrame:
+    """All rows packed by ``by_counts``; ranks come from counts per group and length."""
+    keyed = rows.withColumn("packing_group", F.pmod(F.xxhash64(F.lit(level), *columns), F.lit(groups)))
+    counted = cut(keyed.groupBy("length", "packing_group").agg(F.count("*").alias("c")))
+    totals = {r["length"]: r["c"] for r in counted.groupBy("length").agg(F.sum("c").alias("c")).collect()}
+    plan = sorted(by_counts(totals, length))
+    size, rank, _, first, offset = (np.array(x, np.int64) for x in zip(*plan, strict=True))
+    base = counted.select("length", "packing_group", (F.sum("c").over(
+        Window.partitionBy("length").orderBy("packing_group")) - F.col("c")).alias("base"))
+    own = F.row_number().over(Window.partitionBy("packing_group", "length").orderBy(*columns))
+    ranked = keyed.withColumn("own", own).join(base, ["length", "packing_group"]).select(
+        *columns, (F.col("base") + F.col("own") - 1).alias("rank"))
+
+    def placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        begins = {x: (np.searchsorted(size, x), np.searchsorted(size, x, "right")) for x in set(size.tolist())}
+        for frame in frames:
+            at = np.empty(len(frame), np.int64)
+            sizes, ranks = frame["length"].to_numpy(np.int64), frame["rank"].to_numpy(np.int64)
+            for x in np.unique(sizes).tolist():
+                low, high = begins[x]
+                mine = sizes == x
+                at[mine] = low + np.searchsorted(rank[low:high], ranks[mine], "right") - 1
+            frame = frame.drop(columns="rank")
+            frame["sequence_id"] = (first[at] + ranks - rank[at]) * (1 << 24) + min(level, 15)
+            frame["offset"] = offset[at]
+            frame["packed"] = True
+            yield frame
+
+    schema = rows.select(*columns).schema.simpleString()[7:-1]
+    return reachable(ranked).mapInPandas(placed, f"{schema}, sequence_id long, offset long, packed boolean")
+
+
 def _packer(columns: list[str], length: int, level: int, last: bool, well_filled: float):
     """Packs the rows of one group."""
 
@@ -157,10 +229,15 @@ def pack(sized: DataFrame, length: int = LENGTH, group_pieces: int = GROUP_PIECE
     schema = sized.schema.simpleString()[7:-1]
     rows, level, done = sized, 0, []
     shuffle = int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    before = None
     while True:
         total = rows.count()
         groups = max(1, round(total / group_pieces))
         last = groups == 1
+        if not last and before is not None and 2 * total > before:
+            done.append(_from_counts(rows, columns, length, groups, level))
+            break
+        before = total
 
         keyed = rows.withColumn(
             "packing_group", F.pmod(F.xxhash64(F.lit(level), *columns), F.lit(groups)))

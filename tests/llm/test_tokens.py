@@ -162,3 +162,46 @@ def test_sum_of_squares_places_where_the_sum_is_least():
             gaps[where] = gap - s
             if gap - s:
                 counts[gap - s] += 1
+
+
+def test_packing_of_lengths_without_partners_ends(spark, monkeypatch):
+    rng = random.Random(9)
+    sizes = [1100] * 700 + [rng.randint(1, 2048) for _ in range(1400)]
+    stored = packing.cut(spark.createDataFrame(list(enumerate(sizes)), "doc_id long, length long"))
+    levels = []
+
+    def counted(df, cut=packing.cut):
+        levels.append(df)
+        assert len(levels) < 12, "levels go on"
+        return cut(df)
+
+    monkeypatch.setattr(packing, "cut", counted)
+    out = packing.pack(stored, group_pieces=100).collect()
+    assert sorted((r["doc_id"], r["length"]) for r in out) == list(enumerate(sizes))
+    by = {}
+    for r in out:
+        by.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in by.values():
+        end = 0
+        for offset, size in sorted(parts):
+            assert offset == end
+            end += size
+        assert end <= 2048
+    alone = sum(x > 1024 for x in sizes)
+    assert len(by) <= 1.05 * max(alone, -(-sum(sizes) // 2048))
+
+
+def test_bulk_best_fit_places_each_rank_once():
+    rng = random.Random(2)
+    for _ in range(50):
+        counts = {rng.randint(1, 50): rng.randint(1, 40) for _ in range(rng.randint(1, 12))}
+        seen, by = set(), {}
+        for size, rank, n, first, offset in packing.by_counts(counts, 50):
+            for k in range(n):
+                assert (size, rank + k) not in seen
+                seen.add((size, rank + k))
+                by.setdefault(first + k, []).append((offset, size))
+        assert seen == {(s, r) for s, n in counts.items() for r in range(n)}
+        for parts in by.values():
+            assert sum(s for _, s in parts) <= 50
+            assert [o for o, _ in sorted(parts)] == [sum(s for _, s in sorted(parts)[:i]) for i in range(len(parts))]
