@@ -11,16 +11,23 @@ from pyspark.sql import functions as F
 from oreflow.llm import (
     byte_bpe,
     chat,
+    curriculum,
     line_dedup,
     near_dedup,
     neighbours,
     packing,
     quality,
+    repair,
     repeats,
     sharding,
+    spelling,
+    sql,
     token_counts,
 )
-from oreflow.llm.frames import cut, table
+from oreflow.llm.frames import cut, table, words_of
+
+#: Weights 5, 2 and 1 in the whole: falling, rising and level over the training.
+SCHEDULES = (((0, 6), (1, 4)), ((0, 1), (0.5, 2), (1, 3)), ((0, 1), (1, 1)))
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,15 +94,36 @@ def op10_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", F.size(words_of(F.col("text"))).alias("words"))
+    copies = curriculum.mix(docs, F.col("words"), SCHEDULES, 1.5, 2)
+    return copies.groupBy("row.doc_id", "source", "size", "nth", "source_size", "target").agg(
+        F.sum("words").alias("taken"), F.min("position").alias("first_position")).select(
+        "doc_id", "size", "source_size", "target", "taken", "first_position")
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling.runs(table(spark, sf_dir, "documents"), least=6)
+    return spelling.variants(spelling.vocabulary(spelling.with_slips(), runs))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.repaired(turns, repair.damaged(turns))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_token_counts, op2_histogram_sort, op3_near_duplicates, op4_line_dedup, op5_byte_bpe,
-           op6_packing, op7_quality_rules, op8_chat, op9_neighbours, op10_run_index)
+           op6_packing, op7_quality_rules, op8_chat, op9_neighbours, op10_run_index, op11_curriculum,
+           op12_spelling, op13_repair)
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
     """Results in DuckDB SQL, where SQL can express them."""
-    return {"op4_line_dedup": LINE_DEDUP, "op8_chat": CHAT}
+    return {"op4_line_dedup": LINE_DEDUP, "op8_chat": CHAT, "op11_curriculum": sql.CURRICULUM,
+            "op12_spelling": sql.SPELLING, "op13_repair": sql.REPAIR}
 
 
 LINE_DEDUP = r"""
