@@ -1,0 +1,337 @@
+"""Mixing by schedules, spelling variants and conversation repair."""
+
+from __future__ import annotations
+
+import hashlib
+import heapq
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from oreflow.llm import curriculum, repair, spelling
+from oreflow.llm.queries import SCHEDULES
+
+
+# --- mixing ----------------------------------------------------------------
+def _mixed(spark, rows, **options):
+    df = spark.createDataFrame(rows, "doc_id long, source string, words long, copy string, nth int")
+    return curriculum.mix(df.repartition(5), F.col("words"), SCHEDULES, **options).collect()
+
+
+def _plain_targets(sizes, share, most):
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weights = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    full = set()
+    while True:
+        left = share * sum(sizes.values()) - sum(most * sizes[s] for s in full)
+        rest = sum(weights[s] for s in sizes if s not in full)
+        out = {s: float(most * sizes[s]) if s in full else left * weights[s] / rest for s in sizes}
+        more = {s for s in sizes if s not in full and out[s] > most * sizes[s]}
+        if not more:
+            return out
+        full |= more
+
+
+@pytest.mark.parametrize("block_rows", [50, 200_000])
+def test_mix_meets_its_targets(spark, block_rows):
+    rng = random.Random(1)
+    rows = [(i, rng.choice(["b", "a", "ä", "", None, "z" * 300]), rng.randint(0, 90), "x", 4) for i in range(700)]
+    rows += [(i, "a", 30, "hot", 1) for i in range(900, 1300)] + [(5_000, "a", 7, "same", 2)] * 150
+    rows += [(None, None, None, None, None), (1, "huge", 40_000, "", 0)]
+    out = _mixed(spark, rows, block_rows=block_rows)
+    sizes = Counter()
+    for _, s, w, *_ in rows:
+        sizes[s] += w or 0
+    expected = _plain_targets(sizes, 1.5, 2)
+    taken, per_row, given = Counter(), Counter(), Counter()
+    for r in out:
+        assert r["source_size"] == sizes[r["source"]] and r["target"] == pytest.approx(expected[r["source"]])
+        assert (r["copy"] is None) == (r["words"] == 0) == (r["position"] is None)
+        taken[r["source"]] += r["words"]
+        name = (r["row"]["doc_id"], r["source"], r["size"], r["nth"])
+        per_row[name] += r["words"]
+        given[name[:3]] += r["copy"] in (None, 0)
+    assert given == Counter((k, s, w or 0) for k, s, w, *_ in rows)
+    assert all(n <= 2 * name[2] for name, n in per_row.items())
+    assert all(abs(taken[s] - expected[s]) <= 0.5 for s in sizes)
+    partial = [r for r in out if r["copy"] is not None and r["words"] < r["size"]]
+    assert len(partial) <= len(sizes)
+
+
+def test_positions_follow_the_schedules(spark):
+    rows = [(i, "abc"[i % 3], 10, "", 0) for i in range(3_000)]
+    out = _mixed(spark, rows, share=0.3)
+    places = [r["position"] for r in out if r["position"] is not None]
+    assert places == sorted(places) and 0 < places[0] and places[-1] < 1
+    for name, schedule in zip("abc", SCHEDULES, strict=True):
+        own = [r["position"] for r in out if r["source"] == name and r["position"] is not None]
+        assert len(own) == {"a": 563, "b": 225, "c": 113}[name]  # 5,625, 2,250 and 1,125 words
+        sums = curriculum.integrals(schedule)
+        for (t, _), part in zip(schedule[1:-1] or [(0.5, 0)], sums[1:-1] or [None]):
+            if part is None:  # one straight line: what it delivers in the first half
+                (_, w), (_, x) = schedule
+                part = (w + (w + x) / 2) / 4
+            assert sum(p < t for p in own) / len(own) == pytest.approx(part / sums[-1], abs=0.01)
+
+
+def test_reruns_of_a_mix_agree(spark):
+    rows = [(i % 50, "s%d" % (i % 4), 3 + i % 7, "", 0) for i in range(400)] + [(9, "s1", 5, "", 0)] * 60
+
+    def digest(parts):
+        df = spark.createDataFrame(rows, "doc_id long, source string, words long, copy string, nth int")
+        out = curriculum.mix(df.repartition(parts), F.col("words"), SCHEDULES).collect()
+        return sorted((str(r["row"]["doc_id"]), r["source"], r["size"], str(r["copy"]), r["words"], str(r["position"]))
+                      for r in out)
+
+    assert digest(1) == digest(7)
+
+
+def test_mix_of_nothing(spark):
+    assert _mixed(spark, []) == []
+    out = _mixed(spark, [(1, None, 0, None, None), (2, "a", None, None, None)])
+    assert [(r["size"], r["target"], r["words"], r["copy"]) for r in out] == [(0, 0.0, 0, None)] * 2
+
+
+@pytest.mark.parametrize("schedule", [*SCHEDULES, ((0, 0), (1, 4)), ((0, 3), (1, 0)), ((0, 2), (0.5, 0), (1, 2))])
+def test_time_inverts_the_integral(spark, schedule):
+    parts = spark.createDataFrame([(i / 64,) for i in range(65)], "p double")
+    got = [r[0] for r in parts.select(curriculum.time_of(schedule, F.col("p"))).collect()]
+
+    def delivered(t):
+        total = 0.0
+        for (a, w), (b, x) in zip(schedule, schedule[1:]):
+            reach = min(max(t - a, 0), b - a)
+            total += reach * w + (x - w) / (b - a) * reach * reach / 2
+        return total / curriculum.integrals(schedule)[-1]
+
+    assert all(delivered(t) == pytest.approx(i / 64, abs=1e-9) for i, t in enumerate(got))
+
+
+# --- spelling --------------------------------------------------------------
+def _plain_words(docs):
+    found = Counter()
+    for key, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if c.isascii() else c for c in run)
+            h = zlib.crc32(f"{'' if key is None else key}:{run}".encode())
+            if h % 199 == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1:]
+            found[run] += 1
+    return {w: n for w, n in found.items() if len(w) >= 6 and n >= 5}
+
+
+def _one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    return len(a) + 1 == len(b) and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def _plain_variants(words, ratio=5):
+    forms, out = {}, {}
+    for w, n in words.items():
+        near = sorted((x for x in words if _one_edit(w, x)), key=lambda x: (-words[x], x))
+        best = near[0] if near and words[near[0]] >= ratio * n else None
+        forms[w], out[w] = best, [n, len(near)]
+    for w, (n, near) in out.items():
+        root = w
+        while forms[root]:
+            root = forms[root]
+        out[w] = (w, forms[w], root, n, near, words[forms[w]] if forms[w] else None)
+    return sorted(map(repr, out.values()))
+
+
+def _random_words(rng, n, letters="abcé"):
+    words = {}
+    for _ in range(n):
+        word = "".join(rng.choice(letters) for _ in range(rng.randint(6, 9)))
+        words[word] = rng.choice([5, 6, 30, 200, 2_000])
+        at = rng.randrange(len(word))
+        words.setdefault(word[:at] + rng.choice(["", "x", "xy"]) + word[at + 1:], rng.choice([5, 40, 300]))
+    return {w: n for w, n in words.items() if len(w) >= 6}
+
+
+@pytest.mark.parametrize("pairs_a_row", [0, 32])
+def test_variants_equal_all_pairs(spark, pairs_a_row):
+    words = _random_words(random.Random(3), 150) | {"aaaaaa": 5, "aaaaaaa": 25, "aaaaaaaa": 125, "aaaaaaaaa": 625}
+    # One common first half and one common second half.
+    words |= {"prefixes" + c + d: 9 for c in "abcdefgh" for d in "klmn"}
+    words |= {c + d + "suffixes": 50 for c in "abcdefgh" for d in "klmn"}
+    df = spark.createDataFrame(list(words.items()), "word string, n long")
+    out = spelling.variants(df, pairs_a_row=pairs_a_row).collect()
+    assert sorted(repr(tuple(r)) for r in out) == _plain_variants(words)
+
+
+def test_pairs_come_once(spark):
+    words = ["aaaaaa", "aaaaaaa", "aaaaab", "ababab", "abababa", "ÀÀÀÀÀÀ", "ÀÀÀÀÀA", "🜁aaaaa"]
+    df = spark.createDataFrame([(w, 5) for w in words], "word string, n long")
+    out = [tuple(sorted((r["a"], r["b"]))) for r in spelling.near_pairs(df).collect()]
+    assert sorted(out) == sorted(
+        tuple(sorted((a, b))) for i, a in enumerate(words) for b in words[:i] if _one_edit(a, b))
+
+
+def test_words_and_slips_equal_the_plain_count(spark):
+    rng = random.Random(5)
+    some = ["Letter", "ÉCOLES", "schöne", "wörter", "plainly", "a", "x1y", "naïveté", "strasse", "ÿÿÿÿÿÿ", "×÷abcdef"]
+    docs = [(i, " ".join(rng.choices(some, k=60))) for i in range(60)]
+    docs += [(None, "Letter " * 9), (1, None), (2, ""), (3, "letters-Letter_letter\nLETTER")] + [(7, "repeated " * 3)] * 4
+    df = spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, word int")
+    out = spelling.vocabulary(spelling.with_slips(), spelling.runs(df, least=6)).collect()
+    assert {r["word"]: r["n"] for r in out} == _plain_words(docs)
+    assert any(zlib.crc32(f"{k}:{w.lower()}".encode()) % 199 == 0 for k, t in docs if t for w in t.split())
+
+
+def test_variants_of_nothing(spark):
+    df = spark.createDataFrame([], "word string, n long")
+    assert spelling.variants(df).collect() == []
+    docs = spark.createDataFrame([(1, None)], "doc_id long, text string")
+    assert spelling.runs(docs).count() == 0
+
+
+# --- repair ----------------------------------------------------------------
+def _plain_damage(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = (" " if x is None else x for x in (role, text))
+        kind = zlib.crc32(":".join(" " if x is None else str(x) for x in (conv, turn)).encode()) % 20
+        if kind == 1:
+            text = ""
+        elif kind == 2:
+            text = re.sub("[.!?]", "", text)
+        elif kind == 4:
+            role = "user"
+        out += [(conv, turn, role, text)] * (0, 1, 1, 2)[kind] if kind < 4 else [(conv, turn, role, text)]
+    return out
+
+
+def _after(state, x):
+    return {"": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "p"}, "p": {"u": "u"}}[state].get(x)
+
+
+def _cheapest(turns):
+    """Least (cost, audit, rows) over all edit scripts; turns are (role, text, fault)."""
+    heap, seen = [(0, "", 0, "", ())], set()
+    while heap:
+        cost, audit, i, state, made = heapq.heappop(heap)
+        if (i, state) in seen:
+            continue
+        if i == len(turns) and state in ("", "p"):
+            return cost, audit, made
+        seen.add((i, state))
+        for x in ("user", "assistant"):
+            if _after(state, x[0]):
+                heapq.heappush(heap, (cost + 2, audit + "I", i, _after(state, x[0]), (*made, f"{x}:")))
+        if i < len(turns):
+            role, text, fault = turns[i]
+            heapq.heappush(heap, (cost + 3, audit + "D", i + 1, state, made))
+            for edit, x in (("K", role), ("R", "user"), ("R", "assistant")):
+                to = _after(state, x[:1])
+                if fault not in ("blank", "duplicate") and to:
+                    price = cost + 2 * (edit == "R") + (fault == "truncated")
+                    heapq.heappush(heap, (price, audit + edit, i + 1, to, (*made, f"{x}:{text}")))
+    raise AssertionError
+
+
+def _plain_repair(rows, faulty):
+    own = defaultdict(list)
+    for conv, turn, role, text in faulty:
+        role, text = (" " if x is None else x for x in (role, text))
+        own[conv].append((turn, role, text))
+    out = {}
+    for conv in {r[0] for r in rows}:
+        ordered = sorted(own[conv], key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+        seen, turns = set(), []
+        for _, role, text in ordered:
+            last = re.findall(r"[^\x20\x09-\x0D]", text)[-1:]
+            fault = ("blank" if not last else "duplicate" if (role, text) in seen
+                     else None if last[0] in ".!?" else "truncated")
+            seen.add((role, text))
+            turns.append((role, text, fault))
+        numbers = [t for t, _, _ in ordered if t is not None]
+        faults = Counter(f for _, _, f in turns)
+        illegal = sum(a[0][:1] + b[0][:1] not in ("su", "ua", "au") for a, b in zip(turns, turns[1:]))
+        cost, audit, made = _cheapest(turns)
+        out[conv] = (max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0,
+                     faults["blank"], faults["duplicate"], faults["truncated"], illegal, cost, audit,
+                     hashlib.sha256("\n".join(made).encode()).hexdigest())
+    return out
+
+
+ODD = ["fine.", "cut off", "", " \n", None, "what?", "ok! \t", "same.", "same.", ".", "…", "a.\nb", "é!"]
+
+
+def _turns(rng, convs, most=9):
+    return [(conv, rng.choice([t, t, t, rng.randint(0, 12), None]),
+             rng.choice(["user", "assistant", "user", "assistant", "system", "tool", "", None, "sage"]), rng.choice(ODD))
+            for conv in convs for t in range(rng.randint(1, most))]
+
+
+def _repaired(spark, rows, faulty=None, **options):
+    schema = "conv_id long, turn long, role string, text string"
+    df = spark.createDataFrame([(*r, "x", 3) for r in rows], f"{schema}, audit string, n int").repartition(3)
+    bad = None if faulty is None else spark.createDataFrame(faulty, schema)
+    return {r[0]: tuple(r)[1:] for r in repair.repaired(df, bad, **options).collect()}
+
+
+@pytest.mark.parametrize("segment_bits", [0, 1, 3, 16])
+def test_repair_equals_all_edit_scripts(spark, segment_bits):
+    rows = _turns(random.Random(7), [*range(60), None], 7)
+    rows += _turns(random.Random(8), [100] * 4, 12) + [(101, 3, "user", "again.")] * 30
+    assert _repaired(spark, rows, segment_bits=segment_bits) == _plain_repair(rows, rows)
+
+
+def test_repair_of_damaged_rows(spark):
+    rows = _turns(random.Random(9), range(120), 6)
+    rows = [r for r in rows if r[1] is not None] + [(500 + i, None, "user", "x") for i in range(40)]
+    faulty = _plain_damage(rows)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = sorted(map(tuple, repair.damaged(df).collect()), key=repr)
+    assert got == sorted(faulty, key=repr) and len({r[0] for r in faulty}) < len({r[0] for r in rows})
+    assert _repaired(spark, rows, faulty) == _plain_repair(rows, faulty)
+
+
+def test_edits_of_a_long_conversation_cross_segments(spark):
+    rng = random.Random(11)
+    rows = [(1, t, rng.choice(["user", "assistant", "assistant"]), f"{t}{rng.choice(['.', ''])}") for t in range(900)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    placed = repair.in_order(df, 5)
+    assert placed.select("segment").distinct().count() >= 28
+    out = repair.edits(placed).orderBy("at", "step").collect()
+    cost, audit, made = _cheapest([(r, x, None if x.endswith(".") else "truncated") for _, _, r, x in rows])
+    assert sum(r["cost"] for r in out) == cost and "".join(r["edit"] * r["times"] for r in out) == audit
+    assert tuple(f"{r['role']}:{r['text']}" for r in out if r["edit"] != "D") == made
+
+
+def test_ways_through_random_turns():
+    rng = random.Random(1)
+    for _ in range(3_000):
+        turns = [(rng.choice(["user", "assistant", "system", "tool", ""]), "t",
+                  rng.choice([None, None, "blank", "truncated"])) for _ in range(rng.randint(0, 8))]
+        walk = repair.walked([(r[:1], f == "blank", f == "truncated", 0) for r, _, f in turns], 0)
+        top = walk.end()
+        ways = ["D" if w is None else w[0] for w in walk.way(top)]
+        end = repair.closing(top)
+        cost, audit, _ = _cheapest(turns)
+        assert (walk.tops[top][0] + 2 * len(end), "".join(ways) + "I" * len(end)) == (cost, audit)
+
+
+def test_repair_of_nothing(spark):
+    assert _repaired(spark, []) == {}
+    empty = hashlib.sha256().hexdigest()
+    assert _repaired(spark, [(1, 0, "user", "a."), (None, None, None, None)], []) == {
+        1: (0,) * 6 + ("", empty), None: (0,) * 6 + ("", empty)}
+
+
+def test_the_grammar_has_few_stacks():
+    assert len(repair.STACKS) == 8
+    for word, legal in (("", 1), ("ua", 1), ("sua", 1), ("suaua", 1), ("s", 0), ("u", 0), ("au", 0), ("suau", 0)):
+        stack = repair.STACKS[0]
+        for x in word:
+            stack = stack and repair.shifted(stack, x)
+        assert bool(stack and repair.accepted(stack)) == bool(legal)
