@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType, TimestampType
 
 from oreflow.operators.ordered import KeySizes, Slicing, Timeline, key_sizes, timeline
 
@@ -52,6 +53,14 @@ def scd2(
     )
 
 
+def scd2_shape(history: StructType, key: str, tracked: Sequence[str], surrogate: str) -> StructType:
+    """Columns of ``scd2`` for a history with these columns."""
+    return StructType(
+        [StructField(surrogate, LongType()), history[key], *[history[c] for c in tracked],
+         StructField("valid_from", TimestampType()), StructField("valid_to", TimestampType()),
+         StructField("is_current", BooleanType())])
+
+
 def asof_join(
     facts: DataFrame,
     versions: DataFrame,

@@ -51,6 +51,30 @@ def gap_sessions(
     )
 
 
+def joined_sessions(parts: DataFrame, key: str, gap_minutes: int = SESSION_GAP_MINUTES) -> DataFrame:
+    """Sessions out of parts of sessions (``gap_sessions`` rows of any cut of the events).
+
+    Parts that touch or lie within one gap become one session, so an event that
+    comes late can join two sessions into one. The order is over parts: a key has
+    at most one per gap of time, however many events it has.
+    """
+    gap = F.expr(f"interval {gap_minutes} minutes")
+    by_start = Window.partitionBy(key).orderBy("session_start", "session_end")
+    # A part can lie inside an earlier one, so what ended last counts.
+    reach = F.max("session_end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(F.col("session_start") > reach, 1).otherwise(0)
+    numbered = parts.withColumn("_opens", opens).withColumn("_session", F.sum("_opens").over(by_start))
+    return (
+        numbered.groupBy(key, "_session")
+        .agg(
+            F.min("session_start").alias("session_start"),
+            F.max("session_end").alias("session_end"),
+            F.sum("events").alias("events"),
+        )
+        .select(key, "session_start", "session_end", "events")
+    )
+
+
 def _seen(event_type: str) -> Column:
     return F.max((F.col("event_type") == event_type).cast("int"))
 
@@ -75,6 +99,26 @@ def session_facts(events: DataFrame) -> DataFrame:
     )
 
 
+def joined_session_facts(parts: DataFrame) -> DataFrame:
+    """Session facts out of facts of any cut of the events (``session_facts`` rows)."""
+    return (
+        parts.groupBy("session_id")
+        .agg(
+            F.min("session_start").alias("session_start"),
+            F.max("session_end").alias("session_end"),
+            F.sum("events").alias("events"),
+            F.sum("pages").alias("pages"),
+            F.max("customer_id").alias("customer_id"),
+            F.bool_or("converted").alias("converted"),
+        )
+        .withColumn(
+            "duration_seconds",
+            (micros(F.col("session_end")) - micros(F.col("session_start"))) / F.lit(1_000_000.0),
+        )
+        .select(*parts.columns)
+    )
+
+
 def funnel(events: DataFrame, stages: tuple[str, ...] = FUNNEL_STAGES) -> DataFrame:
     """Sessions reaching each stage, and their share of the stage before.
 

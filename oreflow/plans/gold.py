@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from oreflow.functions.columns import money, prop
 from oreflow.operators.ordered import Slicing
-from oreflow.operators.scd import asof_join, scd2
+from oreflow.operators.scd import NULL_KEY_SALTS, asof_join, scd2
 from oreflow.operators.windows import top_per_window
 from oreflow.schemas import MONEY, PAID_STATUSES
 
@@ -92,6 +92,10 @@ def stg_payments(snapshots: DataFrame, ds: str | None = None) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Dimensions
 # ---------------------------------------------------------------------------
+PRODUCT_TRACKED = ("sku", "name", "category", "subcategory", "unit_price", "is_active")
+CUSTOMER_TRACKED = ("email", "full_name", "country_code", "marketing_opt_in")
+
+
 def dim_product(products: DataFrame) -> DataFrame:
     return products.select(
         "product_id", "sku", "product_name", "category", "subcategory",
@@ -110,15 +114,13 @@ def dim_customer(customers: DataFrame) -> DataFrame:
 def dim_product_scd2(
     history: DataFrame, slicing: Slicing = Slicing(), measure: DataFrame | None = None
 ) -> DataFrame:
-    tracked = ["sku", "name", "category", "subcategory", "unit_price", "is_active"]
-    return scd2(history, "product_id", tracked, "product_key", slicing, measure)
+    return scd2(history, "product_id", PRODUCT_TRACKED, "product_key", slicing, measure)
 
 
 def dim_customer_scd2(
     history: DataFrame, slicing: Slicing = Slicing(), measure: DataFrame | None = None
 ) -> DataFrame:
-    tracked = ["email", "full_name", "country_code", "marketing_opt_in"]
-    return scd2(history, "customer_id", tracked, "customer_key", slicing, measure)
+    return scd2(history, "customer_id", CUSTOMER_TRACKED, "customer_key", slicing, measure)
 
 
 def dim_date(rows: DataFrame, at: str) -> DataFrame:
@@ -200,8 +202,16 @@ def items_at_catalog_price(
 
 
 def facts_without_customer(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """Orders whose customer is not in the dimension (erased)."""
-    return orders.join(customers.select("customer_id"), "customer_id", "left_anti")
+    """Orders whose customer is not in the dimension (erased), or that have none.
+
+    Orders without a customer are spread by their id, not gathered on null.
+    """
+    salt = F.when(F.col("customer_id").isNull(), F.pmod(F.xxhash64("order_id"), F.lit(NULL_KEY_SALTS)))
+    wanted = orders.withColumn("_wanted", F.coalesce("customer_id", F.lit(0))).withColumn(
+        "_salt", F.coalesce(salt, F.lit(-1)))
+    known = customers.where("customer_id is not null").select(
+        F.col("customer_id").alias("_wanted"), F.lit(-1).cast("long").alias("_salt")).distinct()
+    return wanted.join(known, ["_wanted", "_salt"], "left_anti").select(*orders.columns)
 
 
 # ---------------------------------------------------------------------------
@@ -235,15 +245,16 @@ def daily_revenue(items: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def daily_revenue_from_facts(facts: DataFrame) -> DataFrame:
-    """The same mart from an order fact table that is already there."""
-    return (
-        paid(facts)
-        .groupBy(F.to_date("order_created_at").alias("order_date"))
-        .agg(
-            F.count_distinct("order_id").alias("orders"),
-            F.sum("quantity").alias("units_sold"),
-            F.sum("revenue").cast(MONEY).alias("revenue"),
-        )
+    """The same mart from an order fact table that is already there.
+
+    Facts are combined per order first, so orders are rows to count.
+    """
+    per_order = paid(facts).groupBy(F.to_date("order_created_at").alias("order_date"), "order_id").agg(
+        F.sum("quantity").alias("units"), F.sum("revenue").alias("revenue"))
+    return per_order.groupBy("order_date").agg(
+        F.count("order_id").alias("orders"),
+        F.sum("units").alias("units_sold"),
+        F.sum("revenue").cast(MONEY).alias("revenue"),
     )
 
 

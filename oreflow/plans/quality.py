@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oreflow.functions.columns import prop
 from oreflow.operators.checks import Check, is_any_null
+from oreflow.operators.scd import NULL_KEY_SALTS
 from oreflow.schemas import ORDER_STATUSES, RECONCILE_AFTER_MINUTES
+from oreflow.sources.versioned import VersionedTable
 
 
 def has_null_key() -> Column:
@@ -36,8 +40,14 @@ def unmatched_purchases(
     ).select("event_id", prop("order_id").alias("order_id"))
     # Distinct first: an order with very many changes is one row after the map side.
     known = order_changes.select(F.col("order_id").alias("known_order")).distinct()
-    wanted = F.col("order_id").try_cast("bigint")
-    return purchases.join(known, wanted == F.col("known_order"), "left_anti")
+    wanted = purchases.withColumn("wanted", F.col("order_id").try_cast("bigint"))
+    # Without an order id nothing matches. Such purchases may be many, so they
+    # are spread by a salt that no known order has, instead of meeting on null.
+    salt = F.when(F.col("wanted").isNull(), F.pmod(F.xxhash64("event_id"), F.lit(NULL_KEY_SALTS))).otherwise(-1)
+    wanted = wanted.withColumn("_wanted", F.coalesce("wanted", F.lit(0))).withColumn("_salt", salt)
+    known = known.where("known_order is not null").select(
+        F.col("known_order").alias("_wanted"), F.lit(-1).cast("long").alias("_salt"))
+    return wanted.join(known, ["_wanted", "_salt"], "left_anti").select(*purchases.columns)
 
 
 def silver_checks(
@@ -60,6 +70,28 @@ def silver_checks(
     ]
 
 
+def increment_checks(
+    tables: Mapping[str, VersionedTable], revenue_days: Sequence, fact_days: Sequence
+) -> list[Check]:
+    """Checks of the gold tables over the days and buckets of the last run."""
+    revenue = tables["daily_revenue"].read(revenue_days)
+    facts = tables["event_facts"].read(fact_days)
+    checks = [
+        Check("unique daily_revenue.order_date", revenue, "order_date", unique=True),
+        Check("negative daily revenue", revenue, "order_date", F.col("revenue") < 0),
+        Check("unique event_facts.event_id", facts, "event_id", unique=True),
+        Check("event facts before their product version", facts, "event_id",
+              F.col("product_valid_from") > F.col("event_ts")),
+    ]
+    for name, key in (("dim_products", "product_key"), ("dim_customers", "customer_key")):
+        rows = tables[name].read()
+        checks += [
+            Check(f"unique {name}.{key}", rows, key, unique=True),
+            Check(f"empty interval in {name}", rows, key, F.col("valid_to") <= F.col("valid_from")),
+        ]
+    return checks
+
+
 def gold_checks(
     facts: DataFrame, products: DataFrame, customers: DataFrame, revenue: DataFrame
 ) -> list[Check]:

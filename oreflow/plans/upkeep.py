@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from oreflow.functions.wire import JSON, Payload, decode_clicks
 from oreflow.plans.bronze import bronze_events
 from oreflow.schemas import DLQ_ARCHIVE, TARGET_FILE_BYTES
+from oreflow.sources.files import Files
+from oreflow.sources.swaps import Watcher, quiet, replace_files, settle
 from oreflow.sources.tables import file_inventory
 
 POSITION = ["kafka_partition", "kafka_offset"]
@@ -44,14 +46,17 @@ def compact_small_files(
     partition_by: Sequence[str] = (),
     target_bytes: int = TARGET_FILE_BYTES,
     small: float = 0.75,
+    watch: Watcher = quiet,
 ) -> dict[str, int]:
     """Merge the small files of each partition folder in place; large ones stay as they are.
 
     Small is below ``small`` of the target, and a folder needs two such files.
-    New files are written aside, under a name that readers skip, before they
-    take the place of the old ones. Run it on closed partitions: between the
-    two steps a reader can miss rows. Returns the files read and written.
+    A swap left by a job that died is settled first, and this one can die at
+    any step: the next run finishes or undoes it, so no row is lost or doubled.
+    Plain readers can meet the swap half-way; run it on closed partitions or
+    read with ``read_settled``. Returns the files read and written.
     """
+    settle(spark, path)
     files = file_inventory(spark.read.parquet(path)).where(
         F.col("file_size") < small * target_bytes).withColumn(
         "folder", F.regexp_extract("file_path", r"^(.*)/[^/]+$", 1))
@@ -60,31 +65,18 @@ def compact_small_files(
     chosen = files.join(crowded, "folder").select("file_path", "file_size").collect()
     if not chosen:
         return {"read": 0, "written": 0}
-    aside = f"{path}/_compacting"
     parts = max(1, -(-sum(r["file_size"] for r in chosen) // target_bytes))
     rows = spark.read.option("basePath", path).parquet(*[r["file_path"] for r in chosen])
-    if partition_by:
-        rows.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(
-            *partition_by).parquet(aside)
-    else:
-        rows.repartition(parts).write.mode("overwrite").parquet(aside)
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    source = hadoop.Path(aside)
-    files_of = source.getFileSystem(spark._jsc.hadoopConfiguration())
-    base = files_of.makeQualified(source).toString()
-    written = files_of.listFiles(source, True)
-    moves = []
-    while written.hasNext():
-        file = written.next().getPath()
-        if file.getName().startswith("part-"):
-            inner = file.toString()[len(base):]
-            moves.append((file, hadoop.Path(f"{path}{inner}")))
-    for r in chosen:
-        files_of.delete(hadoop.Path(r["file_path"]), False)
-    for file, target in moves:
-        files_of.rename(file, target)
-    files_of.delete(source, True)
-    return {"read": len(chosen), "written": len(moves)}
+
+    def write(aside: str) -> None:
+        if partition_by:
+            rows.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(aside)
+        else:
+            rows.repartition(parts).write.parquet(aside)
+
+    folder = Files(spark, path)
+    old = [folder.relative(r["file_path"]) for r in chosen]
+    return {"read": len(old), "written": replace_files(spark, path, old, write, watch)}
 
 
 def new_dead_letters(dead: DataFrame, archive: DataFrame | None) -> DataFrame:

@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from oreflow.operators.keyed import merge_changes
-from oreflow.schemas import (
-    RETENTION_DAYS,
-    RETENTION_MIN_SNAPSHOTS,
-    SNAPSHOTS,
-)
+from oreflow.schemas import RETENTION_DAYS, RETENTION_MIN_SNAPSHOTS, SNAPSHOTS
+from oreflow.sources.files import Files
+from oreflow.sources.swaps import Watcher, quiet, replace_files, settle
 
 _VERSION_FORMAT = "%Y%m%d%H%M%S%f"
 _PUBLISHED = "oreflow.published"
@@ -218,31 +216,42 @@ def expire_versions(
     return old + dead
 
 
+def bucket_of(key: str, buckets: int) -> Column:
+    """Number of the folder that holds a key."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def is_table(spark: SparkSession, path: str) -> bool:
+    """Whether there are data files below a folder."""
+    files = Files(spark, path)
+    return files.exists("") and bool(files.data_files(""))
+
+
 def merge_table(
     spark: SparkSession, path: str, increment: DataFrame, key: str, buckets: int,
-    forget_before: Column | None = None,
+    forget_before: Column | None = None, watch: Watcher = quiet,
 ) -> int:
     """Merge changes into a state kept in ``buckets`` folders by key hash; returns how many it rewrote.
 
     Only folders that hold a changed key are read and replaced, so an increment
-    costs as much as what it touches. The merge can be repeated: a run that
-    died half-way is run again with the same changes.
+    costs as much as what it touches. Old files go when their successors are
+    written and named in a manifest, so a run that died at any step is run again
+    with the same changes. ``versioned.VersionedTable`` is for readers that must
+    always see one version.
     """
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-    changes = increment.withColumn("bucket", bucket)
+    settle(spark, path)
+    changes = increment.withColumn("bucket", bucket_of(key, buckets))
     # At most ``buckets`` numbers.
     touched = [r["bucket"] for r in changes.select("bucket").distinct().collect()]
     if not touched:
         return 0
     changes.limit(0).write.mode("append").partitionBy("bucket").parquet(path)
+    files = Files(spark, path)
+    old = [name for b in touched for name in files.data_files(f"bucket={b}")]
     state = spark.read.schema(changes.schema).parquet(path).where(F.col("bucket").isin(touched))
     merged = merge_changes(state, changes, key, forget_before)
-    # A folder cannot be read and replaced at once. Every one gets at least its changes.
-    aside = f"{path}/_merging"
-    merged.write.mode("overwrite").partitionBy("bucket").parquet(aside)
-    done = spark.read.schema(changes.schema).parquet(aside)
-    (done.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("bucket").parquet(path))
+    replace_files(
+        spark, path, old, lambda aside: merged.write.partitionBy("bucket").parquet(aside), watch)
     return len(touched)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from oreflow.functions.columns import prop
 from oreflow.functions.wire import JSON, Payload, decode_clicks
 from oreflow.operators.keyed import latest_version
-from oreflow.operators.windows import top_per_window, window_kpis
+from oreflow.operators.windows import session_sketches, sessions_per, top_per_window, window_kpis
 from oreflow.plans.bronze import valid_payloads
 from oreflow.schemas import KPI_WATERMARK, KPI_WINDOW, SESSION_GAP_MINUTES
 from oreflow.streaming.ingest import Run
@@ -33,6 +33,10 @@ def once_per_event(events: DataFrame) -> DataFrame:
     return events.dropDuplicatesWithinWatermark(["event_id"])
 
 
+def _run_number(started: datetime | None) -> int:
+    return int((started or datetime.now(timezone.utc)).timestamp() * 1_000_000)
+
+
 def versioned_files(path: str, started: datetime | None = None) -> BatchWriter:
     """Batch writer that appends each batch as one version of its rows.
 
@@ -41,7 +45,7 @@ def versioned_files(path: str, started: datetime | None = None) -> BatchWriter:
     earlier files nor loses against them. A batch that is run again within a
     run replaces its own files. Files lie under the day of their windows.
     """
-    run = int((started or datetime.now(timezone.utc)).timestamp() * 1_000_000)
+    run = _run_number(started)
 
     def write(rows: DataFrame, batch_id: int) -> None:
         stamped = rows.withColumns({
@@ -54,13 +58,27 @@ def versioned_files(path: str, started: datetime | None = None) -> BatchWriter:
     return write
 
 
-def database_rows(url: str, table: str, properties: dict[str, str]) -> BatchWriter:
-    """Batch writer that appends to a database table, from the executors."""
+def versioned_rows(rows: DataFrame, run: int, batch_id: int) -> DataFrame:
+    """Rows of a batch as one version, for a table that has no folders."""
+    return rows.withColumns({
+        "run": F.lit(run).cast("bigint"), "batch": F.lit(batch_id).cast("bigint"),
+        "updated_at": F.current_timestamp(),
+    })
+
+
+def database_rows(
+    url: str, table: str, properties: dict[str, str], started: datetime | None = None
+) -> BatchWriter:
+    """Batch writer that appends to a database table, from the executors.
+
+    Rows carry (run, batch) as the files of ``versioned_files`` do, so a run that
+    lost its checkpoint wins against earlier ones, and a batch that was written
+    twice is read once (``keyed.latest_version``).
+    """
+    run = _run_number(started)
+
     def write(rows: DataFrame, batch_id: int) -> None:
-        stamped = rows.withColumns({
-            "batch": F.lit(batch_id).cast("bigint"), "updated_at": F.current_timestamp(),
-        })
-        stamped.write.mode("append").jdbc(url, table, properties=properties)
+        versioned_rows(rows, run, batch_id).write.mode("append").jdbc(url, table, properties=properties)
 
     return write
 
@@ -97,13 +115,37 @@ def read_kpis(spark: SparkSession, *paths: str, since: date | None = None) -> Da
     return latest_version(rows, ["window_start"], ["run", "batch"])
 
 
-def run_kpis(clicks: DataFrame, write: BatchWriter, run: Run, payload: Payload = JSON) -> StreamingQuery:
-    """Per-minute KPIs in update mode: late data sends its window again."""
-    kpis = window_kpis(live_events(clicks, payload), KPI_WINDOW)
+def run_kpis(
+    clicks: DataFrame, write: BatchWriter, run: Run, payload: Payload = JSON, once: bool = False
+) -> StreamingQuery:
+    """Per-minute KPIs in update mode: late data sends its window again.
+
+    With ``once`` repeats of an event count once. ``accounts`` then tells what was
+    left out, so the figures can be reconciled with bronze.
+    """
+    events = live_events(clicks, payload)
+    kpis = window_kpis(once_per_event(events) if once else events, KPI_WINDOW)
     writer = kpis.writeStream.outputMode("update").foreachBatch(write)
     return run.start(writer, "kpis")
 
 
+def run_session_sketches(
+    clicks: DataFrame, write: BatchWriter, run: Run, payload: Payload = JSON
+) -> StreamingQuery:
+    """Per-minute session sketches in update mode, to be counted by the hour or the day."""
+    sketches = session_sketches(live_events(clicks, payload), KPI_WINDOW)
+    writer = sketches.writeStream.outputMode("update").foreachBatch(write)
+    return run.start(writer, "session_sketches")
+
+
+def read_sessions(
+    spark: SparkSession, *paths: str, width: str = "1 hour", since: date | None = None
+) -> DataFrame:
+    """Sessions per ``width`` from the newest version of each minute's sketch."""
+    newest = latest_version(read_versions(spark, *paths, since=since), ["window_start"], ["run", "batch"])
+    return sessions_per(newest, width)
+
+
 def run_product_counts(
     clicks: DataFrame, write: BatchWriter, run: Run, payload: Payload = JSON
 ) -> StreamingQuery:

@@ -647,4 +647,8 @@ SELECT CASE WHEN i % 200 <> 7 THEN 'still bad' WHEN i % 600 = 7 THEN 'already la
 FROM dead GROUP BY 1"""
     for name in ("order_lifecycle", "dim_product_scd2", "scd2_asof_join"):
         q[f"{name}_sliced"] = q[name]
+    for name in ("dim_product_scd2", "dim_customer_scd2", "session_windows", "fct_sessions", "mart_daily_revenue"):
+        q[f"{name}_increments"] = q[name]
+    q["increment_by_offsets"] = f"""
+SELECT kafka_partition, kafka_offset, kafka_ts FROM ({q["cdc_raw"]}) WHERE kafka_offset >= 20500"""
     return q

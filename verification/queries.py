@@ -6,6 +6,8 @@ double, instants as wall-clock UTC timestamps.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,12 +16,13 @@ from pyspark.sql import types as T
 
 from oreflow.functions.columns import ds_text, prop, sku, to_second
 from oreflow.functions.wire import add_header, decode_clicks, has_header
-from oreflow.operators import checks, keyed, sessions, windows
+from oreflow.operators import checks, keyed, scd, sessions, windows
 from oreflow.operators.ordered import Slicing
-from oreflow.plans import bronze, gold, pulse, quality, silver, upkeep
+from oreflow.plans import bronze, gold, increments, pulse, quality, silver, upkeep
 from oreflow.schemas import CDC_TABLES, ORDER_STATUSES
 from oreflow.session import prepare
-from oreflow.sources import tables
+from oreflow.sources import marks, tables
+from oreflow.sources.versioned import VersionedTable
 from verification import feeds
 
 ORDERS, PRODUCTS, CUSTOMERS = (CDC_TABLES[n] for n in ("orders", "products", "customers"))
@@ -34,6 +37,10 @@ ARCHIVED_UNTIL = "2024-01-16 00:00:00"
 SALT = "pepper-1:"
 # Every key with more rows than this is cut, so small data takes the sliced form.
 FINE = Slicing(rows_per_slice=2)
+#: Offsets of the change log that were visible at the mark.
+VISIBLE = 20_500
+#: Folders of the tables that increments are merged into.
+BUCKETS = 16
 GRID_LABELS = ("Amber", "Birch", "Cobalt", "Dune", "Elm", "Flint")
 
 
@@ -713,6 +720,115 @@ def fct_events(s):
     ).drop("product_key", "customer_key")
 
 
+# ---------------------------------------------------------------------------
+# Kept up to date by increments: the same results from batches in mixed order
+# ---------------------------------------------------------------------------
+def _folder(s: Shapes) -> str:
+    """A new folder below the shared one; a local session without it gets its own."""
+    shared = s.spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not s.spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        shared = f"file://{tempfile.mkdtemp(prefix='oreflow-')}"
+    return f"{shared}/increments-{uuid.uuid4().hex}"
+
+
+def _batches(rows: DataFrame, *by: str, n: int = 3) -> list[tuple[str, DataFrame]]:
+    """(run, rows) that cut a feed regardless of time, so later ones come late."""
+    batch = F.pmod(F.xxhash64(*by), F.lit(n))
+    return [(f"{i}", rows.where(batch == i)) for i in range(n)]
+
+
+def _dimension_by_increments(s: Shapes, history: DataFrame, key: str, tracked, surrogate: str):
+    root = _folder(s)
+    points = increments.bucketed(s.spark, f"{root}/points", history.schema)
+    dimension = increments.bucketed(
+        s.spark, f"{root}/dimension", scd.scd2_shape(history.schema, key, tracked, surrogate))
+    for run, changes in _batches(history, "kafka_partition", "kafka_offset"):
+        increments.merge_points(points, changes, key, run, BUCKETS)
+        increments.merge_dimension(dimension, points, changes, key, tracked, surrogate, run, BUCKETS)
+    return dimension.read().drop("bucket", surrogate)
+
+
+@query
+def dim_product_scd2_increments(s):
+    return _dimension_by_increments(
+        s, s.product_history(), "product_id", gold.PRODUCT_TRACKED, "product_key")
+
+
+@query
+def dim_customer_scd2_increments(s):
+    return _dimension_by_increments(
+        s, s.customer_history(), "customer_id", gold.CUSTOMER_TRACKED, "customer_key")
+
+
+@query
+def session_windows_increments(s):
+    events = s.table("events").withColumnRenamed("ts", "event_ts")
+    shape = sessions.gap_sessions(events, "user_id").schema
+    table = increments.bucketed(s.spark, _folder(s), shape)
+    for run, batch in _batches(events, "event_id"):
+        increments.merge_sessions(table, batch, "user_id", run, BUCKETS)
+    return table.read().drop("bucket")
+
+
+@query
+def fct_sessions_increments(s):
+    events = s.silver()
+    table = increments.bucketed(s.spark, _folder(s), sessions.session_facts(events).schema)
+    for run, batch in _batches(events, "event_id"):
+        increments.merge_session_facts(table, batch, run, BUCKETS)
+    return table.read().drop("bucket")
+
+
+@query
+def mart_daily_revenue_increments(s):
+    """Orders that are paid later, and items that come later."""
+    root = _folder(s)
+    orders = s.stg_orders().select(
+        "order_id", F.col("order_status").alias("status"), F.col("order_created_at").alias("created_at"),
+        F.lit("u").alias("op"), F.col("order_updated_at").alias("changed_at"),
+        F.col("order_id").alias("kafka_offset"), F.lit(1).alias("kafka_partition"))
+    early = orders.withColumns({
+        "status": F.lit("pending"), "changed_at": F.col("created_at") - F.expr("interval 1 day")})
+    items = s.stg_items().select(
+        "order_item_id", "order_id", "quantity", "unit_price_at_purchase", F.lit("c").alias("op"),
+        F.lit(None).cast("timestamp").alias("changed_at"), F.xxhash64("order_item_id").alias("kafka_offset"),
+        F.lit(0).alias("kafka_partition"))
+    state, lines, totals = (increments.bucketed(s.spark, f"{root}/{name}", shape) for name, shape in (
+        ("orders", orders.schema), ("items", items.schema),
+        ("totals", increments.order_totals(orders, items).schema)))
+    mart = VersionedTable(s.spark, f"{root}/mart", s.revenue().schema, "order_date")
+    lates = dict(_batches(items, "order_item_id", n=2))
+    for run, changed, added in (
+            ("0", early, lates["0"]), ("1", orders.where("order_id % 3 > 0"), lates["1"]),
+            ("2", orders.where("order_id % 3 = 0"), items.limit(0))):
+        increments.merge_state(state, changed, "order_id", run, BUCKETS)
+        increments.merge_state(lines, added, "order_item_id", run, BUCKETS, "order_id")
+        touched = changed.select("order_id").unionByName(added.select("order_id"))
+        increments.merge_order_totals(totals, state, lines, touched, run, BUCKETS)
+        increments.refresh_daily_revenue(mart, totals)
+    return mart.read().orderBy("order_date")
+
+
+@query
+def increment_by_offsets(s):
+    """What a reader has not read whose mark was taken when half of a micro-batch was visible.
+
+    A thousand offsets of the log arrive in one batch, with one time.
+    """
+    arrived = F.timestamp_seconds(F.floor(F.col("kafka_offset") / 1_000) * 60)
+    feed = s.raw_orders().withColumn("ingested_at", arrived)
+    left = marks.behind(feed, marks.reached(feed.where(F.col("kafka_offset") < VISIBLE)))
+    return left.select("kafka_partition", "kafka_offset", "kafka_ts")
+
+
+@query
+def kpis_hourly_sessions(s):
+    """Sessions per hour from the stored sketches of its minutes."""
+    return windows.sessions_per(windows.session_sketches(_live(s)), "1 hour")
+
+
 # ---------------------------------------------------------------------------
 # Dead letters
 # ---------------------------------------------------------------------------
