@@ -11,10 +11,14 @@ any keys are formed. Documents with equal sets are one node. Within a table
 key, nodes are compared with the key's smallest node only; links are confirmed
 on full sets and joined to components. Keys whose nodes are not all in one
 component are then walked again: neighbours in the order of further names are
-compared where the next name is equal, as long as that finds links. What is
-then still mixed is settled exactly: every pair of a key that lies in two
-components is compared, in small keys by a join, in large ones block by block.
-A key's largest component meets the others only, never itself.
+compared where the next name is equal, as long as that finds links.
+
+What is then still mixed is settled exactly, by a prefix filter over the full
+sets of its nodes. Shingles are ordered rarest first. Two sets that are alike
+enough share a shingle among the first few of both, and what follows it bounds
+what they can share in all; a bitmap of each set bounds how much they differ.
+Only pairs in two components that pass all bounds are compared. A shingle's
+largest component meets the others only, never itself.
 """
 
 from __future__ import annotations
@@ -24,10 +28,9 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -39,8 +42,8 @@ ROWS, MOST_BANDS = 2, 64
 MINIMA = 2 * MOST_BANDS * ROWS
 #: Neighbours compared in keys that hold several components, if one more name is equal.
 REACH = 2
-#: Nodes of a mixed key that are joined pair by pair; larger keys go in blocks.
-FEW, BLOCK = 16, 256
+#: Bits of the bitmap of a set.
+BITS = 2_048
 
 _random = np.random.default_rng(20_240_301)
 _PLACE, _MULTIPLY, _SPREAD = (
@@ -115,12 +118,15 @@ def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def signatures(docs: DataFrame, bands: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n, digest, names, minima); digest, names and minima are null without words."""
+    """(id, print, n, digest, names, minima); digest, names and minima are null without words.
+
+    The print is a hash of the text, null as empty: rows of one id and print have one text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for value in batch.column(1).cast(pa.binary()):
+            for value in batch.column(2).cast(pa.binary()):
                 found = shingles(value.as_py() or b"")
                 if not len(found):
                     rows.append((0, None, None, None))
@@ -131,16 +137,20 @@ def signatures(docs: DataFrame, bands: int, key: str = "doc_id", text: str = "te
                     names(least).view(np.int64), (least >> np.uint64(32)).astype(np.uint32).view(np.int32)))
             n, digest, name, least = zip(*rows, strict=True) if rows else ((),) * 4
             yield pa.RecordBatch.from_arrays([
-                batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()),
+                batch.column(0).cast(pa.int64()), batch.column(1), pa.array(n, pa.int64()),
                 pa.array(digest, pa.binary()), pa.array(name, pa.list_(pa.int64())),
-                pa.array(least, pa.list_(pa.int32()))], names=["id", "n", "digest", "names", "minima"])
+                pa.array(least, pa.list_(pa.int32()))], names=["id", "print", "n", "digest", "names", "minima"])
+
+    return reachable(docs).select(F.col(key).cast("long").alias("id"), print_of(text), text).mapInArrow(
+        run, "id long, print long, n long, digest binary, names array<long>, minima array<int>")
+
 
-    return reachable(docs).select(F.col(key).cast("long").alias("id"), text).mapInArrow(
-        run, "id long, n long, digest binary, names array<long>, minima array<int>")
+def print_of(text: str = "text") -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit(""))).alias("print")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are alike enough; ``texts`` has id and text."""
+    """The pairs (a, b) whose full sets are alike enough; ``texts`` has node and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[int, np.ndarray] | None = None
@@ -158,8 +168,8 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     # Both sides grow with the data: no join may depend on pairs that fit a broadcast.
     texts = texts.hint("merge")
-    with_b = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("b_text")), "b")
-    both = with_b.join(texts.select(F.col("id").alias("a"), F.col("text").alias("a_text")), "a")
+    with_b = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
+    both = with_b.join(texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
     return both.select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long").distinct()
 
 
@@ -190,130 +200,77 @@ def _table_keys(nodes: DataFrame, bands: int) -> DataFrame:
     return found.select("node", "n", keys.alias("keys")).where(F.size("keys") > 0)
 
 
-def _open_pairs(first: pd.DataFrame, second: pd.DataFrame, percent: int, alike: int) -> np.ndarray:
-    """Which pairs of two blocks are to be compared in this table and unit."""
-    a, b = (f["node"].to_numpy()[:, None] for f in (first, second))
-    x, y = (f["n"].to_numpy(np.int64)[:, None] for f in (first, second))
-    own, other = (f["component"].to_numpy()[:, None] for f in (first, second))
-    out = (own != other.T) & (100 * np.minimum(x, y.T) >= percent * np.maximum(x, y.T))
-    if bool(first["first"].iloc[0] and first["second"].iloc[0]):
-        out &= a < b.T
-    if not out.any():
-        return out
-    # A pair shares many tables; the first of both collections has it.
-    left, right = (np.stack(f["names"].to_numpy()) for f in (first, second))
-    bands = left.shape[1] // 2
-    i, j = divmod(int(first["place"].iloc[0]), bands)
-    for k in (*range(i), *range(bands, bands + j)):
-        out &= left[:, k][:, None] != right[:, k][None, :]
-    left, right = (np.stack(f["minima"].to_numpy()) for f in (first, second))
-    equal = np.zeros(out.shape, np.int16)
-    for k in range(left.shape[1]):
-        equal += left[:, k][:, None] == right[:, k][None, :]
-    return out & (equal >= alike)
-
-
-def _common(first: list[np.ndarray], second: list[np.ndarray], step: int = 4096) -> np.ndarray:
-    """Sizes of all intersections of two lists of sets."""
-    every = np.concatenate([*first, *second])
-    found, at, often = np.unique(every, return_inverse=True, return_counts=True)
-    column = np.where(often > 1, np.cumsum(often > 1) - 1, -1)[at]
-    row = np.repeat(np.arange(len(first) + len(second)), [len(x) for x in (*first, *second)])
-    row, column = row[column >= 0], column[column >= 0]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    both = np.zeros((len(first), len(second)), np.int64)
-    for low in range(0, int(column[-1]) + 1 if len(column) else 0, step):
-        lo, hi = np.searchsorted(column, [low, low + step])
-        dense = np.zeros((len(first) + len(second), step), np.float32)
-        dense[row[lo:hi], column[lo:hi] - low] = 1
-        both += np.rint(dense[:len(first)] @ dense[len(first):].T).astype(np.int64)
-    return both
-
-
-def _sides(frame: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
-    frame = frame.sort_values("node", kind="stable")
-    return frame[frame["first"]], frame[frame["second"]]
-
-
-def _exhausted(mixed: DataFrame, nodes: DataFrame, tested: DataFrame, texts: DataFrame,
-               percent: int, alike: int) -> DataFrame:
-    """Links among all pairs of ``mixed`` (key, node, n, component) in two components.
-
-    Keys are taken in blocks of about BLOCK nodes. A unit is two blocks, at least
-    one of nodes outside of the key's largest component.
+def bitmap(found: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of shingles in BITS parts of the hash range, as longs.
+
+    Each shingle that only one of two sets has flips one parity, so bitmaps differ
+    in no more bits than the sets differ in shingles.
+    """
+    counts = np.bincount((found >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64), minlength=BITS)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
+def _full_sets(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, component, n, bits, tokens) of ``nodes`` (node, component)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(value.as_py()) for value in batch.column(2).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([bitmap(s) for s in sets], pa.list_(pa.int64())),
+                pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
+                names=["node", "component", "n", "bits", "tokens"])
+
+    return nodes.join(texts.hint("merge"), "node").select("node", "component", "text").mapInArrow(
+        run, "node long, component long, n long, bits array<long>, tokens array<long>")
+
+
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(s, node, component, n, at, indexed): the shingles among which alike sets must meet.
+
+    Shingles are ordered by the number of sets that have them, then by hash; ``at``
+    is the place in that order. Those of one set only come first and meet nothing,
+    so they are counted and not sorted. Of two sets the smaller (by n, node) shares
+    one of its ``indexed`` shingles.
     """
-    counts = mixed.groupBy("key", "component").agg(F.count("*").alias("c"))
-    whole = cut(counts.groupBy("key").agg(
-        F.sum("c").alias("total"), F.max(F.struct("c", "component")).alias("main")).where("total > 2"))
-    few = mixed.join(whole.where(F.col("total") <= FEW).select("key"), "key")
-    other = few.toDF("key", "other", "m", "beside")
-    pairs = few.join(other, "key").where("node < other and component <> beside").where(
-        _sized("n", "m", percent)).select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
-    fresh = cut(_alike(pairs.join(tested, ["a", "b"], "left_anti"), nodes, alike))
-    links = _confirmed(fresh, texts, percent)
-
-    large = whole.where(F.col("total") > FEW).select(
-        "key", F.col("main.component").alias("main"),
-        F.ceil((F.col("total") - F.col("main.c")) / BLOCK).cast("int").alias("rest_blocks"),
-        F.ceil(F.col("main.c") / BLOCK).cast("int").alias("main_blocks"))
-    if large.isEmpty():
-        return links
-    placed = mixed.join(large, "key").withColumn("is_main", F.col("component") == F.col("main"))
-    block = F.pmod(F.xxhash64("node"), F.when(F.col("is_main"), F.col("main_blocks")).otherwise(
-        F.col("rest_blocks"))).cast("int")
-    placed = placed.withColumn("block", block)
-
-    def unit(main, low, high, first, second):
-        return F.struct(F.lit(main).alias("main"), low.alias("low"), high.alias("high"),
-                        first.alias("first"), second.alias("second"))
-
-    yes, no, own = F.lit(True), F.lit(False), F.col("block")
-    rest = F.transform(F.sequence(F.lit(0), F.col("rest_blocks") - 1), lambda j: unit(
-        False, F.least(own, j), F.greatest(own, j), own <= j, own >= j))
-    against = F.transform(F.sequence(F.lit(0), F.col("main_blocks") - 1),
-                          lambda j: unit(True, own, j, yes, no))
-    mains = F.transform(F.sequence(F.lit(0), F.col("rest_blocks") - 1),
-                        lambda i: unit(True, i, own, no, yes))
-    units = placed.select("key", "node", "n", "component", F.explode(
-        F.when(F.col("is_main"), mains).otherwise(F.concat(rest, against))).alias("u")).select(
-        "key", "node", "n", "component", "u.*")
-    bands = F.size("names") / 2
-    table = F.flatten(F.transform(F.slice("names", F.lit(1), bands.cast("int")), lambda x: F.transform(
-        F.slice("names", bands.cast("int") + 1, bands.cast("int")), lambda y: F.xxhash64(x, y))))
-    shown = nodes.select("node", "names", "minima").hint("merge")
-    place = (F.array_position(table, F.col("key")) - 1).cast("int").alias("place")
-    by = ["key", "main", "low", "high"]
-
-    def left(frame: pd.DataFrame) -> pd.DataFrame:
-        first, second = _sides(frame)
-        if not len(first) or not len(second):
-            return frame.iloc[:0].drop(columns=["names", "minima"])
-        to_do = _open_pairs(first, second, percent, alike)
-        wanted = {*first["node"].to_numpy()[to_do.any(axis=1)], *second["node"].to_numpy()[to_do.any(axis=0)]}
-        return frame[frame["node"].isin(wanted)].drop(columns=["names", "minima"])
-
-    def compared(frame: pd.DataFrame) -> pd.DataFrame:
-        first, second = _sides(frame)
-        if not len(first) or not len(second):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        to_do = _open_pairs(first, second, percent, alike)
-        sets = [[shingles(t.encode()) for t in f["text"]] for f in (first, second)]
-        both = _common(*sets)
-        x, y = (np.array([len(s) for s in side], np.int64) for side in sets)
-        row, column = np.nonzero(to_do & (100 * both >= percent * (x[:, None] + y[None, :] - both)))
-        a, b = first["node"].to_numpy()[row], second["node"].to_numpy()[column]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    columns = ("key long, node long, n long, component long, main boolean, low int, high int, "
-               "first boolean, second boolean, place int")
-    open_ = cut(reachable(units.join(shown, "node").select(
-        *units.columns, place, "names", "minima")).groupBy(*by).applyInPandas(
-        lambda f: left(f)[[c.split()[0] for c in columns.split(", ")]], columns))
-    found = open_.join(shown, "node").join(
-        texts.select(F.col("id").alias("node"), "text").hint("merge"), "node").groupBy(*by).applyInPandas(
-        compared, "a long, b long")
-    return links.unionByName(found).distinct()
+    tokens = sets.select("node", "component", "n", F.explode("tokens").alias("s"))
+    often = tokens.groupBy("s").agg(F.count("*").alias("often")).where("often > 1")
+    shared = tokens.join(often, "s")
+    own = Window.partitionBy("node")
+    at = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("often", "s")) - 1
+    n = F.col("n")
+    probed = n - F.ceil(percent * n / 100) + 1
+    indexed = n - F.ceil(2 * percent * n / (100 + percent)) + 1
+    return shared.withColumn("at", at).where(F.col("at") < probed).select(
+        "s", "node", "component", "n", "at", (F.col("at") < indexed).alias("indexed"))
+
+
+def _candidates(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b), a < b, of two components that pass all bounds."""
+    prefixes = cut(_prefixes(sets, percent))
+    parts = prefixes.groupBy("s", "component").agg(F.count("*").alias("c")).groupBy("s").agg(
+        F.max_by("component", "c").alias("main"), F.count("*").alias("parts")).where("parts > 1")
+    met = cut(prefixes.join(parts.select("s", "main"), "s").join(
+        sets.select("node", "bits").hint("merge"), "node"))
+    x, y = met.where("component <> main").alias("x"), met.alias("y")
+
+    def of(side: str, name: str) -> Column:
+        return F.col(f"{side}.{name}")
+
+    both = of("x", "n") + of("y", "n")
+    least = F.ceil(percent * both / (100 + percent))
+    smaller = F.struct(of("x", "n"), of("x", "node")) < F.struct(of("y", "n"), of("y", "node"))
+    behind = F.least(of("x", "n") - of("x", "at"), of("y", "n") - of("y", "at"))
+    differ = F.aggregate(F.zip_with(of("x", "bits"), of("y", "bits"), lambda p, q: F.bit_count(p.bitwiseXOR(q))),
+                         F.lit(0), lambda n, k: n + k)
+    pairs = x.join(y, (of("x", "s") == of("y", "s")) & (of("x", "component") != of("y", "component")) & (
+        (of("y", "component") == of("y", "main")) | (of("x", "node") < of("y", "node"))) & (
+        100 * F.least(of("x", "n"), of("y", "n")) >= percent * F.greatest(of("x", "n"), of("y", "n"))) & F.when(
+        smaller, of("x", "indexed")).otherwise(of("y", "indexed")) & (behind >= least) & (
+        differ <= both - 2 * least))
+    return pairs.select(F.least(of("x", "node"), of("y", "node")).alias("a"),
+                        F.greatest(of("x", "node"), of("y", "node")).alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id",
@@ -329,12 +286,46 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id",
     columns beside key and text are not read. ``docs`` must give the same rows
     again.
     """
+    found = _grouped(docs, percent, key, text)
+    kind = docs.schema[key].dataType
+    return found.select(
+        F.col("id").cast(kind).alias(key), F.col("n").alias("n_shingles"),
+        F.col("component").cast(kind).alias("component_id"),
+        (F.col("id").isNull() | (F.col("id") == F.col("component"))).alias("kept"))
+
+
+def distinct_documents(docs: DataFrame, percent: int = 80, key: str = "doc_id",
+                       text: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates, the one of the smallest key.
+
+    Decided for each row, not each key: rows of one key with different texts may
+    be in two groups. Of rows equal in key and text one stays, whichever comes
+    first; of one key with several texts in a group the one with the smallest
+    print. Rows without a key and rows without words all stay, repeated ones too.
+    """
+    found = _grouped(docs, percent, key, text).where("id is not null and digest is not null")
+    chosen = found.groupBy("component").agg(F.min(F.struct("id", "print")).alias("x")).select("x.id", "x.print")
+    columns = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    rows = docs.select(F.col(key).cast("long").alias("id"), print_of(text), columns, (
+        F.col(key).isNull() | ~F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")).alias("apart"))
+    # Equal rows go inside each task before they move.
+    one = rows.where("not apart").groupBy("id", "print").agg(F.first("row").alias("row"))
+    return one.join(chosen.hint("merge"), ["id", "print"], "left_semi").select("row.*").unionByName(
+        rows.where("apart").select("row.*"))
+
+
+def _grouped(docs: DataFrame, percent: int, key: str, text: str) -> DataFrame:
+    """(id, print, n, digest, component) for every row; component is an id."""
     bands, alike = sizes(percent)
     signed = cut(signatures(docs, bands, key, text))
     worded = signed.where("digest is not null and id is not null")
-    nodes = cut(worded.groupBy("digest").agg(
-        F.min("id").alias("node"), F.first("n").alias("n"), F.first("names").alias("names"),
-        F.first("minima").alias("minima")))
+    # One node for each set, numbered in the order of ids: the smallest node of a
+    # component then has its smallest id.
+    sets = worded.groupBy("digest").agg(
+        F.min(F.struct("id", "print")).alias("x"), F.first("n").alias("n"), F.first("names").alias("names"),
+        F.first("minima").alias("minima")).select("digest", "x.*", "n", "names", "minima")
+    nodes = cut(sets.repartitionByRange("id", "print", "digest").sortWithinPartitions(
+        "id", "print", "digest").withColumn("node", F.monotonically_increasing_id()))
     keys = cut(_table_keys(nodes, bands))
     members = keys.select("node", "n", F.explode("keys").alias("key"))
     hubs = members.groupBy("key").agg(
@@ -344,10 +335,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id",
         "a", F.col("node").alias("b")).distinct()
     tested = cut(_alike(stars, nodes, alike))
     # Only rows that share a key can be fetched. Their number grows with the data,
-    # so the join must not depend on whether their ids fit a broadcast.
-    ids = keys.select(F.col("node").alias("id")).distinct()
-    source = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(text, F.lit("")).alias("text"))
-    texts = cut(source.join(ids.hint("merge"), "id", "left_semi"))
+    # so the join must not depend on whether their ids fit a broadcast. Equal rows
+    # go inside each task before they move.
+    ids = keys.select("node").distinct().join(nodes.select("node", "id", "print"), "node")
+    source = docs.select(F.col(key).cast("long").alias("id"), print_of(text),
+                         F.coalesce(text, F.lit("")).alias("text")).where("id is not null")
+    texts = cut(source.groupBy("id", "print").agg(F.first("text").alias("text")).join(
+        ids.hint("merge"), ["id", "print"]).select("node", "text"))
     links = cut(_confirmed(tested, texts, percent))
     grouped = cut(components(links))
     order = nodes.select("node", "names")
@@ -377,14 +371,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id",
             break
         links, tested, turn = links.unionByName(more), tested.unionByName(fresh), turn + 1
         grouped = cut(components(links))
-    rest = cut(_exhausted(cut(rows.select("key", "node", "n", "component")), nodes, tested, texts,
-                          percent, alike))
+    open_ = rows.select("node", "component").distinct()
+    fresh = _candidates(cut(_full_sets(open_, texts)), percent).join(tested, ["a", "b"], "left_anti")
+    rest = cut(_confirmed(cut(fresh), texts, percent))
     if not rest.isEmpty():
         grouped = cut(components(links.unionByName(rest)))
-    found = signed.join(nodes.select("digest", "node"), "digest", "left").join(grouped, "node", "left")
-    component = F.coalesce("component", "node", "id")
-    kind = docs.schema[key].dataType
-    return found.select(
-        F.col("id").cast(kind).alias(key), F.col("n").alias("n_shingles"),
-        F.when(F.col("id").isNotNull(), component).cast(kind).alias("component_id"),
-        (F.col("id").isNull() | (F.col("id") == component)).alias("kept"))
+    of_node = nodes.select(F.col("node").alias("component"), F.col("id").alias("least"))
+    grouped = grouped.join(of_node, "component").select("node", "least")
+    whole = nodes.select("digest", "node", F.col("id").alias("own")).join(grouped, "node", "left")
+    found = signed.join(whole, "digest", "left")
+    return found.select("id", "print", "n", "digest", F.when(
+        F.col("id").isNotNull(), F.coalesce("least", "own", "id")).alias("component"))

@@ -64,6 +64,43 @@ def test_near_duplicates_of_odd_rows(spark):
     assert near_dedup.near_duplicates(_frame(spark, [(1, "x")]).limit(0)).count() == 0
 
 
+def test_two_texts_under_one_key(spark):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(7, a), (7, b), (3, a + " more"), (7, b), (9, b + " more")]
+    out = near_dedup.near_duplicates(_frame(spark, rows)).collect()
+    assert sorted(tuple(r) for r in out) == [
+        (3, 57, 3, True), (7, 56, 3, False), (7, 56, 7, True), (7, 56, 7, True), (9, 57, 7, False)]
+    columns = [(k, t, i) for i, (k, t) in enumerate([*rows, (None, a), (None, a), (5, None), (5, None), (6, "")])]
+    docs = _frame(spark, columns, ", component long")
+    kept = near_dedup.distinct_documents(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in kept.collect()))) == sorted(map(str, [
+        (3, a + " more"), (7, b), (None, a), (None, a), (5, None), (5, None), (6, "")]))
+    assert near_dedup.distinct_documents(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("percent", [60, 80, 85, 95])
+def test_bounds_lose_no_pair(spark, percent):
+    """Candidates of the prefix filter against all pairs, over small and mixed sets."""
+    import numpy as np
+
+    rng = random.Random(percent)
+    bases = [[rng.getrandbits(63) for _ in range(n)] for n in (1, 2, 5, 20, 20, 60, 200)]
+    sets = []
+    for k in range(160):
+        base = rng.choice(bases)
+        share = rng.choice([0, 0.02, 0.05, 0.1, 0.2])
+        own = {x for x in base if rng.random() >= share} | {rng.getrandbits(63) for _ in range(rng.randint(0, max(1, len(base) // 9)))}
+        sets.append(np.unique(np.array(sorted(own), np.uint64)))
+    df = spark.createDataFrame([
+        (k, k % 150, len(x), near_dedup.bitmap(x).tolist(), x.view(np.int64).tolist()) for k, x in enumerate(sets) if len(x)],
+        "node long, component long, n long, bits array<long>, tokens array<long>")
+    found = {(r["a"], r["b"]) for r in near_dedup._candidates(df, percent).collect()}
+    links = {(a, b) for b in range(len(sets)) for a in range(b)
+             if a % 150 != b % 150 and near_dedup._similar(sets[a], sets[b], percent) and len(sets[a])}
+    assert links and links <= found and len(found) <= 2 * len(links) + 40
+
+
 def test_links_that_the_smallest_member_does_not_show(spark):
     # Each text shares most words with the next one only: a chain.
     words = [f"w{i}" for i in range(700)]
@@ -74,8 +111,7 @@ def test_links_that_the_smallest_member_does_not_show(spark):
     assert {c for _, c in expected.values()} == {0}
 
 
-@pytest.mark.parametrize("few", [0, 10_000])
-def test_links_in_a_template_group_below_the_threshold(spark, monkeypatch, few):
+def test_links_in_a_template_group_below_the_threshold(spark, monkeypatch):
     # All texts are 0.81 to 0.84 to each other; planted ones are linked.
     rng = random.Random(5)
     template = [f"t{i}" for i in range(400)]
@@ -90,11 +126,12 @@ def test_links_in_a_template_group_below_the_threshold(spark, monkeypatch, few):
         if k < linked:
             rows.append((1000 + rng.randint(0, 10 ** 6) * 100 + k, " ".join(template + mine[:12] + [f"{k}y{i}" for i in range(30)])))
     rng.shuffle(rows)
-    monkeypatch.setattr(near_dedup, "FEW", few)
-    monkeypatch.setattr(near_dedup, "BLOCK", 50)
+    found, candidates = [], near_dedup._candidates
+    monkeypatch.setattr(near_dedup, "_candidates", lambda *a: found.append(candidates(*a)) or found[0])
     out = near_dedup.near_duplicates(_frame(spark, rows)).collect()
     expected = brute.near_duplicates(rows)
     assert len({c for _, c in expected.values()}) == 300
+    assert found[0].count() <= len(rows)  # not the 64,620 pairs of the group
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == expected
 
 
@@ -176,11 +213,11 @@ def _pipeline_by_hand(spark, docs):
         if n_words >= 10 and 100 * repeated <= 20 * n_words and not hit:
             rows.append((key, text))
     cut = brute.line_dedup(rows)
-    rows = [(k, cut[k][2]) for k, _ in rows]
-    kept = brute.near_duplicates(rows)
+    rows = [(k, cut[k][2]) for k, _ in rows if brute.words(cut[k][2])]
+    kept = brute.near_duplicates(rows, 80)
     rows = [(k, t) for k, t in rows if kept[k][1] == k]
-    left = brute.repeats(rows)
-    return {k: left[k][3].decode("utf-8", "ignore") for k, _ in rows}
+    left = {k: x[3].decode("utf-8", "ignore") for k, x in brute.repeats(rows).items()}
+    return {k: t for k, t in left.items() if brute.words(t)}
 
 
 def test_pipeline_equals_its_plain_version(spark):
