@@ -7,7 +7,7 @@ kept. All but the last return the columns of ``documents``.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.llm import line_dedup, near_dedup, packing, quality, repeats
@@ -26,21 +26,27 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.judged(docs, rules).where("kept").select("row.*")
 
 
+def _left(removed: str, text: str = "text") -> Column:
+    """Whether a text still has a word, or lost nothing."""
+    return (F.col(removed) == 0) | F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+
+
 def line_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of runs of lines go from the texts."""
-    return _with_text(docs, line_dedup.dedup_lines(docs))
+    """Later copies of runs of lines go from the texts, and documents that were nothing else."""
+    return _with_text(docs, line_dedup.dedup_lines(docs).where(_left("n_removed")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    gone = near_dedup.near_duplicates(docs).where(~F.col("kept")).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti")
+    """One document of each group of near-duplicates stays: similar by 0.8 or more."""
+    return near_dedup.distinct_documents(docs, 80)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that stood earlier go from the texts."""
-    cleaned = repeats.remove_repeats(docs, whole_characters=True)
-    return _with_text(docs, cleaned.select("row.*", F.col("kept").cast("string").alias("text")))
+    """Passages that stood earlier go from the texts, and documents that were nothing else."""
+    cleaned = repeats.remove_repeats(docs, whole_characters=True).select(
+        "row.*", F.col("n_removed").alias("_removed"), F.col("kept").cast("string").alias("_kept"))
+    rest = cleaned.where(_left("_removed", "_kept")).withColumn("text", F.col("_kept"))
+    return _with_text(docs, rest.drop("_removed", "_kept"))
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
