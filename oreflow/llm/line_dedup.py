@@ -4,11 +4,12 @@ Each text is the sequence of the ids of its lines. Prefix doubling names the
 suffixes: the name for depth 2h at a line joins the names for depth h there and
 h lines on, so a few rounds reach any depth, and a depth in between joins two
 that overlap. Suffixes of one name share their first lines: they are an
-interval of the suffix array whose longest common prefix has that depth. Runs
-of at least ``run`` lines are what such intervals show at depth ``run``; what
-lies deeper doesn't change them, so the array is sorted no further. All
-suffixes of an interval but the first are later copies, and the lines they
-begin with go. Neighbouring ones merge into maximal runs.
+interval of the suffix array whose longest common prefix has that depth. A
+repeated run counts if it has ``run`` lines, or one line of ``least_chars``
+characters; the lines of such runs are what intervals show at depths ``run`` and
+1, and deeper ones don't change them, so names go no deeper and the intervals are
+not put in order. All suffixes of an interval but the first are later copies, and
+the lines they begin with go. Neighbouring ones merge into maximal runs.
 
 Names are pairs of 64-bit hashes, built where the text is. Only names and
 places travel.
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 
 from oreflow.llm.frames import SPACES, once
 
-RUN = 2
+#: Least lengths of a run: lines of any length, or characters of a single one.
+RUN, LEAST_CHARS = 2, 60
 
 
 def _joined(first: Column, second: Column) -> Column:
@@ -38,6 +40,10 @@ def _longer(step: int) -> Column:
         F.array().cast("array<struct<a:bigint,b:bigint>>"))
 
 
+def _window(s: Column, at: Column, name: Column, chars: Column) -> Column:
+    return F.struct(s.alias("s"), at.alias("at"), name["a"].alias("a"), name["b"].alias("b"), chars.alias("chars"))
+
+
 def named(ids: DataFrame, depth: int) -> DataFrame:
     """Names for ``depth`` in column ``names``, an array as long as there are suffixes."""
     reached = 1
@@ -49,11 +55,12 @@ def named(ids: DataFrame, depth: int) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
-                run: int = RUN) -> DataFrame:
+                run: int = RUN, least_chars: int = LEAST_CHARS) -> DataFrame:
     """``docs`` with its text column cut, and n_lines, n_removed (long).
 
     A line goes if it lies in ``run`` or more consecutive lines that also start
-    earlier: in a smaller key, or in the same text further up. Overlaps count,
+    earlier: in a smaller key, or in the same text further up. A line of at least
+    ``least_chars`` characters goes if it alone starts earlier. Overlaps count,
     and runs are judged on the input. Lines without a word belong to no run and
     stay. Null keys sort first; rows equal in key and text count as one and come
     back with the same result. Null texts stay null and have no lines; an empty
@@ -67,13 +74,14 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
         F.transform("lines", lambda x, i: F.struct(
             i.alias("i"), F.struct(F.xxhash64(F.lit(0), x).alias("a"),
                                    F.xxhash64(F.lit(1), x).alias("b")).alias("name"),
-            (F.regexp_replace(x, SPACES, "") != "").alias("worded"))),
+            F.char_length(x).alias("chars"), (F.regexp_replace(x, SPACES, "") != "").alias("worded"))),
         lambda x: x["worded"])).drop("lines")
-    ids = once(ids, at=F.transform("ids", lambda x: x["i"]),
+    alone = F.filter(F.transform("ids", lambda x, s: _window(s, F.array(x["i"]), x["name"], x["chars"])),
+                     lambda w: (w["chars"] >= least_chars) & F.lit(run > 1))
+    ids = once(ids, at=F.transform("ids", lambda x: x["i"]), alone=alone,
                names=F.transform("ids", lambda x: x["name"])).drop("ids")
-    suffixes = named(ids, run).select(
-        "k", "row_hash", "at", F.posexplode("names").alias("s", "name")).select(
-        "k", "row_hash", "s", F.slice("at", F.col("s") + 1, run).alias("at"), "name.a", "name.b")
+    windows = F.transform("names", lambda n, s: _window(s, F.slice("at", s + 1, run), n, F.lit(0)))
+    suffixes = named(ids, run).select("k", "row_hash", F.inline(F.concat(windows, "alone"))).drop("chars")
     place = F.struct("k", "row_hash", "s")
     intervals = suffixes.groupBy("a", "b").agg(
         F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")

@@ -139,9 +139,12 @@ w AS (
 later AS (
   SELECT doc_id, s FROM w WHERE following IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY line, following ORDER BY doc_id, s) > 1),
+alone AS (
+  SELECT doc_id, s FROM s WHERE length(line) >= 60
+  QUALIFY row_number() OVER (PARTITION BY line ORDER BY doc_id, s) > 1),
 gone AS (
   SELECT DISTINCT s.doc_id, s.i FROM s JOIN (
-    SELECT doc_id, s FROM later UNION SELECT doc_id, s + 1 FROM later) d
+    SELECT doc_id, s FROM later UNION SELECT doc_id, s + 1 FROM later UNION SELECT doc_id, s FROM alone) d
   ON s.doc_id = d.doc_id AND s.s = d.s)
 SELECT l.doc_id, count(*) AS n_lines, count(g.i) AS n_removed,
        md5(coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (WHERE g.i IS NULL), ''))

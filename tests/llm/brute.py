@@ -24,7 +24,7 @@ def quality_counts(text):
             len(lines) - len(set(lines)), len(inside))
 
 
-def line_dedup(rows, run=2):
+def line_dedup(rows, run=2, least_chars=60):
     """{key: (lines, removed, text)} for unique keys."""
     seen, gone = set(), defaultdict(set)
     for key, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
@@ -34,6 +34,11 @@ def line_dedup(rows, run=2):
             if part in seen:
                 gone[key].update(i for i, _ in own[s:s + run])
             seen.add(part)
+        for i, x in own:
+            if len(x) >= least_chars:
+                if x in seen:
+                    gone[key].add(i)
+                seen.add(x)
     out = {}
     for key, text in rows:
         lines = [] if text is None else text.split("\n")

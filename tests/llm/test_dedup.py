@@ -34,6 +34,17 @@ def test_line_runs(spark, run):
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("least", [1, 4, 60])
+def test_single_lines_from_a_least_length_on(spark, least):
+    rng = random.Random(least)
+    lines = ["a", "éé", "four", "  five ", "x" * 59, "é" * 60, "y" * 61, "", " " * 70]
+    rows = [(i, "\n".join(rng.choice([*lines, f"own {i} {rng.random()}"]) for _ in range(rng.randint(0, 7))))
+            for i in range(50)] + [(None, "\n".join(["y" * 61] * 3)), (51, None)]
+    out = line_dedup.dedup_lines(_frame(spark, rows), least_chars=least).select(
+        "doc_id", "n_lines", "n_removed", "text").collect()
+    assert {r[0]: tuple(r)[1:] for r in out} == brute.line_dedup(rows, 2, least)
+
+
 def test_line_runs_of_repeated_rows(spark):
     out = line_dedup.dedup_lines(_frame(spark, [(1, "a\nb")] * 3 + [(2, "a\nb\nc")])).collect()
     assert sorted((r["doc_id"], r["text"]) for r in out) == [(1, "a\nb")] * 3 + [(2, "c")]
