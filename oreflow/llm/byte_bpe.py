@@ -14,6 +14,7 @@ Decoding concatenates the bytes of the ids.
 from __future__ import annotations
 
 import base64
+import sys
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -56,6 +57,9 @@ def portable(pattern: str) -> str:
     return "".join(out)
 
 
+_LITTLE = sys.byteorder == "little"
+
+
 class Codec:
     """Ranks of a vocabulary with the pattern that splits texts."""
 
@@ -69,29 +73,29 @@ class Codec:
         self.core = tiktoken.Encoding(
             "ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})._core_bpe
         self.bytes_of = {i: b for b, i in ranks.items()}
-        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.known: dict[str, bytes] = {}
 
     def boundaries(self, text: str) -> list[int]:
         """Starts of the pieces. The pattern leaves no gap."""
         return [m.start() for m in self.pattern.finditer(text)]
 
-    def encode(self, pieces: list[str]) -> tuple[bytes, bytes]:
-        """Ids as little-endian 32-bit numbers, and the bytes they decode to."""
-        known, fresh = self.known, self._fresh
-        found = [known.get(p) or fresh(p) for p in pieces]
-        return b"".join([x[0] for x in found]), b"".join([x[1] for x in found])
+    def encode(self, pieces: list[str]) -> bytes:
+        """Ids as little-endian 32-bit numbers."""
+        known, fresh = self.known.get, self._fresh
+        return b"".join([known(p) or fresh(p) for p in pieces])
 
-    def _fresh(self, piece: str) -> tuple[bytes, bytes]:
-        ids = self.core.encode_single_piece(piece.encode("utf-8"))
-        both = np.asarray(ids, "<u4").tobytes(), b"".join([self.bytes_of[i] for i in ids])
+    def _fresh(self, piece: str) -> bytes:
+        ids = np.asarray(self.core.encode_single_piece(piece.encode("utf-8")), "<u4").tobytes()
         if len(piece) <= 48:
             if len(self.known) >= CACHED_PIECES:
                 self.known.clear()
-            self.known[piece] = both
-        return both
+            self.known[piece] = ids
+        return ids
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join([self.bytes_of[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        of = self.bytes_of
+        return b"".join([of[i] for i in memoryview(ids).cast("I")] if _LITTLE else [
+            of[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
 def chunks_of(text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> list[tuple[int, str]]:
@@ -136,7 +140,7 @@ def codec(rank_file: str, pattern: str) -> Codec:
 
 def encode(docs: DataFrame, rank_file: str, pattern: str, key: str = "doc_id", text: str = "text",
            chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """(key, ids, decoded): ids as little-endian unsigned 32-bit numbers, and their bytes.
+    """(key, ids, decoded): ids as little-endian unsigned 32-bit numbers, and what they decode to.
 
     A text of one chunk stays in its task. The chunks of longer ones are dealt
     out for pre-tokenising, then meet again per row; a row, not its key, is
@@ -150,13 +154,10 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, key: str = "doc_id", t
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(rank_file, pattern)
         for batch in batches:
-            done = []
-            for value in batch.column(1):
-                value = value.as_py()
-                done.append(own.encode(own.pattern.findall(value)))
+            done = [own.encode(own.pattern.findall(value.as_py())) for value in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([x[0] for x in done], pa.binary()),
-                 pa.array([x[1] for x in done], pa.binary())], names=[key, "ids", "decoded"])
+                [batch.column(0), pa.array(done, pa.binary()),
+                 pa.array([own.decode(ids) for ids in done], pa.binary())], names=[key, "ids", "decoded"])
 
     def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(rank_file, pattern)
@@ -170,8 +171,8 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, key: str = "doc_id", t
         frame = frame.sort_values("start")
         parts = [(int(s), t, np.frombuffer(f, "<u4").tolist())
                  for s, t, f in zip(frame["start"], frame["chunk"], frame["found"], strict=True)]
-        ids, decoded = own.encode(stitch(own, parts, chunk))
-        return pd.DataFrame({key: frame[key].iloc[:1], "ids": [ids], "decoded": [decoded]})
+        ids = own.encode(stitch(own, parts, chunk))
+        return pd.DataFrame({key: frame[key].iloc[:1], "ids": [ids], "decoded": [own.decode(ids)]})
 
     def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
