@@ -12,8 +12,8 @@ on its own, longest first: the number of groups follows the data, and a group
 leaves a few sequences open at most. What lies in poorly filled sequences
 of all groups is dealt again, as long as that leaves at most half of the pieces
 loose. Where lengths have no partners it doesn't: then all loose pieces are
-packed at once from the counts per length, of which there are ``length`` at
-most, and rows take their places by rank within their length.
+packed at once by the same rule from the counts per length, of which there are
+``length`` at most, and rows take their places by rank within their length.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ from oreflow.llm.frames import cut, reachable
 from oreflow.llm.word_bpe import encoder
 
 LENGTH, GROUP_PIECES = 2048, 50_000
+#: Packing from counts deals at least this part of the pieces of a length at once.
+PART = 16
 
 
 def pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text",
@@ -125,13 +127,26 @@ def repacked(sizes: np.ndarray, length: int, rounds: int = 8) -> np.ndarray:
 
 
 def by_counts(counts: dict[int, int], length: int) -> list[tuple[int, int, int, int, int]]:
-    """(size, first rank, ranks, first sequence, offset): best fit, longest first, in bulk.
+    """The shorter of two packings by counts: as the sums of squares have it, a new
+    sequence included, and with new sequences only where no open one has room."""
+    plans = [_by_counts(counts, length, frugal) for frugal in (False, True)]
+    return min(plans, key=lambda plan: max((first + n for _, _, n, first, _ in plan), default=0))
+
+
+def _by_counts(counts: dict[int, int], length: int, frugal: bool) -> list[tuple[int, int, int, int, int]]:
+    """(size, first rank, ranks, first sequence, offset): sums of squares, longest first, in bulk.
 
     Rank r of a size lies in the sequence as far behind the first one as r is
-    behind the first rank. Sequences with equal contents are kept as ranges.
+    behind the first rank. Sequences with equal contents are kept as ranges. The
+    rule is that of ``squares``, for many pieces at a time. As each piece that goes
+    into a gap makes the next one there dearer by at most 4, and any other gap
+    cheaper by at most 2, as many go at once as leave their gap the best choice,
+    and at least a PART of what is left: where two choices cost the same, pieces
+    would otherwise go one by one.
     """
     out = []
     open_at: list[list[tuple[int, int]]] = [[] for _ in range(length + 1)]
+    opened = np.zeros(length + 1, np.int64)
     made = 0
     for size in sorted(counts, reverse=True):
         rank, left = 0, counts[size]
@@ -139,28 +154,44 @@ def by_counts(counts: dict[int, int], length: int) -> list[tuple[int, int, int,
             out.append((size, 0, left, 0, 0))
             made = max(made, left)
             continue
-        gap = size
         while left:
-            while gap <= length and not open_at[gap]:
-                gap += 1
-            if gap > length:
-                # As many new sequences as hold what is left, each as full as it gets.
-                n = -(-left // (length // size))
-                open_at[length].append((made, n))
-                made, gap = made + n, length
-            start, n = open_at[gap].pop()
-            took = min(n, left)
+            least = -(-left // PART)
+            gaps = opened[size:length]
+            change = 2 * (opened[:length - size] - gaps) + 2
+            if len(change):
+                change[0] = 1 - 2 * gaps[0]
+                change[gaps == 0] = 1 << 60
+            fresh = 2 * int(opened[length - size]) + 1 if size < length else 1
+            if frugal and len(change) and change.min() < 1 << 60:
+                fresh = 1 << 60
+            order = np.argsort(change, kind="stable")[:2]
+            best = int(change[order[0]]) if len(order) else 1 << 60
+            if best <= fresh and best < 1 << 60:
+                gap = int(order[0]) + size
+                other = min(int(change[order[1]]) if len(order) > 1 else 1 << 60, fresh)
+                if frugal:
+                    other = int(change[order[1]]) if len(order) > 1 else 1 << 60
+                start, n = open_at[gap].pop()
+                took = min(n, left, max(least, (other - best) // 6))
+                if took < n:
+                    open_at[gap].append((start + took, n - took))
+                opened[gap] -= took
+            else:
+                # Never more than hold what is left, each as full as it gets.
+                gap, enough = length, -(-left // (length // size))
+                took = enough if best == 1 << 60 and frugal else min(enough, max(least, (best - fresh) // 6))
+                start, made = made, made + took
             out.append((size, rank, took, start, length - gap))
-            if took < n:
-                open_at[gap].append((start + took, n - took))
             if gap > size:
                 open_at[gap - size].append((start, took))
+                opened[gap - size] += took
             rank, left = rank + took, left - took
-            gap = size if gap - size >= size else gap
     return out
 
 
-def _from_counts(rows: DataFrame, columns: list[str], length: int, groups: int, level: int) -> DataFrame:
+def _from_counts(
+    rows: DataFrame, columns: list[str], length: int, groups: int, level: int, numbered: int
+) -> DataFrame:
     """All rows packed by ``by_counts``; ranks come from counts per group and length."""
     keyed = rows.withColumn("packing_group", F.pmod(F.xxhash64(F.lit(level), *columns), F.lit(groups)))
     counted = cut(keyed.groupBy("length", "packing_group").agg(F.count("*").alias("c")))
@@ -183,7 +214,7 @@ def _from_counts(rows: DataFrame, columns: list[str], length: int, groups: int,
                 mine = sizes == x
                 at[mine] = low + np.searchsorted(rank[low:high], ranks[mine], "right") - 1
             frame = frame.drop(columns="rank")
-            frame["sequence_id"] = (first[at] + ranks - rank[at]) * (1 << 24) + min(level, 15)
+            frame["sequence_id"] = numbered + first[at] + ranks - rank[at]
             frame["offset"] = offset[at]
             frame["packed"] = True
             yield frame
@@ -192,8 +223,8 @@ def _from_counts(rows: DataFrame, columns: list[str], length: int, groups: int,
     return reachable(ranked).mapInPandas(placed, f"{schema}, sequence_id long, offset long, packed boolean")
 
 
-def _packer(columns: list[str], length: int, level: int, last: bool, well_filled: float):
-    """Packs the rows of one group."""
+def _packer(columns: list[str], length: int, groups: int, numbered: int, last: bool, well_filled: float):
+    """Packs the rows of one group; its sequences are numbered apart from all others."""
 
     def packed(frame: pd.DataFrame) -> pd.DataFrame:
         group = int(frame["packing_group"].iloc[0])
@@ -207,7 +238,7 @@ def _packer(columns: list[str], length: int, level: int, last: bool, well_filled
         offset = np.empty(len(sizes), np.int64)
         offset[order] = ends - sizes[order] - base
         fill = np.bincount(numbers, sizes)[numbers]
-        frame["sequence_id"] = (numbers * (1 << 20) + group) * 16 + min(level, 15)
+        frame["sequence_id"] = numbered + numbers * groups + group
         frame["offset"] = offset
         frame["packed"] = last | (fill >= well_filled * length)
         return frame.drop(columns="packing_group")
@@ -229,13 +260,13 @@ def pack(sized: DataFrame, length: int = LENGTH, group_pieces: int = GROUP_PIECE
     schema = sized.schema.simpleString()[7:-1]
     rows, level, done = sized, 0, []
     shuffle = int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    before = None
+    before, numbered = None, 0
     while True:
         total = rows.count()
         groups = max(1, round(total / group_pieces))
         last = groups == 1
         if not last and before is not None and 2 * total > before:
-            done.append(_from_counts(rows, columns, length, groups, level))
+            done.append(_from_counts(rows, columns, length, groups, level, numbered))
             break
         before = total
 
@@ -243,7 +274,7 @@ def pack(sized: DataFrame, length: int = LENGTH, group_pieces: int = GROUP_PIECE
             "packing_group", F.pmod(F.xxhash64(F.lit(level), *columns), F.lit(groups)))
         result = keyed.repartition(min(groups, 4 * shuffle), "packing_group").groupBy(
             "packing_group").applyInPandas(
-            _packer(columns, length, level, last, well_filled),
+            _packer(columns, length, groups, numbered, last, well_filled),
             f"{schema}, sequence_id long, offset long, packed boolean")
         if last:
             done.append(result)
@@ -251,7 +282,8 @@ def pack(sized: DataFrame, length: int = LENGTH, group_pieces: int = GROUP_PIECE
         result = cut(result)
         done.append(result.where("packed"))
         rows = result.where("not packed").select(*columns)
-        level += 1
+        # A group has at most as many sequences as there are pieces in all.
+        level, numbered = level + 1, numbered + (total + 1) * groups
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)

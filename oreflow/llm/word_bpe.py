@@ -31,8 +31,8 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # Its special tokens are found inside texts, as the library does by itself.
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
         self.model = self.whole.model
         self.letters = _byte_letters()
         self.words: dict[bytes, bytes] = {}

@@ -96,9 +96,14 @@ def test_byte_bpe_of_nothing(spark):
 
 
 def test_word_encoder_as_the_library():
-    own = WordEncoder(WORD_BPE)
-    for text in _texts(300):
-        expected = own.whole.encode(text, add_special_tokens=False).ids
+    from tokenizers import Tokenizer
+
+    own, library = WordEncoder(WORD_BPE), Tokenizer.from_file(WORD_BPE)
+    marks = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|end", "<| endoftext|>", "<|", "a<|endoftext|>b"]
+    texts = _texts(300) + marks + [f"x {a}{b} y\n{b}" for a in marks for b in marks]
+    assert library.encode("a <|endoftext|> b", add_special_tokens=False).ids == [320, 49407, 321]
+    for text in texts:
+        expected = library.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(own.encode(text.encode()), "<u4").tolist() == expected
 
 
