@@ -11,7 +11,14 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    DateType,
+    DecimalType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from oreflow.operators.keyed import merge_changes, top_per_key
 from oreflow.operators.ordered import Slicing
@@ -29,7 +36,7 @@ from oreflow.sources.swaps import Watcher, quiet
 from oreflow.sources.tables import bucket_of
 from oreflow.sources.versioned import Version, VersionedTable
 
-BUCKET, RUN, DAYS = "bucket", "run", "days"
+BUCKET, MONTH, RUN, DAYS = "bucket", "month", "run", "days"
 
 
 def bucketed(spark: SparkSession, path: str, schema: StructType) -> VersionedTable:
@@ -198,13 +205,20 @@ def merge_order_totals(
                          {RUN: run, DAYS: pending}, base, watch)
 
 
+def _month(day: str) -> str:
+    """Folder of a day of the mart: its month, as a day is one row."""
+    return day if day == "null" else day[:7]
+
+
 def refresh_daily_revenue(
     mart: VersionedTable, totals: VersionedTable, watch: Watcher = quiet,
 ) -> list[str]:
     """Make the days anew on which totals changed since the mart was made; returns them.
 
-    A day that has no paid order any more goes. The mart notes the version of the
-    totals it was made from, and the days of later ones are taken from their notes.
+    The mart lies in folders by month, and the months of these days are made from
+    the totals. A day that has no paid order any more goes. The mart notes the
+    version of the totals it was made from, and the days of later ones are taken
+    from their notes.
     """
     source, base = totals.version(), mart.version()
     since = int(base.notes.get("totals", 0))
@@ -214,15 +228,30 @@ def refresh_daily_revenue(
     for number in totals.numbers():
         if number > since:
             days.update(totals.version(number).notes.get(DAYS, []))
-    rows = totals.read(version=source)
-    chosen = rows.where(F.coalesce(F.col("order_date").cast("string"), F.lit("null")).isin(sorted(days)))
+    months = {_month(d) for d in days}
+    month = F.coalesce(F.date_format("order_date", "yyyy-MM"), F.lit("null"))
+    chosen = totals.read(version=source).where(month.isin(sorted(months)))
     daily = chosen.groupBy("order_date").agg(
         F.count("*").alias("orders"), F.sum("units").alias("units_sold"),
         F.sum("revenue").cast(MONEY).alias("revenue"))
-    mart.replace(daily, days, {"totals": source.number}, base, watch)
+    mart.replace(daily.withColumn(MONTH, month), months, {"totals": source.number}, base, watch)
     return sorted(days)
 
 
+def read_days(mart: VersionedTable, days: Sequence[str] | None = None) -> DataFrame:
+    """Rows of the daily mart, of all days or of some, from the folders of their months."""
+    rows = mart.read(None if days is None else {_month(d) for d in days}).drop(MONTH)
+    return rows if days is None else rows.where(
+        F.coalesce(F.col("order_date").cast("string"), F.lit("null")).isin(list(days)))
+
+
+def daily_mart(spark: SparkSession, path: str) -> VersionedTable:
+    return VersionedTable(spark, path, StructType([
+        StructField("order_date", DateType()), StructField("orders", LongType()),
+        StructField("units_sold", LongType()), StructField("revenue", DecimalType(18, 2)),
+        StructField(MONTH, StringType())]), MONTH)
+
+
 # ---------------------------------------------------------------------------
 # Event facts
 # ---------------------------------------------------------------------------

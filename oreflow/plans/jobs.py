@@ -8,7 +8,6 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from oreflow.operators.checks import run_gate
 from oreflow.operators.keyed import live_rows
@@ -227,14 +226,10 @@ def gold_tables(
     shapes["session_facts"] = increments.session_facts(events).schema
     shapes["order_totals"] = increments.order_totals(typed["orders"], typed["order_items"]).schema
     found = {name: increments.bucketed(spark, f"{root}/{name}", shape) for name, shape in shapes.items()}
-    by_day = {
-        "daily_revenue": ("order_date", T.StructType([
-            T.StructField("order_date", T.DateType()), T.StructField("orders", T.LongType()),
-            T.StructField("units_sold", T.LongType()), T.StructField("revenue", T.DecimalType(18, 2))])),
-        "event_facts": ("event_date", increments.fact_shape(events, *versions.values())),
-    }
-    return found | {name: VersionedTable(spark, f"{root}/{name}", shape, day)
-                    for name, (day, shape) in by_day.items()}
+    found["daily_revenue"] = increments.daily_mart(spark, f"{root}/daily_revenue")
+    found["event_facts"] = VersionedTable(
+        spark, f"{root}/event_facts", increments.fact_shape(events, *versions.values()), "event_date")
+    return found
 
 
 def gold_increment(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from oreflow.functions.columns import prop
 from oreflow.operators.checks import Check, is_any_null
 from oreflow.operators.scd import NULL_KEY_SALTS
+from oreflow.plans.increments import read_days
 from oreflow.schemas import ORDER_STATUSES, RECONCILE_AFTER_MINUTES
 from oreflow.sources.versioned import VersionedTable
 
@@ -74,7 +75,7 @@ def increment_checks(
     tables: Mapping[str, VersionedTable], revenue_days: Sequence, fact_days: Sequence
 ) -> list[Check]:
     """Checks of the gold tables over the days and buckets of the last run."""
-    revenue = tables["daily_revenue"].read(revenue_days)
+    revenue = read_days(tables["daily_revenue"], revenue_days)
     facts = tables["event_facts"].read(fact_days)
     checks = [
         Check("unique daily_revenue.order_date", revenue, "order_date", unique=True),

@@ -22,7 +22,6 @@ from oreflow.plans import bronze, gold, increments, pulse, quality, silver, upke
 from oreflow.schemas import CDC_TABLES, ORDER_STATUSES
 from oreflow.session import prepare
 from oreflow.sources import marks, tables
-from oreflow.sources.versioned import VersionedTable
 from verification import feeds
 
 ORDERS, PRODUCTS, CUSTOMERS = (CDC_TABLES[n] for n in ("orders", "products", "customers"))
@@ -798,7 +797,7 @@ def mart_daily_revenue_increments(s):
     state, lines, totals = (increments.bucketed(s.spark, f"{root}/{name}", shape) for name, shape in (
         ("orders", orders.schema), ("items", items.schema),
         ("totals", increments.order_totals(orders, items).schema)))
-    mart = VersionedTable(s.spark, f"{root}/mart", s.revenue().schema, "order_date")
+    mart = increments.daily_mart(s.spark, f"{root}/mart")
     lates = dict(_batches(items, "order_item_id", n=2))
     for run, changed, added in (
             ("0", early, lates["0"]), ("1", orders.where("order_id % 3 > 0"), lates["1"]),
@@ -808,7 +807,7 @@ def mart_daily_revenue_increments(s):
         touched = changed.select("order_id").unionByName(added.select("order_id"))
         increments.merge_order_totals(totals, state, lines, touched, run, BUCKETS)
         increments.refresh_daily_revenue(mart, totals)
-    return mart.read().orderBy("order_date")
+    return increments.read_days(mart).orderBy("order_date")
 
 
 @query
