@@ -32,6 +32,24 @@ def test_shards_have_nearly_equal_bytes_and_gapless_slots(spark, block_rows):
         assert abs(sum(r["shard_bytes"] for r in own) - total / 8) <= 52
 
 
+def test_registered_columns_of_the_shards(spark):
+    import zlib
+
+    from oreflow.llm import queries
+
+    folder = "/root/testdata/sf0.001"
+    out = queries.op2_histogram_sort(spark, folder).collect()
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    expected = [(k, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for k, t in docs]
+    assert sorted((r["doc_id"], r["size"], r["text_crc32"]) for r in out) == sorted(expected)
+    assert {(r["law"], r["grown_shard"]) for r in out} == {("bytes", None)}
+    total, most = sum(s for _, s, _ in expected), max(s for _, s, _ in expected)
+    for shard in range(16):
+        own = [r for r in out if r["shard"] == shard]
+        assert sorted(r["slot"] for r in own) == list(range(len(own)))
+        assert abs(sum(r["size"] for r in own) - total / 16) <= most + 0.002 * total / 16
+
+
 def test_one_large_row_and_repeated_rows(spark):
     out = _sharded(spark, [(1, 1000, "")] + [(2, 1, "")] * 20 + [(3, 1, "")], shards=4)
     assert len(out) == 22 and len({r["shard"] for r in out if r["doc_id"] == 2}) == 1
