@@ -255,24 +255,31 @@ def gold_increment(
     files, path = Files(spark, root), f"{root}/marks"
     feeds = {"events": bronze_events.where("event_id is not null"), "changes": bronze_cdc}
     last = {feed: marks.Mark() for feed in feeds} | marks.load(spark, path)
-    if files.exists("run.json"):  # of a job that died: the same rows again
-        known = json.loads(files.read("run.json"))
-        ends = {feed: marks.Mark.from_json(end) for feed, end in known.items()}
+    run = "+".join(run_name(last[feed]) for feed in feeds)
+    known = json.loads(files.read("run.json")) if files.exists("run.json") else None
+    if known is not None and known["run"] != run:  # of a job that died behind its marks
+        files.delete("run.json")
+        known = None
+    if known is not None:  # of a job that died before: the same rows again
+        ends = {feed: marks.Mark.from_json(end) for feed, end in known["ends"].items()}
     else:
         ends = {feed: marks.reached(marks.behind(rows, last[feed])) for feed, rows in feeds.items()}
         ends = {feed: end for feed, end in ends.items() if end.time is not None}
         if not ends:
             return {"reached": {}, "days": {}, "outcome": None}
-        files.write_new("run.json", json.dumps({feed: end.to_json() for feed, end in ends.items()}))
+        files.write_new("run.json", json.dumps({
+            "run": run, "ends": {feed: end.to_json() for feed, end in ends.items()}}))
     watch("fixed")
-    run = "+".join(run_name(last[feed]) for feed in feeds)
     new = {feed: marks.within(marks.behind(rows, last[feed]), ends[feed]) if feed in ends
            else rows.limit(0) for feed, rows in feeds.items()}
     kept = gold_tables(spark, bronze_events, bronze_cdc, root)
     marked = {feed: last[feed].joined(end) for feed, end in ends.items()}
-    events = _unseen(new["events"], kept["event_facts"])
+    # Written once and read by all tables, so the feeds are parsed once. A run that is
+    # repeated reads the same rows and writes them again.
+    events = _staged(_unseen(new["events"], kept["event_facts"]), f"{root}/staged/events")
     changes = {name: silver.cdc_history(new["changes"], CDC_TABLES[name]) for name in GOLD_FEEDS}
     changes["customers"] = silver.masked_customers(changes["customers"], salt)
+    changes = {name: _staged(rows, f"{root}/staged/{name}") for name, rows in changes.items()}
 
     for name, (key, tracked, surrogate) in DIMENSIONS.items():
         points = kept[f"{name}_points"]
@@ -302,6 +309,11 @@ def gold_increment(
     return {"reached": {feed: end.time for feed, end in ends.items()}, "days": days, "outcome": outcome}
 
 
+def _staged(rows: DataFrame, path: str) -> DataFrame:
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _unseen(arrived: DataFrame, facts: VersionedTable) -> DataFrame:
     """First arrivals of events that the facts of their days do not have."""
     first = silver.silver_events(arrived).withColumn("event_date", F.to_date("event_ts"))
