@@ -39,16 +39,21 @@ def unmatched_purchases(
     purchases = events.where(
         (F.col("event_type") == "purchase") & (F.col("event_ts") < oldest_allowed)
     ).select("event_id", prop("order_id").alias("order_id"))
-    # Distinct first: an order with very many changes is one row after the map side.
-    known = order_changes.select(F.col("order_id").alias("known_order")).distinct()
     wanted = purchases.withColumn("wanted", F.col("order_id").try_cast("bigint"))
     # Without an order id nothing matches. Such purchases may be many, so they
     # are spread by a salt that no known order has, instead of meeting on null.
+    # One key of both: as a column of its own the constant salt of the known
+    # orders would become a filter, and spread nothing.
     salt = F.when(F.col("wanted").isNull(), F.pmod(F.xxhash64("event_id"), F.lit(NULL_KEY_SALTS))).otherwise(-1)
-    wanted = wanted.withColumn("_wanted", F.coalesce("wanted", F.lit(0))).withColumn("_salt", salt)
-    known = known.where("known_order is not null").select(
-        F.col("known_order").alias("_wanted"), F.lit(-1).cast("long").alias("_salt"))
-    return wanted.join(known, ["_wanted", "_salt"], "left_anti").select(*purchases.columns)
+    wanted = wanted.withColumn("_key", F.struct(
+        F.coalesce("wanted", F.lit(0).cast("bigint")).alias("_wanted"), salt.cast("bigint").alias("_salt")))
+    # Distinct first: an order with very many changes is one row after the map side.
+    # There are as many rows as orders, so they are never broadcast, however small
+    # the files of the feed make them look.
+    known = order_changes.where("order_id is not null").select(F.struct(
+        F.col("order_id").cast("bigint").alias("_wanted"), F.lit(-1).cast("bigint").alias("_salt"),
+    ).alias("_key")).distinct().hint("merge")
+    return wanted.join(known, "_key", "left_anti").select(*purchases.columns)
 
 
 def silver_checks(

@@ -57,3 +57,14 @@ def test_top_rows_need_no_full_sort(spark):
 def test_daily_revenue_counts_orders_without_distinct(spark):
     text = plan(spark, "mart_daily_revenue")
     assert "distinct" not in text.lower()
+
+
+@pytest.mark.parametrize("name", ["gate_unmatched_purchases", "quality_report"])
+def test_known_orders_are_never_broadcast(spark, name):
+    text = plan(spark, name)
+    assert "LeftAnti" in text and "BroadcastHashJoin" not in text
+
+
+def test_purchases_without_an_order_stay_spread_in_the_join(spark):
+    text = plan(spark, "gate_unmatched_purchases")
+    assert "_key#" in text.split("SortMergeJoin")[1].split("LeftAnti")[0] and "_salt#" not in text
