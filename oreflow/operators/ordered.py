@@ -67,6 +67,15 @@ def key_sizes(key: str, *frames: DataFrame, slicing: Slicing = Slicing()) -> Key
     return KeySizes(counts, limit, counts.where(F.col("_rows") > limit).count())
 
 
+def _beside(side: DataFrame, few: bool) -> DataFrame:
+    """Rows about hot keys as the side of a join: broadcast if few, else never.
+
+    Left to itself Spark takes sizes from those of compressed files, and would
+    also broadcast what holds a row for almost every key.
+    """
+    return F.broadcast(side) if few else side.hint("merge")
+
+
 def _cut_points(df: DataFrame, key: str, at: str, sizes: KeySizes) -> DataFrame:
     """(key, cuts) of the hot keys, from a hash sample of their times."""
     spark = df.sparkSession
@@ -74,12 +83,12 @@ def _cut_points(df: DataFrame, key: str, at: str, sizes: KeySizes) -> DataFrame:
         key, F.ceil(F.col("_rows") / F.lit(sizes.limit)).cast("int").alias("_slices")
     )
     if sizes.few:  # at most MAX_HOT_KEYS rows
-        hot = F.broadcast(spark.createDataFrame(hot.collect(), hot.schema))
+        hot = spark.createDataFrame(hot.collect(), hot.schema)
     every = max(1, int(sizes.limit // SAMPLES_PER_SLICE))
     sample = (
         df.select(key, at)
         .where(F.col(at).isNotNull())
-        .join(hot, key)
+        .join(_beside(hot, sizes.few), key)
         .where(F.pmod(F.xxhash64(at), F.lit(every)) == 0)
         .groupBy(key, "_slices")
         # Equal times merge before the shuffle, so an array holds about
@@ -107,7 +116,7 @@ def _with_slice(df: DataFrame, key: str, at: str, cuts: DataFrame, few: bool) ->
     before = F.expr(f"size(filter(_coarse, c -> c <= {at}))")
     inner = F.expr(f"size(filter(slice(_cuts, (_block - 1) * _k + 1, _k), c -> c <= {at}))")
     return (
-        df.join(F.broadcast(stepped) if few else stepped, key, "left")
+        df.join(_beside(stepped, few), key, "left")
         .withColumn("_block", before)
         .withColumn(
             SLICE,
@@ -199,9 +208,7 @@ class Timeline:
             .agg(edge.alias("_own"))
         )
         edges = per_slice.select(self.key, SLICE, across().alias("_edge"))
-        if self.few:
-            edges = F.broadcast(edges)
-        joined = filled.join(edges, [self.key, SLICE], "left")
+        joined = filled.join(_beside(edges, self.few), [self.key, SLICE], "left")
         return replace(
             self, rows=joined.withColumn(name, F.coalesce(F.col(name), F.col("_edge"))).drop("_edge")
         )

@@ -68,3 +68,12 @@ def test_known_orders_are_never_broadcast(spark, name):
 def test_purchases_without_an_order_stay_spread_in_the_join(spark):
     text = plan(spark, "gate_unmatched_purchases")
     assert "_key#" in text.split("SortMergeJoin")[1].split("LeftAnti")[0] and "_salt#" not in text
+
+
+def test_many_hot_keys_are_never_broadcast(spark, monkeypatch):
+    from oreflow.operators import ordered
+
+    monkeypatch.setattr(ordered, "MAX_HOT_KEYS", 4)
+    for name in ("order_lifecycle_sliced", "dim_product_scd2_sliced"):
+        text = plan(spark, name)
+        assert "SortMergeJoin" in text and "Broadcast" not in text, name
