@@ -77,3 +77,8 @@ def test_many_hot_keys_are_never_broadcast(spark, monkeypatch):
     for name in ("order_lifecycle_sliced", "dim_product_scd2_sliced"):
         text = plan(spark, name)
         assert "SortMergeJoin" in text and "Broadcast" not in text, name
+
+
+def test_product_orders_are_combined_in_all_tasks(spark):
+    text = plan(spark, "mart_product_performance")
+    assert "REPARTITION_BY_NUM" in text.split("SortMergeJoin")[0].split("BroadcastHashJoin")[0]
