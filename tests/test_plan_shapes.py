@@ -79,6 +79,22 @@ def test_many_hot_keys_are_never_broadcast(spark, monkeypatch):
         assert "SortMergeJoin" in text and "Broadcast" not in text, name
 
 
+@pytest.mark.parametrize("name", [
+    "scd2_asof_join", "scd2_asof_join_sliced", "fct_events", "bronze_events", "cdc_history",
+])
+def test_records_are_built_by_all_tasks(spark, name):
+    text = plan(spark, name)
+    assert "Exchange RoundRobinPartitioning(8)" in text
+
+
+def test_key_sizes_are_taken_without_record_texts(spark):
+    from verification.queries import Shapes
+
+    for keys in (Shapes(spark, SF_DIR).order_keys(), Shapes(spark, SF_DIR).product_keys(),
+                 Shapes(spark, SF_DIR).customer_keys()):
+        assert "StructsToJson" not in keys._jdf.queryExecution().executedPlan().toString()
+
+
 def test_product_orders_are_combined_in_all_tasks(spark):
     text = plan(spark, "mart_product_performance")
     assert "REPARTITION_BY_NUM" in text.split("SortMergeJoin")[0].split("BroadcastHashJoin")[0]

@@ -44,6 +44,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return rows.withColumns(times) if times else rows
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows spread over as many tasks as a shuffle has.
+
+    A row becomes several records of long text, so a table that is one small
+    file would else be one long task.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _days(at: str, days: str) -> str:
     return f"timestamp_micros(unix_micros({at}) + cast({days} as bigint) * 86400000000)"
 
@@ -142,19 +151,20 @@ def customer_snapshots(customer: DataFrame, nation: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 def _records(
     rows: DataFrame, name: str, key: str, changes: list[str], image: dict[str, str],
-    varying: dict[str, tuple[str, str]],
+    varying: dict[str, tuple[str, str]], bare: bool = False,
 ) -> DataFrame:
     """Explode the changes of each row and wrap them as log records.
 
     ``image`` maps column to text expression; ``varying`` maps column to its
-    fields in a change, after and before it.
+    fields in a change, after and before it. ``bare`` records have no value, for
+    readers of the message key alone.
     """
     def struct(side: int) -> str:
         fields = {**image, **{c: f"c.{names[side]}" for c, names in varying.items()}}
         ordered = [f"'{c}', {fields[c]}" for c in CDC_TABLES[name].columns]
         return f"named_struct({', '.join(ordered)})"
 
-    opened = rows.selectExpr(
+    opened = (rows if bare else dealt(rows)).selectExpr(
         "*", f"explode(filter(array({', '.join(changes)}), c -> c is not null)) as c"
     )
     body = (
@@ -162,11 +172,12 @@ def _records(
         f"'after', if(c.op <> 'd', {struct(0)}, null), 'op', c.op, "
         "'ts_ms', unix_millis(c.at)), map('ignoreNullFields', 'false'))"
     )
+    value = "null" if bare else f"if(c.op <> 't', {body}, null)"
     # The record is generated, not projected: filters of the layers above then
     # see a stored value, as on a real log, and do not rebuild the text.
     return opened.selectExpr(
         f"cast(cast({key} as string) as binary) as key",
-        f"explode(array(cast(if(c.op <> 't', {body}, null) as binary))) as value",
+        f"explode(array(cast({value} as binary))) as value",
         f"'{CDC_TABLES[name].topic}' as topic",
         f"cast({key} % 4 as int) as partition",
         f"{key} * 8 + c.n as offset",
@@ -187,7 +198,7 @@ def _iso(at: str) -> str:
     return f"date_format({at}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")"
 
 
-def order_changes(orders: DataFrame, drift: bool = False) -> DataFrame:
+def order_changes(orders: DataFrame, drift: bool = False, bare: bool = False) -> DataFrame:
     """Create, pay, deliver, erase, delete, tombstone; with ties and repeats."""
     base = orders.selectExpr(
         "o_orderkey as k", "o_orderdate as made", "o_orderstatus = 'F' as f",
@@ -217,7 +228,7 @@ def order_changes(orders: DataFrame, drift: bool = False) -> DataFrame:
         "created_at": _iso("made"), "updated_at": _iso("c.at"),
     }
     varying = {"customer_id": ("who", "old_who"), "status": ("status", "old_status")}
-    feed = _records(base, "orders", "k", changes, image, varying)
+    feed = _records(base, "orders", "k", changes, image, varying, bare)
     if not drift:
         return feed
     # An upstream release added columns to some rows.
@@ -232,7 +243,7 @@ def order_changes(orders: DataFrame, drift: bool = False) -> DataFrame:
     )
 
 
-def product_changes(part: DataFrame) -> DataFrame:
+def product_changes(part: DataFrame, bare: bool = False) -> DataFrame:
     """Price changes, changes of nothing, two changes at one instant, deletes."""
     base = part.selectExpr(
         "p_partkey as p", f"{_sku('p_partkey')} as sku", "p_name", "p_type", "p_brand",
@@ -259,10 +270,10 @@ def product_changes(part: DataFrame) -> DataFrame:
         "subcategory": "p_brand", "is_active": "active", "created_at": _iso(ORIGIN),
         "updated_at": _iso("c.at"),
     }
-    return _records(base, "products", "p", changes, image, {"unit_price": ("price", "old")})
+    return _records(base, "products", "p", changes, image, {"unit_price": ("price", "old")}, bare)
 
 
-def customer_changes(customer: DataFrame) -> DataFrame:
+def customer_changes(customer: DataFrame, bare: bool = False) -> DataFrame:
     """Moves to another country, changes of nothing, erasures."""
     base = customer.selectExpr(
         "c_custkey as k", "c_name", f"{EMAIL} as email",
@@ -284,7 +295,8 @@ def customer_changes(customer: DataFrame) -> DataFrame:
         "customer_id": "cast(k as string)", "email": "email", "full_name": "c_name",
         "marketing_opt_in": "opt_in", "created_at": _iso(ORIGIN), "updated_at": _iso("c.at"),
     }
-    return _records(base, "customers", "k", changes, image, {"country_code": ("country", "old")})
+    return _records(
+        base, "customers", "k", changes, image, {"country_code": ("country", "old")}, bare)
 
 
 # ---------------------------------------------------------------------------
@@ -326,7 +338,7 @@ def click_log(events: DataFrame) -> DataFrame:
         ), entry -> entry is not null))))"""
     header = "X'0000000001'"
     return (
-        events.selectExpr("*", "get_json_object(props, '$.k') as k")
+        dealt(events).selectExpr("*", "get_json_object(props, '$.k') as k")
         .selectExpr(
             "event_id", "user_id", "ts", f"{payload} as text",
             "explode(if(event_id % 50 = 0 or event_id % 600 = 7, array(0, 1), array(0))) as copy",

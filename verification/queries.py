@@ -109,13 +109,13 @@ class Shapes:
         return feed.select(F.col("key").cast("string").cast("bigint").alias(name))
 
     def order_keys(self) -> DataFrame:
-        return self.change_keys(feeds.order_changes(self.table("orders")), "order_id")
+        return self.change_keys(feeds.order_changes(self.table("orders"), bare=True), "order_id")
 
     def product_keys(self) -> DataFrame:
-        return self.change_keys(feeds.product_changes(self.table("part")), "product_id")
+        return self.change_keys(feeds.product_changes(self.table("part"), bare=True), "product_id")
 
     def customer_keys(self) -> DataFrame:
-        return self.change_keys(feeds.customer_changes(self.table("customer")), "customer_id")
+        return self.change_keys(feeds.customer_changes(self.table("customer"), bare=True), "customer_id")
 
     def product_versions(self) -> DataFrame:
         return gold.dim_product_scd2(self.product_history(), measure=self.product_keys())
@@ -469,7 +469,10 @@ def dim_product_scd2_sliced(s):
 @query
 def scd2_asof_join_sliced(s):
     facts = s.facts().select("order_item_id", "product_id", "quantity", "order_created_at")
-    return gold.items_at_catalog_price(facts, s.product_versions(), FINE)
+    sold = s.table("lineitem").select(F.col("l_partkey").alias("product_id"))
+    return gold.items_at_catalog_price(
+        facts, s.product_versions(), FINE, measure=[sold, s.product_keys()]
+    )
 
 
 @query
