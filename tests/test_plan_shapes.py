@@ -98,3 +98,20 @@ def test_key_sizes_are_taken_without_record_texts(spark):
 def test_product_orders_are_combined_in_all_tasks(spark):
     text = plan(spark, "mart_product_performance")
     assert "REPARTITION_BY_NUM" in text.split("SortMergeJoin")[0].split("BroadcastHashJoin")[0]
+
+
+def test_increments_write_their_feed_once(spark, monkeypatch):
+    from verification import queries as registered
+
+    built = []
+    for name in ("product_changes", "customer_changes"):
+        made = getattr(registered.feeds, name)
+        monkeypatch.setattr(registered.feeds, name, lambda *a, made=made, **k: built.append(1) or made(*a, **k))
+    folders, staged = [], registered._staged
+    monkeypatch.setattr(registered, "_staged", lambda rows, path: folders.append(path) or staged(rows, path))
+    for name in ("dim_product_scd2_increments", "dim_customer_scd2_increments"):
+        assert "StructsToJson" not in plan(spark, name)
+    assert len(built) == len(folders) == 2
+    queries()["mart_daily_revenue_increments"](spark, SF_DIR)
+    assert [f.rsplit("/", 1)[1] for f in folders[2:]] == [
+        "orders", "items", "touched-0", "touched-1", "touched-2"]

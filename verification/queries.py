@@ -741,11 +741,18 @@ def _batches(rows: DataFrame, *by: str, n: int = 3) -> list[tuple[str, DataFrame
     return [(f"{i}", rows.where(batch == i)) for i in range(n)]
 
 
+def _staged(rows: DataFrame, path: str) -> DataFrame:
+    """Rows written once, as ``gold_increment`` does, for all steps that read them."""
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _dimension_by_increments(s: Shapes, history: DataFrame, key: str, tracked, surrogate: str):
     root = _folder(s)
     points = increments.bucketed(s.spark, f"{root}/points", history.schema)
     dimension = increments.bucketed(
         s.spark, f"{root}/dimension", scd.scd2_shape(history.schema, key, tracked, surrogate))
+    history = _staged(history, f"{root}/staged")
     for run, changes in _batches(history, "kafka_partition", "kafka_offset"):
         increments.merge_points(points, changes, key, run, BUCKETS)
         increments.merge_dimension(dimension, points, changes, key, tracked, surrogate, run, BUCKETS)
@@ -787,16 +794,17 @@ def fct_sessions_increments(s):
 def mart_daily_revenue_increments(s):
     """Orders that are paid later, and items that come later."""
     root = _folder(s)
-    orders = s.stg_orders().select(
+    orders = _staged(s.stg_orders().select(
         "order_id", F.col("order_status").alias("status"), F.col("order_created_at").alias("created_at"),
         F.lit("u").alias("op"), F.col("order_updated_at").alias("changed_at"),
-        F.col("order_id").alias("kafka_offset"), F.lit(1).alias("kafka_partition"))
+        F.col("order_id").alias("kafka_offset"), F.lit(1).alias("kafka_partition")),
+        f"{root}/staged/orders")
     early = orders.withColumns({
         "status": F.lit("pending"), "changed_at": F.col("created_at") - F.expr("interval 1 day")})
-    items = s.stg_items().select(
+    items = _staged(s.stg_items().select(
         "order_item_id", "order_id", "quantity", "unit_price_at_purchase", F.lit("c").alias("op"),
         F.lit(None).cast("timestamp").alias("changed_at"), F.xxhash64("order_item_id").alias("kafka_offset"),
-        F.lit(0).alias("kafka_partition"))
+        F.lit(0).alias("kafka_partition")), f"{root}/staged/items")
     state, lines, totals = (increments.bucketed(s.spark, f"{root}/{name}", shape) for name, shape in (
         ("orders", orders.schema), ("items", items.schema),
         ("totals", increments.order_totals(orders, items).schema)))
@@ -807,7 +815,9 @@ def mart_daily_revenue_increments(s):
             ("2", orders.where("order_id % 3 = 0"), items.limit(0))):
         increments.merge_state(state, changed, "order_id", run, BUCKETS)
         increments.merge_state(lines, added, "order_item_id", run, BUCKETS, "order_id")
-        touched = changed.select("order_id").unionByName(added.select("order_id"))
+        touched = _staged(
+            changed.select("order_id").unionByName(added.select("order_id")).distinct(),
+            f"{root}/staged/touched-{run}")
         increments.merge_order_totals(totals, state, lines, touched, run, BUCKETS)
         increments.refresh_daily_revenue(mart, totals)
     return increments.read_days(mart).orderBy("order_date")
