@@ -10,7 +10,11 @@ context. So:
    of their contexts and their places to the task of the anchor. Contexts that
    a task sees twice are copies at once.
 2. Where an anchor repeats, a context that stood before is a copy as a whole.
-   Only anchors with different contexts are left: their contexts are fetched.
+   Contexts that differ can share a window only if they also share the anchor
+   with SIDE bytes to its left or to its right, as every window holds one of
+   the two. Each record carries a hash of both, and only contexts that share
+   one are fetched: chance repeats of short strings, which outgrow the input,
+   end here.
 3. Of each anchor, the first context goes into a run-length index (see
    ``run_index``), and the matching statistics of all others are streamed
    against it. Matches of WINDOW bytes or more are marked. The windows of the
@@ -26,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,8 +39,12 @@ from oreflow.llm.frames import cut, reachable
 from oreflow.llm.run_index import RunIndex
 
 WINDOW, GRAM = 100, 24
-#: Bytes looked at together; longer texts are taken in overlapping stretches.
+#: Of the bytes that a window holds beside its anchor, at least so many are on one side.
+SIDE = (WINDOW - GRAM) // 2
+#: Longer texts are taken in overlapping stretches of half as many bytes.
 STRETCH = 2_000_000
+#: Bytes of short texts looked at together, few enough for a core's cache.
+GROUP = 250_000
 
 _random = np.random.default_rng(7)
 _BYTE = _random.integers(0, 2 ** 64, 256, dtype=np.uint64)
@@ -46,9 +55,10 @@ _SHIFT = np.uint64(32)
 _POWERS: list[np.ndarray] = []
 
 #: One anchor: hashes of anchor and context, key and tie of its row, place of
-#: the first window, the anchor's place in it, windows less one.
+#: the first window, the anchor's place in it, windows less one, hashes of the
+#: anchor with SIDE bytes to its left and right, 0 where the context has fewer.
 ANCHOR = np.dtype([("a", "<u8"), ("c", "<u8"), ("doc", "<i8"), ("tie", "<i4"),
-                   ("start", "<i8"), ("at", "u1"), ("more", "u1")])
+                   ("start", "<i8"), ("at", "u1"), ("more", "u1"), ("left", "<u4"), ("right", "<u4")])
 
 
 def _power(n: int) -> np.uint64:
@@ -81,12 +91,12 @@ def _slid(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(buffer: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(first window, last window, anchor, anchor hash, context hash) over texts end to end.
+    """(first window, last window, anchor, hashes of anchor, context, left and right) over texts end to end.
 
     ``ends`` are the ends of the texts in the buffer; windows lie inside a text.
     """
     n = len(buffer)
-    none = (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),) * 2
+    none = (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),) * 2 + (np.empty(0, np.uint32),) * 2
     if n < WINDOW:
         return none
     x = _BYTE[buffer]
@@ -123,9 +133,30 @@ def anchors(buffer: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     forward, backward = _powers()
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(x * forward[:n], out=total[1:])
-    context = (total[high + WINDOW] - total[low]) * backward[low]
+
+    def between(begin, end):
+        return (total[end] - total[begin]) * backward[begin]
+
+    def side(begin, end):
+        inside = (begin >= low) & (end <= high + WINDOW)
+        begin, end = np.maximum(begin, low), np.minimum(end, high + WINDOW)
+        return np.where(inside, np.maximum(_mixed(between(begin, end)) >> _SHIFT, 1), 0).astype(np.uint32)
+
     shape = ((high - low) * 256 + (spot - low)).astype(np.uint64) * _ODD
-    return low, high, spot, gram[spot], _mixed(context ^ _mixed(shape))
+    return (low, high, spot, gram[spot], _mixed(between(low, high + WINDOW) ^ _mixed(shape)),
+            side(spot - SIDE, spot + GRAM), side(spot, spot + GRAM + SIDE))
+
+
+def _repeated(*keys: np.ndarray) -> np.ndarray:
+    """Which rows have keys that another row has, too."""
+    order = np.lexsort(keys) if len(keys) > 1 else np.argsort(keys[0])
+    same = np.ones(max(len(order) - 1, 0), bool)
+    for k in keys:
+        k = k[order]
+        same &= k[1:] == k[:-1]
+    out = np.zeros(len(order), bool)
+    out[order[1:][same]] = out[order[:-1][same]] = True
+    return out
 
 
 def _copies(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,7 +192,7 @@ def merged(doc: np.ndarray, tie: np.ndarray, start: np.ndarray, end: np.ndarray)
 
 
 def _stretches(texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
-    """Groups of (text number, its first byte, bytes) of at most STRETCH bytes."""
+    """Groups of (text number, its first byte, bytes): GROUP bytes, or one stretch."""
     group, size = [], 0
     step = STRETCH // 2
     for i, text in enumerate(texts):
@@ -169,7 +200,7 @@ def _stretches(texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
             piece = text[base:base + step + WINDOW - 1]
             if len(piece) < WINDOW:
                 continue
-            if size + len(piece) > STRETCH:
+            if group and size + len(piece) > min(GROUP, STRETCH):
                 yield group
                 group, size = [], 0
             group.append((i, base, piece))
@@ -183,13 +214,14 @@ def _anchors_of(docs: np.ndarray, ties: np.ndarray, texts: list[bytes]) -> np.nd
     for group in _stretches(texts):
         sizes = np.array([len(p) for _, _, p in group], np.int64)
         ends = np.cumsum(sizes)
-        low, high, spot, a, c = anchors(np.frombuffer(b"".join([p for _, _, p in group]), np.uint8), ends)
+        low, high, spot, a, c, left, right = anchors(np.frombuffer(b"".join([p for _, _, p in group]), np.uint8), ends)
         owner = np.searchsorted(ends, low, "right")
         number = np.array([i for i, _, _ in group], np.int64)[owner]
         base = (np.array([b for _, b, _ in group], np.int64) - (ends - sizes))[owner]
         out = np.empty(len(low), ANCHOR)
         out["a"], out["c"], out["doc"], out["tie"] = a, c, docs[number], ties[number]
         out["start"], out["at"], out["more"] = low + base, spot - low, high - low
+        out["left"], out["right"] = left, right
         parts.append(out)
     return np.concatenate(parts) if parts else np.empty(0, ANCHOR)
 
@@ -240,7 +272,9 @@ def _find(parts: int):
             ties = np.asarray(batch.column("tie").to_numpy(zero_copy_only=False), np.int32)
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             found = _anchors_of(docs, ties, texts)
-            found, copies = _copies(found)
+            pair = _repeated(found["a"])
+            firsts, copies = _copies(found[pair])
+            found = np.concatenate([found[~pair], firsts])
             doc, tie, start, end = merged(
                 copies["doc"], copies["tie"], copies["start"],
                 copies["start"] + copies["more"] + WINDOW)
@@ -279,42 +313,51 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return
     records = np.concatenate(found)
     del found
-    by_anchor = np.argsort(records["a"], kind="stable")
-    a = records["a"][by_anchor]
-    pair = np.r_[False, a[1:] == a[:-1]]
-    records = records[by_anchor[pair | np.r_[pair[1:], False]]]
-    firsts, copies = _copies(records)
+    firsts, copies = _copies(records[_repeated(records["a"])])
     yield _span_batch(COPIES, *merged(
         copies["doc"], copies["tie"], copies["start"], copies["start"] + copies["more"] + WINDOW))
-    # Where an anchor has one context only, nothing else can be a copy.
+    # Where no other context has the same bytes on a side, nothing else can be a copy.
     a = firsts["a"]
-    pair = np.r_[False, a[1:] == a[:-1]] if len(a) else np.empty(0, bool)
-    wanted = firsts[pair | np.r_[pair[1:], False]] if len(a) else firsts
+    wanted = firsts[_repeated(a, firsts["left"]) & (firsts["left"] > 0)
+                    | _repeated(a, firsts["right"]) & (firsts["right"] > 0)]
     yield _span_batch(
         FETCH, wanted["doc"], wanted["tie"], wanted["start"],
         wanted["start"] + wanted["more"] + WINDOW, wanted["a"].view(np.int64),
         wanted["at"].astype(np.int32))
 
 
+def _listed(column: pa.Array) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """(row, fields) of the structs in a column of lists, null lists being empty."""
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    flat = column.flatten()
+    fields = {f.name: x.to_numpy(zero_copy_only=False) for f, x in zip(flat.type, flat.flatten(), strict=True)}
+    return np.repeat(np.arange(len(column)), sizes), fields
+
+
 def _contexts(parts: int):
     """The bytes of the contexts that were asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            columns = [batch.column(c) for c in ("doc", "tie", "text", "wanted")]
-            columns[2] = columns[2].cast(pa.binary())
-            for doc, tie, text, wanted in zip(*columns, strict=True):
-                data = text.as_py()
-                for w in wanted.as_py():
-                    out.append((((w["anchor"] & _MASK) >> 32) % parts, w["anchor"], doc.as_py(),
-                                tie.as_py(), w["start"], w["at"], data[w["start"]:w["end"]]))
-            part, anchor, doc, tie, start, at, data = zip(*out, strict=True) if out else ((),) * 7
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.int32()), pa.array(anchor, pa.int64()), pa.array(doc, pa.int64()),
-                 pa.array(tie, pa.int32()), pa.array(start, pa.int64()), pa.array(at, pa.int32()),
-                 pa.array(data, pa.binary())],
-                names=["part", "anchor", "doc", "tie", "start", "at", "context"])
+            texts = batch.column("text").cast(pa.binary())
+            offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:]
+            data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+            owners, wanted = _listed(batch.column("wanted"))
+            docs, ties = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "tie"))
+            for low in range(0, len(owners), 20_000):
+                owner = owners[low:low + 20_000]
+                anchor, start, end, at = (wanted[f][low:low + 20_000] for f in ("anchor", "start", "end", "at"))
+                size = end - start
+                ends = np.cumsum(size)
+                places = np.repeat(offsets[owner] + start - (ends - size), size) + np.arange(ends[-1])
+                bounds = np.r_[0, ends].astype(np.int32)
+                context = pa.Array.from_buffers(
+                    pa.binary(), len(owner), [None, pa.py_buffer(bounds), pa.py_buffer(data[places])])
+                part = ((anchor.view(np.uint64) >> _SHIFT) % np.uint64(parts)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part), pa.array(anchor), pa.array(docs[owner]), pa.array(ties[owner]),
+                     pa.array(start), pa.array(at), context],
+                    names=["part", "anchor", "doc", "tie", "start", "at", "context"])
 
     return run
 
@@ -395,20 +438,24 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     ``tie`` is a hash of the text, to tell rows of one key apart. Null keys go
     as the smallest number of their type.
     """
-    source = _keyed(docs, key, text)
-    # Tasks follow the number of input splits; several parts a task even them out.
+    return _spans(_keyed(docs, key, text), docs)
+
+
+def _spans(source: DataFrame, docs: DataFrame) -> DataFrame:
+    """As ``repeated_spans``. ``source`` is joined whole, so that its shuffle is used again."""
+    # Tasks follow the number of input splits. Each is one part: with more, blobs
+    # would grow in number as the square of the input.
     tasks = 4 * max(1, docs.rdd.getNumPartitions())
-    parts = 8 * tasks
     met = cut(
-        source.mapInArrow(_find(parts), "part int, spans boolean, n int, blob binary")
-        .repartition(tasks, "part").mapInArrow(_meet, _SPANS))
+        source.select("doc", "tie", "text").mapInArrow(_find(tasks), "part int, spans boolean, n int, blob binary")
+        .repartitionById(tasks, F.col("part")).mapInArrow(_meet, _SPANS))
     wanted = met.where(F.col("kind") == FETCH).groupBy("doc", "tie").agg(
         F.collect_list(F.struct("anchor", "start", "end", "at")).alias("wanted"))
     matched = (
         source.join(wanted, ["doc", "tie"])
-        .mapInArrow(_contexts(parts), "part int, anchor long, doc long, tie int, start long, "
+        .mapInArrow(_contexts(tasks), "part int, anchor long, doc long, tie int, start long, "
                                       "at int, context binary")
-        .repartition(tasks, "part").mapInArrow(_matched, _SPANS))
+        .repartitionById(tasks, F.col("part")).mapInArrow(_matched, _SPANS))
     copies = met.where(F.col("kind") == COPIES).unionByName(matched)
     return copies.groupBy("doc", "tie").agg(
         F.collect_list(F.struct("start", "end")).alias("spans"))
@@ -426,21 +473,18 @@ def _cut(whole_characters: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n_bytes, n_removed, n_spans, kept = [], [], [], []
-            texts = batch.column("text").cast(pa.binary())
-            for text, spans in zip(texts, batch.column("spans"), strict=True):
-                data = text.as_py()
-                out, at, runs, end = [], 0, 0, -1
-                for low, high in sorted((s["start"], s["end"]) for s in spans.as_py() or ()):
-                    if low > end:
-                        runs += 1
-                        out.append(data[at:low])
-                    end = at = max(end, high)
-                out.append(data[at:])
-                left = b"".join(out)
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            owner, spans = _listed(batch.column("spans"))
+            owner, _, low, high = merged(owner, np.zeros(len(owner), np.int32), spans["start"], spans["end"])
+            edges = np.searchsorted(owner, np.arange(len(texts) + 1))
+            n_spans, edges, low, high = np.diff(edges), edges.tolist(), low.tolist(), high.tolist()
+            n_bytes, n_removed, kept = [], [], []
+            for i, data in enumerate(texts):
+                here = slice(edges[i], edges[i + 1])
+                left = b"".join([data[x:y] for x, y in zip(
+                    [0, *high[here]], [*low[here], len(data)], strict=True)])
                 n_bytes.append(len(data))
                 n_removed.append(len(data) - len(left))
-                n_spans.append(runs)
                 kept.append(left.decode("utf-8", "ignore").encode() if whole_characters else left)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()),
@@ -462,10 +506,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text",
     text, and rows equal in both come back with the same result, judged as one.
     An empty table gives no rows. ``docs`` must give the same rows again.
     """
-    spans = repeated_spans(docs, key, text)
     row = F.struct(*[c for c in docs.columns if c != text]).alias("row")
-    rows = _keyed(docs, key, text, row).join(spans, ["doc", "tie"], "left").select(
-        "row", "text", "spans")
+    source = _keyed(docs, key, text, row)
+    rows = source.join(_spans(source, docs), ["doc", "tie"], "left")
     counts = [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")]
     return rows.mapInArrow(_cut(whole_characters), T.StructType(
         [rows.schema["row"], *counts, T.StructField("kept", T.BinaryType())]))

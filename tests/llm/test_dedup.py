@@ -6,6 +6,8 @@ import math
 import random
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -202,6 +204,65 @@ def test_long_texts_are_taken_in_stretches(spark, monkeypatch):
     assert (seen == 1).all()
 
 
+def _met(texts):
+    """Rows that the task of all anchors gives for one batch of texts."""
+    n = len(texts)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(n), pa.int64()), pa.array([0] * n, pa.int32()), pa.array(texts)], names=["doc", "tie", "text"])
+    return [r for b in repeats._meet(repeats._find(1)(iter([batch]))) for r in b.to_pylist()]
+
+
+def test_contexts_that_share_their_anchor_only_are_not_fetched():
+    rng = random.Random(4)
+
+    def own(k):
+        return "".join(rng.choices("abcdefghij ", k=k))
+
+    # Short strings that all texts share, and too little around them for a window.
+    shared = [own(50) for _ in range(8)]
+    texts = ["".join(own(120) + x for x in [*rng.sample(shared, 8), ""]) for _ in range(60)]
+    found = repeats._anchors_of(*(np.zeros(60, t) for t in (np.int64, np.int32)), [t.encode() for t in texts])
+    assert len(found) - len(np.unique(found["a"])) > 200
+    assert [r for r in _met(texts) if r["kind"] == repeats.FETCH] == []
+    # One passage as long as a window.
+    passage = own(100)
+    met = [r for r in _met([own(150) + passage + own(150) for _ in range(5)]) if r["kind"] == repeats.FETCH]
+    assert {r["doc"] for r in met} == set(range(5))
+
+
+@pytest.mark.parametrize("length", [99, 100, 101, 138])
+def test_passages_about_as_long_as_a_window(spark, length):
+    rng = random.Random(length)
+    pool = ["".join(rng.choices("abcdé fgh", k=length + 30)) for _ in range(30)]
+
+    def piece():
+        data = rng.choice(pool)
+        at = rng.randint(0, 30)
+        return data[at:at + length] if rng.random() < 0.7 else "".join(rng.choices("abcdé fgh", k=rng.randint(0, 90)))
+
+    rows = [(k, "".join(piece() for _ in range(rng.randint(1, 5)))) for k in range(150)]
+    out = repeats.remove_repeats(_frame(spark, rows)).collect()
+    got = {r["row"]["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in out}
+    assert got == brute.repeats(rows)
+
+
+def test_texts_are_shuffled_once_and_blobs_follow_tasks(spark, monkeypatch):
+    parts, find = [], repeats._find
+    monkeypatch.setattr(repeats, "_find", lambda n: parts.append(n) or find(n))
+    rows = [(k, f"{k} " * 40 + "".join(random.Random(k % 9).choices("abcdefghij", k=150))) for k in range(30)]
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = _frame(spark, rows)
+        out = repeats.remove_repeats(docs)
+        assert sum(r["n_removed"] >= 150 for r in out.collect()) >= 21
+        assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+        # Each batch sends a blob to a part at most: as many parts as tasks.
+        assert parts == [4 * docs.rdd.getNumPartitions()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
