@@ -72,7 +72,8 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 def _powers() -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, made once per worker."""
-    if not _POWERS:
+    if not _POWERS or len(_POWERS[0]) <= STRETCH:
+        _POWERS.clear()
         for base in (_BASE, pow(_BASE, -1, 2 ** 64)):
             steps = np.full(STRETCH + 1, np.uint64(base), np.uint64)
             steps[0] = 1
